@@ -60,8 +60,8 @@ def islands(df: DataFrame, keys: list[str], start: str = "start", end: str = "en
     scan = running(points, keys, start, width=width, reach=("max", "reach_end"))
     limit = F.col("reach_before") + F.lit(gap)
     opens = F.col("reach_before").isNull() | ((F.col(start) > limit) if join_touching else (F.col(start) >= limit))
-    marked = (scan.drop("reach", "reach_before").withColumn("_new", F.when(opens, 1).otherwise(0).cast("long"))
-                  .withColumn("_open", F.when(opens, F.col(start))))
+    marked = (scan.withColumn("_new", F.when(opens, 1).otherwise(0).cast("long"))
+                  .withColumn("_open", F.when(opens, F.col(start))).drop("reach", "reach_before"))
     out = running(marked, keys, start, width=width, island_no=("sum", "_new"), island_start=("max", "_open"))
     return out.drop("_new", "_open", "island_no_before", "island_start_before")
 

@@ -135,8 +135,8 @@ def headed(spark: SparkSession, path: str | list[str], schema: str | None = None
 def polya_lengths(df: DataFrame) -> DataFrame:
     """PASS rows of tail estimates, one length per read (largest source order wins when given)."""
     ok = df.filter(F.col("qc_tag") == "PASS")
-    order = "source_order" if "source_order" in df.columns else "polya_length"
-    return ok.groupBy("readname").agg(F.max_by("polya_length", order).alias("polya_length"))
+    order = ["source_order"] if "source_order" in df.columns else []
+    return ok.groupBy("readname").agg(F.max(F.struct(*order, "polya_length"))["polya_length"].alias("polya_length"))
 
 
 def haplotype_long(wide: DataFrame, index: str) -> DataFrame:
