@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from spliceloom.functions import blocks as B
 from spliceloom.functions.sequence import CANONICAL, canonical_site
 from spliceloom.operators.overlap import overlap_anti, overlap_join, overlap_size
-from spliceloom.operators.sweeps import exact_median, islands, two_way_clusters
+from spliceloom.operators.sweeps import exact_median, numbered_islands, two_way_clusters
 from spliceloom.operators.transcripts import exon_rows, intron_rows
+from spliceloom.session import durable
 
 
 def by_keys(rows: DataFrame, keys: DataFrame, on: list[str], include: bool = True, unique: bool = False) -> DataFrame:
@@ -85,8 +86,9 @@ def assigned_transcripts(reads: DataFrame, models: DataFrame, **rules) -> DataFr
 def unambiguous(assigned: DataFrame) -> DataFrame:
     """Gene of reads with class E and one gene; all others are numbered novel loci per chrom and strand."""
     sure = (F.col("class") == "E") & (F.col("n_genes") == 1)
+    assigned = durable(assigned)
     rest = assigned.filter(~sure)
-    loci = islands(rest, ["chrom", "strand"]).select("chrom", "strand", "start", "island_no")
+    loci = numbered_islands(rest, ["chrom", "strand"]).select("chrom", "strand", "start", "island_no")
     named = rest.join(loci, ["chrom", "strand", "start"]).withColumn(
         "locus", F.concat_ws(":", "chrom", "strand", "island_no")).drop("island_no")
     return assigned.filter(sure).withColumn("locus", F.col("one_gene").cast("string")).unionByName(named)
@@ -305,7 +307,7 @@ def consensus_junctions(support: DataFrame, gap: int = 15) -> DataFrame:
     support: chrom, strand, a, b, l_score, j_score, r_score. Members with short-read or annotation support stay.
     """
     key = ["chrom", "strand", "start_cluster", "end_cluster"]
-    c = two_way_clusters(support, ["chrom", "strand"], "a", "b", gap)
+    c = durable(two_way_clusters(support, ["chrom", "strand"], "a", "b", gap))
     top = c.groupBy(*key).agg(F.max("j_score").alias("_j"), F.max("l_score").alias("_l"), F.count("r_score").alias("_r"))
     me = F.struct(F.col("a").alias("a"), F.col("b").alias("b"))
     m = c.join(top, key)

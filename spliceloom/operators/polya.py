@@ -167,4 +167,4 @@ def label_sites(lists: DataFrame) -> DataFrame:
     """Report rows of site lists (gene, pas text): one row per site with the number of sites and the label of the gene."""
     p = F.split("pas", ",")
     label: Column = F.when(F.size(p) > 1, "APA").otherwise("single")
-    return lists.select("chrom", "strand", "gene", F.size(p).alias("n_sites"), label.alias("label"), F.explode(p).cast("long").alias("pa"))
+    return lists.select("chrom", "strand", "gene", F.size(p).alias("n_sites"), label.alias("label"), F.explode(F.transform(p, lambda x: x.cast("long"))).alias("pa"))

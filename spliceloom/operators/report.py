@@ -109,7 +109,7 @@ def accuracy_histogram(df: DataFrame) -> DataFrame:
 
 def split_list(df: DataFrame, column: str, out: str, kind: str = "double", sep: str = ",") -> DataFrame:
     """One row per value of a delimited text."""
-    return df.withColumn(out, F.explode(F.split(column, sep)).cast(kind)).drop(column)
+    return df.withColumn(out, F.explode(F.transform(F.split(column, sep), lambda x: x.cast(kind)))).drop(column)
 
 
 def tail_report(rows: DataFrame) -> DataFrame:
@@ -119,4 +119,4 @@ def tail_report(rows: DataFrame) -> DataFrame:
     pos: Column = F.regexp_extract("x.s", r"_(\d+)$", 1).cast("long")
     return one.select("gene", F.regexp_replace("x.s", r"_\d+$", "").alias("chrom"), pos.alias("site"), (pos + 1).alias("site_end"),
                       F.concat(F.lit("APA"), F.col("k") + 1).alias("apa"), F.col("x.c").cast("double").alias("count"),
-                      F.explode(F.split("x.l", ",")).cast("double").alias("length"))
+                      F.explode(F.transform(F.split("x.l", ","), lambda v: v.cast("double"))).alias("length"))

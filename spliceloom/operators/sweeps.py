@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spliceloom.session import durable
+
 CELL = 1 << 16
 
 _FOLD = {
@@ -53,17 +55,37 @@ def islands(df: DataFrame, keys: list[str], start: str = "start", end: str = "en
 
     A new island opens at ``start >= reach + gap``, or at ``start > reach +
     gap`` when `join_touching`, where reach is the largest earlier end.
-    Adds `reach_end` (largest end at this start), `island_start` and
-    `island_no` (1-based along the keys).
+    Adds `reach_end` (largest end at this start) and `island_start`.
+
+    Opens are found per cell first. The starts that stay open are those beyond
+    the reach of earlier cells, so the last open start before a cell follows
+    from per-cell maxima alone and one join brings it back to the rows.
     """
-    points = df.groupBy(*keys, start).agg(F.max(end).alias("reach_end"))
-    scan = running(points, keys, start, width=width, reach=("max", "reach_end"))
-    limit = F.col("reach_before") + F.lit(gap)
-    opens = F.col("reach_before").isNull() | ((F.col(start) > limit) if join_touching else (F.col(start) >= limit))
-    marked = (scan.withColumn("_new", F.when(opens, 1).otherwise(0).cast("long"))
-                  .withColumn("_open", F.when(opens, F.col(start))).drop("reach", "reach_before"))
-    out = running(marked, keys, start, width=width, island_no=("sum", "_new"), island_start=("max", "_open"))
-    return out.drop("_new", "_open", "island_no_before", "island_start_before")
+    by = [*keys, "_cell"]
+    beyond = lambda s, r: r.isNull() | ((s > r + gap) if join_touching else (s >= r + gap))
+    points = df.groupBy(*keys, start).agg(F.max(end).alias("reach_end")).withColumn(
+        "_cell", F.floor(F.col(start) / F.lit(width)).cast("long"))
+    local = Window.partitionBy(*by).orderBy(start)
+    rows = points.withColumn("_r", F.max("reach_end").over(local.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("_open", F.when(beyond(F.col(start), F.col("_r")), F.col(start))).drop("_r")
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (rows.groupBy(*by).agg(F.max("reach_end").alias("_e"), F.max("_open").alias("_o"))
+             .withColumn("_reach", F.max("_e").over(earlier))
+             .withColumn("_last", F.max(F.when(beyond(F.col("_o"), F.col("_reach")), F.col("_o"))).over(earlier))
+             .select(*by, "_reach", "_last"))
+    kept = F.when(beyond(F.col("_open"), F.col("_reach")), F.col("_open"))
+    out = rows.join(carry, by)
+    return (out.withColumn("island_start", F.coalesce(F.max(kept).over(local.rowsBetween(Window.unboundedPreceding, 0)), F.col("_last")))
+               .drop("_cell", "_open", "_reach", "_last"))
+
+
+def numbered_islands(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", gap: int = 0,
+                     join_touching: bool = False, width: int = CELL) -> DataFrame:
+    """Islands with `island_no`, 1-based along the keys."""
+    isl = durable(islands(df, keys, start, end, gap, join_touching, width))
+    first = isl.select(*keys, "island_start").distinct().withColumn("_one", F.lit(1).cast("long"))
+    no = running(first, keys, "island_start", width=width, island_no=("sum", "_one")).select(*keys, "island_start", "island_no")
+    return isl.join(no, [*keys, "island_start"])
 
 
 def merged(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", gap: int = 0,
@@ -74,23 +96,17 @@ def merged(df: DataFrame, keys: list[str], start: str = "start", end: str = "end
                .select(*keys, F.col("island_start").alias(start), F.col("_e").alias(end)))
 
 
-def with_island(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", gap: int = 0,
-                join_touching: bool = False, width: int = CELL) -> DataFrame:
-    """Attach island_start and island_no to every input row (key-unique side joins back)."""
-    isl = islands(df, keys, start, end, gap, join_touching, width).drop("reach_end")
-    return df.join(isl, [*keys, start])
-
-
 def novel_loci(df: DataFrame) -> DataFrame:
     """Name running clusters of reads per chrom and strand `chrom:strand:Novel_n`."""
-    rows = with_island(df, ["chrom", "strand"])
+    isl = numbered_islands(df, ["chrom", "strand"]).select("chrom", "strand", "start", "island_no")
+    rows = df.join(isl, ["chrom", "strand", "start"])
     return (rows.withColumn("locus", F.concat_ws(":", "chrom", "strand", F.concat(F.lit("Novel_"), F.col("island_no"))))
-                .drop("island_start", "island_no"))
+                .drop("island_no"))
 
 
 def two_way_clusters(df: DataFrame, keys: list[str], start: str, end: str, gap: int) -> DataFrame:
     """Cluster by start gaps <= gap, then by end gaps <= gap inside each start cluster."""
-    first = with_point_island(df, keys, start, gap, "start_cluster")
+    first = durable(with_point_island(df, keys, start, gap, "start_cluster"))
     return with_point_island(first, [*keys, "start_cluster"], end, gap, "end_cluster")
 
 

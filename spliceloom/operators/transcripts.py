@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from spliceloom.functions import blocks as B
 from spliceloom.functions.sequence import let
+from spliceloom.operators.sweeps import two_way_clusters, with_point_island
+from spliceloom.session import durable
 
 ID = ["chrom", "strand", "gene", "iso"]
 
@@ -214,10 +216,9 @@ def merge_samples(isoforms: DataFrame) -> DataFrame:
 
 def snap_junctions(introns: DataFrame, gap: int) -> DataFrame:
     """Distinct introns with the most used start and end of their fuzzy cluster (start gaps, then end gaps)."""
-    from spliceloom.operators.sweeps import two_way_clusters
-    used = introns.groupBy("chrom", "strand", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    used = durable(introns.groupBy("chrom", "strand", "a", "b").agg(F.count(F.lit(1)).alias("n")))
     keys = ["chrom", "strand", "start_cluster", "end_cluster"]
-    rows = two_way_clusters(used, ["chrom", "strand"], "a", "b", gap)
+    rows = durable(two_way_clusters(used, ["chrom", "strand"], "a", "b", gap))
     top = rows.groupBy(*keys).agg(F.max(F.struct("n", (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))).alias("_t"))
     return rows.join(top, keys).select("chrom", "strand", "a", "b", (-F.col("_t.na")).alias("to_a"), (-F.col("_t.nb")).alias("to_b"))
 
@@ -229,7 +230,6 @@ def collapse_alignments(reads: DataFrame, fuzzy: int = 5, five_gap: int = 1000,
     reads: chrom, strand, iso (read name), exons, coverage, identity (percent).
     Ends are clustered by gaps between distinct positions.
     """
-    from spliceloom.operators.sweeps import with_point_island
     good = reads.filter((F.col("coverage") >= min_coverage * 100) & (F.col("identity") >= min_identity * 100))
     it = intron_rows(good)
     snapped = it.join(snap_junctions(it, fuzzy), ["chrom", "strand", "a", "b"])
@@ -242,7 +242,7 @@ def collapse_alignments(reads: DataFrame, fuzzy: int = 5, five_gap: int = 1000,
         "_three", F.when(plus, F.col("end")).otherwise(F.col("start"))).withColumn(
         "_five", F.when(plus, F.col("start")).otherwise(F.col("end")))
     keys = ["chrom", "strand", "chain"]
-    rows = with_point_island(ends, keys, "_three", three_gap, "three_cluster")
+    rows = durable(with_point_island(durable(ends), keys, "_three", three_gap, "three_cluster"))
     rows = with_point_island(rows, [*keys, "three_cluster"], "_five", five_gap, "five_cluster")
     return rows.groupBy(*keys, "three_cluster", "five_cluster").agg(
         F.count(F.lit(1)).alias("reads"), F.min("start").alias("start"), F.max("end").alias("end")).filter(F.col("reads") >= min_reads)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,17 +22,19 @@ def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def durable(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
+def durable(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint that survives executor loss.
 
-    The folder comes from ``spark.checkpoint.dir``; `fallback_dir` is used only
-    where the session sets none (tests). Without either the plan stays as it is.
+    The folder is the shared one the cluster names in ``spark.checkpoint.dir``.
+    A local session without the setting gets its own folder; a cluster without
+    it keeps the plan as it is.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
-        if not folder:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and sc.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="spliceloom-")
+        if folder is None:
             return df
-        sc.setCheckpointDir(f"{folder}/{uuid.uuid4().hex}")
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
