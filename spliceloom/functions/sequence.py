@@ -174,7 +174,7 @@ def fickett(seq: Column) -> Column:
         picked = F.regexp_replace(seq, pattern, "$1")
         # a last group shorter than the phase keeps no letter
         rest = F.pmod(F.length(seq), F.lit(3))
-        spare = F.when((rest > 0) & (rest <= keep), rest).otherwise(0)
+        spare = F.when((rest > 0) & (rest <= keep), 1).otherwise(0)
         return F.left(picked, F.length(picked) - spare)
     def score(p: Column) -> Column:
         total = F.lit(0.0)

@@ -141,7 +141,7 @@ def polya_lengths(df: DataFrame) -> DataFrame:
 
 def haplotype_long(wide: DataFrame, index: str) -> DataFrame:
     """Haplotype x isoform count matrix as (haplo, iso, n) rows."""
-    isos = [c for c in wide.columns if c != index]
+    isos = [F.col(f"`{c}`").alias(c) for c in wide.columns if c != index]
     return wide.unpivot(index, isos, "iso", "n").withColumnRenamed(index, "haplo")
 
 
