@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from spliceloom.functions.blocks import block, empty
+from spliceloom.functions.sequence import let
 
 # Letter of each flag condition, all bits of the mask must be set.
 FLAG_LETTERS = [("p", 0x1), ("P", 0x3), ("u", 0x4), ("U", 0x8), ("r", 0x10), ("R", 0x20),
@@ -101,19 +102,19 @@ def blocks_with_clips(start: Column, cigar: Column) -> Column:
     """Blocks whose outer edges include leading and trailing clips."""
     lead = F.coalesce(F.regexp_extract(cigar, "^([0-9]+)[SH]", 1).try_cast("long"), F.lit(0))
     tail = F.coalesce(F.regexp_extract(cigar, "([0-9]+)[SH]$", 1).try_cast("long"), F.lit(0))
-    b = cigar_blocks(start, cigar)
-    n = F.size(b)
-    return F.transform(b, lambda x, i: block(x["s"] - F.when(i == 0, lead).otherwise(0),
-                                             x["e"] + F.when(i == n - 1, tail).otherwise(0)))
+    return let(F.struct(cigar_blocks(start, cigar).alias("b"), lead.alias("lead"), tail.alias("tail")), lambda v: F.transform(
+        v["b"], lambda x, i: block(x["s"] - F.when(i == 0, v["lead"]).otherwise(0),
+                                   x["e"] + F.when(i == F.size(v["b"]) - 1, v["tail"]).otherwise(0))))
 
 
 def junction_anchors(start: Column, cigar: Column) -> Column:
     """array<struct<left,s,e,right>>: each intron with the start of the block before and the end of the block after."""
-    b = cigar_blocks(start, cigar)
-    nxt = F.slice(b, F.lit(2), F.greatest(F.size(b), F.lit(1)))
-    pairs = F.zip_with(b, nxt, lambda x, y: F.struct(x["s"].alias("left"), x["e"].alias("s"), y["s"].alias("e"),
-                                                     y["e"].alias("right")))
-    return F.slice(pairs, F.lit(1), F.greatest(F.size(b) - 1, F.lit(0)))
+    def body(b: Column) -> Column:
+        nxt = F.slice(b, F.lit(2), F.greatest(F.size(b), F.lit(1)))
+        pairs = F.zip_with(b, nxt, lambda x, y: F.struct(x["s"].alias("left"), x["e"].alias("s"), y["s"].alias("e"),
+                                                         y["e"].alias("right")))
+        return F.slice(pairs, F.lit(1), F.greatest(F.size(b) - 1, F.lit(0)))
+    return let(cigar_blocks(start, cigar), body)
 
 
 def indels(start: Column, cigar: Column) -> Column:

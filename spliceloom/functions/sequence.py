@@ -176,14 +176,19 @@ def fickett(seq: Column) -> Column:
         rest = F.pmod(F.length(seq), F.lit(3))
         spare = F.when((rest > 0) & (rest <= keep), 1).otherwise(0)
         return F.left(picked, F.length(picked) - spare)
-    def score(p: Column) -> Column:
+    # each stage is bound once: phases, base counts, then the eight values that the tables look up
+    def counts(p: Column) -> Column:
+        return F.struct(*[count_of(p[f"p{i}"], b).alias(f"{b}{i}") for b in "ACGT" for i in range(3)], p["size"].alias("size"))
+    def values(c: Column) -> Column:
+        n = {b: [c[f"{b}{i}"] for i in range(3)] for b in "ACGT"}
+        return F.struct(*[((n[b][0] + n[b][1] + n[b][2]) / c["size"]).alias(f"{b}c") for b in "ACGT"],
+                        *[(F.greatest(*n[b]) / (F.least(*n[b]) + 1.0)).alias(f"{b}p") for b in "ACGT"])
+    def score(v: Column) -> Column:
         total = F.lit(0.0)
-        for base in "ACGT":
-            n = [count_of(p[f"p{i}"], base) for i in range(3)]
-            content = (n[0] + n[1] + n[2]) / F.length(seq)
-            position = F.greatest(*n) / (F.least(*n) + 1.0)
-            total = total + _step_table(content, FICKETT_CONTENT_STEPS, FICKETT_CONTENT[base], FICKETT_CONTENT_WEIGHT[base])
-            total = total + _step_table(position, FICKETT_POSITION_STEPS, FICKETT_POSITION[base], FICKETT_POSITION_WEIGHT[base])
+        for b in "ACGT":
+            total = total + _step_table(v[f"{b}c"], FICKETT_CONTENT_STEPS, FICKETT_CONTENT[b], FICKETT_CONTENT_WEIGHT[b])
+            total = total + _step_table(v[f"{b}p"], FICKETT_POSITION_STEPS, FICKETT_POSITION[b], FICKETT_POSITION_WEIGHT[b])
         return total
+    phases = F.struct(*[phase(i).alias(f"p{i}") for i in range(3)], F.length(seq).alias("size"))
     return F.when(F.length(seq) < 2, F.lit(0.0)).otherwise(
-        let(F.struct(*[phase(i).alias(f"p{i}") for i in range(3)]), score))
+        let(phases, lambda p: let(counts(p), lambda c: let(values(c), score))))

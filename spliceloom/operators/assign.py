@@ -20,23 +20,21 @@ def by_keys(rows: DataFrame, keys: DataFrame, on: list[str], include: bool = Tru
 
 
 def pair_measures(pairs: DataFrame, offset: int = 10) -> DataFrame:
-    """Measures of (exons, t_exons) pairs: overlap, coverages, shared introns, chain flank and end-exon flags."""
-    r, t = F.col("exons"), F.col("t_exons")
-    ri, ti = B.introns(r), B.introns(t)
+    """Measures of (exons, t_exons) pairs that carry their introns (introns, t_introns) and lengths (len, t_len)."""
+    r, t, ri, ti = F.col("exons"), F.col("t_exons"), F.col("introns"), F.col("t_introns")
     n, m = F.size(ri), F.size(ti)
-    flank = (n > 0) & (n <= m) & ((F.slice(ti, F.lit(1), F.greatest(n, F.lit(0))) == ri)
-                                  | (F.slice(ti, F.greatest(m - n + 1, F.lit(1)), F.greatest(n, F.lit(0))) == ri))
+    flank = (n > 0) & (n <= m) & ((F.slice(ti, F.lit(1), n) == ri) | (F.slice(ti, F.greatest(m - n + 1, F.lit(1)), n) == ri))
     rs, re = r[0]["s"], F.element_at(r, -1)["e"]
     lt = F.element_at(t, -1)
     in_end = ((t[0]["s"] < re) & (re <= t[0]["e"])) | ((lt["s"] <= rs) & (rs < lt["e"]))
     return (pairs.withColumn("bp", B.overlap_length(r, t))
-            .withColumn("read_cov", F.col("bp") / B.length(r)).withColumn("trans_cov", F.col("bp") / B.length(t))
+            .withColumn("read_cov", F.col("bp") / F.col("len")).withColumn("trans_cov", F.col("bp") / F.col("t_len"))
             .withColumn("shared", B.shared_introns(ri, ti, offset)).withColumn("flank", flank)
             .withColumn("in_end_exon", in_end).withColumn("n_introns", n).withColumn("t_exon_count", m + 1))
 
 
 def structure_key(df: DataFrame) -> DataFrame:
-    """Count identical structures: one row per (chrom, strand, exons) with its span; names join back on those columns."""
+    """Distinct structures (chrom, strand, exons) with their span; names join back on those columns."""
     x = F.col("exons")
     return df.select("chrom", "strand", "exons").distinct().withColumn("start", x[0]["s"]).withColumn("end", F.element_at(x, -1)["e"])
 
@@ -47,10 +45,12 @@ def assign_pairs(reads: DataFrame, models: DataFrame, offset: int = 10, min_shar
     reads: chrom, strand, exons...; models: chrom, t_name, t_gene, t_exons. Works on
     distinct read structures, so copies of one structure meet each transcript once.
     """
-    t = F.col("t_exons")
-    m = models.select("chrom", "t_name", "t_gene", "t_exons").withColumn("t_start", t[0]["s"]).withColumn("t_end", F.element_at(t, -1)["e"])
-    pairs = overlap_join(structure_key(reads), m, ["chrom"], rs="t_start", re="t_end")
-    p = pair_measures(pairs, offset)
+    x, t = F.col("exons"), F.col("t_exons")
+    m = models.select("chrom", "t_name", "t_gene", "t_exons", B.introns(t).alias("t_introns"), B.length(t).alias("t_len"),
+                      t[0]["s"].alias("t_start"), F.element_at(t, -1)["e"].alias("t_end"))
+    # introns and lengths are made once per structure, before the join multiplies rows
+    r = structure_key(reads).withColumn("introns", B.introns(x)).withColumn("len", B.length(x))
+    p = pair_measures(overlap_join(r, m, ["chrom"], rs="t_start", re="t_end"), offset)
     multi = (F.col("flank") | ((F.col("n_introns") < min_shared) & (F.col("n_introns") == F.col("shared")))
              | ((F.col("n_introns") >= min_shared) & (F.col("shared") >= min_shared)) | (F.col("read_cov") >= min_cov))
     single = ~((F.col("t_exon_count") > 1) & ~F.col("in_end_exon") & (F.col("read_cov") < min_cov))

@@ -11,6 +11,7 @@ from spliceloom.functions.sequence import SIGNALS, kmers
 from spliceloom.operators.overlap import overlap_join, within_distance
 from spliceloom.operators.sweeps import with_point_island
 from spliceloom.operators.transcripts import majority
+from spliceloom.session import durable
 
 # Hexamers drawn on their own; the other signals are summed.
 MAIN_SIGNALS = SIGNALS[:6]
@@ -70,19 +71,36 @@ def peak_clusters(sites: DataFrame, distance: int = 20, window: int = 3, support
     greedy step runs per stretch on counted positions. Peaks are taken by
     height, then position; clusters merge in position order.
     """
+    sites = durable(sites)  # counted positions, read by the scans below
     span = sites.groupBy("gene", "chrom", "strand").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    key = ["gene", "chrom", "strand", "stretch"]
     cut = with_point_island(sites, ["gene", "chrom", "strand"], "pos", 4 * window + 2 * distance + 4, "stretch")
-    rows = cut.join(span, ["gene", "chrom", "strand"])
-    key = sites.schema["gene"].dataType.simpleString()
-
-    def stretch(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        got = _peaks(pdf["pos"].to_numpy(), pdf["n"].to_numpy(), int(first["lo"]), int(first["hi"]), distance, window, support)
-        return pd.DataFrame([(first["gene"], first["chrom"], first["strand"], s, e, n, p, int(first["hi"]) - int(first["lo"]) + 1)
-                             for s, e, n, p in got], columns=["gene", "chrom", "strand", "start", "end", "n", "peak", "gene_range"])
-
-    out = rows.groupBy("gene", "chrom", "strand", "stretch").applyInPandas(
-        stretch, f"gene {key}, chrom string, strand string, start long, end long, n long, peak long, gene_range long")
+    rows = cut.join(span, ["gene", "chrom", "strand"]).select(*key, "pos", "n", "lo", "hi")
+    columns = ["gene", "chrom", "strand", "start", "end", "n", "peak", "gene_range"]
+
+    def stretches(batches):
+        """Rows arrive sorted by stretch; the last one of a batch waits for the rest of its rows."""
+        held = None
+        def clusters(pdf: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+            pos, n = pdf["pos"].to_numpy(), pdf["n"].to_numpy()
+            out = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                first = pdf.iloc[a]
+                for s, e, c, p in _peaks(pos[a:b], n[a:b], int(first["lo"]), int(first["hi"]), distance, window, support):
+                    out.append((first["gene"], first["chrom"], first["strand"], s, e, c, p, int(first["hi"]) - int(first["lo"]) + 1))
+            return pd.DataFrame(out, columns=columns)
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            new = (pdf[key] != pdf[key].shift()).any(axis=1).to_numpy()
+            starts = np.flatnonzero(new)
+            held = pdf.iloc[starts[-1]:]
+            yield clusters(pdf, starts)
+        if held is not None and len(held):
+            yield clusters(held, np.array([0, len(held)]))
+
+    gene_type = sites.schema["gene"].dataType.simpleString()
+    out = rows.repartition(*key).sortWithinPartitions(*key, "pos").mapInPandas(
+        stretches, f"gene {gene_type}, chrom string, strand string, start long, end long, n long, peak long, gene_range long")
     rpkm = F.col("n") * 1_000_000 / (F.lit(float(all_reads)) * F.col("gene_range"))
     return (out.filter(rpkm >= min_rpkm) if min_rpkm else out).drop("gene_range")
 

@@ -63,10 +63,10 @@ def quality_statistics(spark, sf):
 
 @query("trimmed_reads", """
 SELECT id, CASE WHEN length(seq) > 7 THEN substr(seq, 8) ELSE '' END AS left_cut, CASE WHEN length(seq) > 7 THEN substr(seq, 1, length(seq) - 7) ELSE '' END AS right_cut,
-  regexp_replace(seq, '(A|C)+$', '') AS pattern_cut, length(regexp_replace(seq, '(A|C)+$', '')) AS qual_len FROM seq_v""")
+  regexp_replace(seq, '[AC]+$', '') AS pattern_cut, length(regexp_replace(seq, '[AC]+$', '')) AS qual_len FROM seq_v""")
 def trimmed_reads(spark, sf):
     s = F.col("seq")
-    cut = Q.trim_pattern(s, s, "(?:A|C)+", 3)
+    cut = Q.trim_pattern(s, s, "[AC]+", 3)
     return P.sequences(spark, sf).select("id", Q.trim(s, 7, 5).alias("left_cut"), Q.trim(s, 7, 3).alias("right_cut"), cut.alias("c")).select(
         "id", "left_cut", "right_cut", F.col("c.seq").alias("pattern_cut"), F.length("c.qual").cast("long").alias("qual_len"))
 
@@ -79,7 +79,7 @@ def end_signals(spark, sf):
 
 # an open run of codons counts to the last whole codon; stops close a run
 view("cod_v", """
-SELECT id, frame, i * 3 + frame AS pos, codon, sum(CASE WHEN codon IN ('TAG', 'TAA', 'TGA') THEN 1 ELSE 0 END) OVER (PARTITION BY id, frame ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run
+SELECT id, frame, i * 3 + frame AS pos, codon, coalesce(sum(CASE WHEN codon IN ('TAG', 'TAA', 'TGA') THEN 1 ELSE 0 END) OVER (PARTITION BY id, frame ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
 FROM (SELECT id, frame, generate_subscripts(c, 1) - 1 AS i, unnest(c) AS codon FROM (SELECT id, frame, regexp_extract_all(substr(seq, frame + 1), '(...)', 1) AS c FROM seq_v, (VALUES (0), (1), (2)) f(frame)))""")
 view("orf_v", """
 SELECT id, s, e, ok FROM (SELECT id, frame, run, min(pos) FILTER (codon = 'ATG') AS s, max(pos) + 3 AS e, CASE WHEN bool_or(codon IN ('TAG', 'TAA', 'TGA')) THEN 1 ELSE -1 END AS ok
