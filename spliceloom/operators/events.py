@@ -15,6 +15,7 @@ from spliceloom.functions import blocks as B
 from spliceloom.functions.sequence import let
 from spliceloom.operators.overlap import overlap_join
 from spliceloom.operators.transcripts import exon_rows
+from spliceloom.session import durable
 
 OFFSET = 5
 TILE = 4096
@@ -23,9 +24,13 @@ VARIANT = [*GENE, "s", "e", "prev_e", "next_s"]
 
 
 def exon_variants(isoforms: DataFrame) -> DataFrame:
-    """Distinct exons with neighbours: n_iso isoforms and w reads each."""
-    return exon_rows(isoforms, ["reads"]).groupBy(*VARIANT).agg(
-        F.count(F.lit(1)).alias("n_iso"), F.sum("reads").alias("w"))
+    """Distinct exons with neighbours: n_iso isoforms and w reads each.
+
+    Every event type reads this small table several times, so it is cut from
+    the isoform plan once instead of scanning the isoforms again per use.
+    """
+    return durable(exon_rows(isoforms, ["reads"]).groupBy(*VARIANT).agg(
+        F.count(F.lit(1)).alias("n_iso"), F.sum("reads").alias("w")))
 
 
 def _span_tiles(s: Column, last: Column) -> Column:
@@ -56,9 +61,10 @@ def _retained_pairs(variants: DataFrame, offset: int) -> DataFrame:
         (F.col("s") < F.col("a") - offset) & (F.col("e") > F.col("b") + offset)).drop("_t")
 
 
-def retained_introns(isoforms: DataFrame, offset: int = OFFSET, models: DataFrame | None = None) -> DataFrame:
+def retained_introns(isoforms: DataFrame, offset: int = OFFSET, models: DataFrame | None = None,
+                     variants: DataFrame | None = None) -> DataFrame:
     """IR: an intron of one isoform lies inside an exon of another, both edges further than `offset` apart."""
-    variants = exon_variants(isoforms)
+    variants = exon_variants(isoforms) if variants is None else variants
     keep = _retained_pairs(variants, offset).groupBy(*GENE, "a", "b").agg(
         F.sum("n_iso").alias("n_inc"), F.sum("w").alias("w_inc"))
     out = (variants.filter(F.col("next_s").isNotNull()).groupBy(*GENE, F.col("e").alias("a"), F.col("next_s").alias("b"))
@@ -68,23 +74,24 @@ def retained_introns(isoforms: DataFrame, offset: int = OFFSET, models: DataFram
     return within_models(ev, models) if models is not None else ev
 
 
-def _skips(isoforms: DataFrame) -> DataFrame:
+def _skips(isoforms: DataFrame, variants: DataFrame | None = None) -> DataFrame:
     """(gene, l, r, chain) of skipped exon chains with the keeping structures' counts."""
     donors = isoforms.select(*GENE, "reads", F.explode(let(F.col("exons"), lambda ex: F.transform(
         ex, lambda x, i: F.struct(x["e"].alias("l"), F.slice(ex, i + 2, F.size(ex)).alias("tail"))))).alias("_d"))
     donors = (donors.select(*GENE, "reads", "_d.l", "_d.tail").filter(F.size("tail") >= 2)
               .groupBy(*GENE, "l", "tail").agg(F.count(F.lit(1)).alias("n_iso"), F.sum("reads").alias("w")))
-    skips = exon_variants(isoforms).filter(F.col("next_s").isNotNull()).groupBy(
+    variants = exon_variants(isoforms) if variants is None else variants
+    skips = variants.filter(F.col("next_s").isNotNull()).groupBy(
         *GENE, F.col("e").alias("l"), F.col("next_s").alias("r")).agg(F.sum("n_iso").alias("n_exc"), F.sum("w").alias("w_exc"))
     tail, r = F.col("tail"), F.col("r")
     return (donors.join(skips, [*GENE, "l"]).filter((r > tail[0]["e"]) & F.exists(tail, lambda x: x["s"] == r))
             .withColumn("inner", F.filter(tail, lambda x: x["e"] < r)))
 
 
-def skipped_exons(isoforms: DataFrame, models: DataFrame | None = None) -> DataFrame:
+def skipped_exons(isoforms: DataFrame, models: DataFrame | None = None, variants: DataFrame | None = None) -> DataFrame:
     """SE: a chain of inner exons kept by some isoforms and skipped by the exact intron of others."""
     keys = [*GENE, "l", "r", "inner"]
-    ev = _skips(isoforms).groupBy(*keys).agg(F.sum("n_iso").alias("n_inc"), F.sum("w").alias("w_inc"),
+    ev = _skips(isoforms, variants).groupBy(*keys).agg(F.sum("n_iso").alias("n_inc"), F.sum("w").alias("w_inc"),
                                              F.first("n_exc").alias("n_exc"), F.first("w_exc").alias("w_exc"))
     x = F.col("inner")
     ev = (ev.withColumn("chain", B.chain(x)).withColumn("lo", x[0]["s"]).withColumn("hi", F.element_at(x, -1)["e"])
@@ -144,23 +151,24 @@ def _is_left(as_type: str) -> Column:
     return F.col("strand") == ("+" if as_type == "A3SS" else "-")
 
 
-def alternative_sites(isoforms: DataFrame, as_type: str, offset: int = OFFSET, extension: int = 0) -> DataFrame:
+def alternative_sites(isoforms: DataFrame, as_type: str, offset: int = OFFSET, extension: int = 0,
+                      variants: DataFrame | None = None) -> DataFrame:
     """A3SS or A5SS: overlapping exons of two isoforms with different inner edges.
 
     Of several junction pairs of an event the smallest is reported.
     """
-    variants = exon_variants(isoforms)
+    variants = exon_variants(isoforms) if variants is None else variants
     left = _is_left(as_type)
     ev = _edge_events(variants.filter(left), True, offset, extension).unionByName(
         _edge_events(variants.filter(~left), False, offset, extension))
     return _psi(ev.withColumn("event_id", F.concat(F.col("gene"), F.lit(":"), F.col("lo"), F.lit("-"), F.col("hi"))))
 
 
-def event_members(isoforms: DataFrame, as_type: str, offset: int = OFFSET) -> DataFrame:
+def event_members(isoforms: DataFrame, as_type: str, offset: int = OFFSET, variants: DataFrame | None = None) -> DataFrame:
     """Long table of the isoforms on both sides of each event: event_id, lo, hi, side, iso."""
     rows = exon_rows(isoforms, ["reads"])
+    variants = exon_variants(isoforms) if variants is None else variants
     if as_type == "IR":
-        variants = exon_variants(isoforms)
         pairs = _retained_pairs(variants, offset).select(*GENE, "a", "b", "s", "e")
         inc = pairs.join(rows.select(*GENE, "iso", "reads", "s", "e"), [*GENE, "s", "e"]).select(
             *GENE, F.col("a").alias("lo"), F.col("b").alias("hi"), F.lit("inc").alias("side"), "iso", "reads")
@@ -171,7 +179,7 @@ def event_members(isoforms: DataFrame, as_type: str, offset: int = OFFSET) -> Da
         out = inc.unionByName(exc)
         name = F.concat(F.col("lo"), F.lit("-"), F.col("hi"))
     elif as_type == "SE":
-        ev = _skips(isoforms).select(*GENE, "l", "r", "inner", "tail").distinct()
+        ev = _skips(isoforms, variants).select(*GENE, "l", "r", "inner", "tail").distinct()
         tails = isoforms.select(*GENE, "iso", "reads", F.explode(let(F.col("exons"), lambda ex: F.transform(
             ex, lambda x, i: F.struct(x["e"].alias("l"), F.slice(ex, i + 2, F.size(ex)).alias("tail"))))).alias("_d"))
         tails = tails.select(*GENE, "iso", "reads", "_d.l", "_d.tail")
@@ -182,7 +190,6 @@ def event_members(isoforms: DataFrame, as_type: str, offset: int = OFFSET) -> Da
         out = inc.unionByName(exc)
         name = F.concat(F.col("l"), F.lit("@"), B.chain(F.col("inner")), F.lit("@"), F.col("r"))
     else:
-        variants = exon_variants(isoforms)
         left = _is_left(as_type)
         sides = _edge_sides(_edge_pairs(variants.filter(left), True, offset), True).unionByName(
             _edge_sides(_edge_pairs(variants.filter(~left), False, offset), False))
@@ -196,8 +203,9 @@ def event_members(isoforms: DataFrame, as_type: str, offset: int = OFFSET) -> Da
 def all_events(isoforms: DataFrame, offset: int = OFFSET, models: DataFrame | None = None) -> DataFrame:
     """One long table of the four event types."""
     cols = [*GENE, "event_id", "lo", "hi", "n_inc", "n_exc", "w_inc", "w_exc", "psi", "psi_reads"]
-    parts = {"IR": retained_introns(isoforms, offset, models), "SE": skipped_exons(isoforms, models),
-             "A3SS": alternative_sites(isoforms, "A3SS", offset), "A5SS": alternative_sites(isoforms, "A5SS", offset)}
+    v = exon_variants(isoforms)
+    parts = {"IR": retained_introns(isoforms, offset, models, v), "SE": skipped_exons(isoforms, models, v),
+             "A3SS": alternative_sites(isoforms, "A3SS", offset, variants=v), "A5SS": alternative_sites(isoforms, "A5SS", offset, variants=v)}
     out = None
     for kind, df in parts.items():
         one = df.select(F.lit(kind).alias("as_type"), *cols)
@@ -206,9 +214,9 @@ def all_events(isoforms: DataFrame, offset: int = OFFSET, models: DataFrame | No
 
 
 def all_members(isoforms: DataFrame, offset: int = OFFSET) -> DataFrame:
-    out = None
+    v, out = exon_variants(isoforms), None
     for kind in ("IR", "SE", "A3SS", "A5SS"):
-        one = event_members(isoforms, kind, offset).select(F.lit(kind).alias("as_type"), "event_id", "gene", "side", "iso", "reads")
+        one = event_members(isoforms, kind, offset, v).select(F.lit(kind).alias("as_type"), "event_id", "gene", "side", "iso", "reads")
         out = one if out is None else out.unionByName(one)
     return out
 
