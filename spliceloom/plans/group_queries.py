@@ -169,15 +169,13 @@ def widest_isoform(spark, sf):
 
 
 view("sheet_v", """
-SELECT c_nationkey AS strain, s_name AS sample, string_agg(c_name, ';' ORDER BY c_custkey) AS files FROM (
-  SELECT c_nationkey, c_custkey, c_name, s_name FROM customer JOIN supplier ON s_nationkey = c_nationkey) GROUP BY ALL""")
+SELECT o_custkey // 10 AS strain, o_custkey AS sample, string_agg(o_orderkey::VARCHAR, ';' ORDER BY o_orderkey) AS files FROM orders GROUP BY ALL""")
 
 
 def sheet(spark, sf):
-    c, s = P.table(spark, sf, "customer"), P.table(spark, sf, "supplier")
-    rows = c.join(s, F.col("c_nationkey") == F.col("s_nationkey")).groupBy(F.col("c_nationkey").alias("strain"), F.col("s_name").alias("sample")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), lambda x: x["c_name"]), ";").alias("files"))
-    return rows
+    """Ten customers are a strain, a customer is a sample, its orders are the replicate files."""
+    files = F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ";")
+    return P.table(spark, sf, "orders").groupBy(F.floor(F.col("o_custkey") / 10).cast("long").alias("strain"), F.col("o_custkey").alias("sample")).agg(files.alias("files"))
 
 
 @query("strain_merge", """

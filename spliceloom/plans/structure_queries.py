@@ -212,9 +212,11 @@ def vcf_heterozygous(spark, sf):
     return S.heterozygous(S.vcf_snps(vcf_lines(spark, sf))).select("chrom", "pos", "ref", "alt")
 
 
-@query("vcf_locus_strings", "SELECT chrom AS locus, string_agg(ref, '' ORDER BY pos) AS ref_text, string_agg(alt, '' ORDER BY pos) AS alt_text FROM vcf_v GROUP BY chrom")
+@query("vcf_locus_strings", "SELECT chrom || ':' || (pos // 100) AS locus, string_agg(ref, '' ORDER BY pos) AS ref_text, string_agg(alt, '' ORDER BY pos) AS alt_text FROM vcf_v GROUP BY 1")
 def vcf_locus_strings(spark, sf):
-    return S.vcf_strings(S.vcf_snps(vcf_lines(spark, sf)).withColumnRenamed("chrom", "locus"))
+    snps = S.vcf_snps(vcf_lines(spark, sf))
+    # a locus is a stretch of 100 bases, so a locus holds at most 100 SNPs
+    return S.vcf_strings(snps.withColumn("locus", F.concat_ws(":", "chrom", F.floor(F.col("pos") / 100).cast("long"))))
 
 
 @query("differential_table_union", """
