@@ -1,8 +1,9 @@
-"""Session settings and durable cut points."""
+"""Session settings, the shared work folder and durable cut points."""
 
 from __future__ import annotations
 
-import tempfile
+import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +23,39 @@ def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint that survives executor loss.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``.
-    A local session without the setting gets its own folder; a cluster without
-    it keeps the plan as it is.
+    Only a local session without the setting (a test) gets a folder of its own,
+    under the warehouse; a cluster without it is an error, since plans that need
+    a cut would otherwise grow without bound.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    own = os.path.join(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"), "_checkpoints")
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint that survives executor loss."""
     sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="spliceloom-")
-        if folder is None:
-            return df
+    folder = shared_dir(df.sparkSession)
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a Parquet table in the shared folder; columns stay prunable."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
