@@ -144,7 +144,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
             arrays = build_shard(got["hi"][at].view(np.uint64), got["lo"][at].view(np.uint64), got["n_docs"][at], got["last"][at])
             fs.create_dir(root, recursive=True)
             path = f"{root}/shard-{s:06d}-{uuid.uuid4().hex}"
-            with fs.open_output_stream(path) as out:
+            with fs.open_output_stream(path, compression=None) as out:
                 np.savez(out, **arrays)
             parts.setdefault("shard", []).append(int(s)), parts.setdefault("path", []).append(path)
         if parts:

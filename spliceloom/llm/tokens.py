@@ -112,7 +112,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
                 encode, part = byte_bpe(tokenizer), b.column("part")[0].as_py()
                 fs.create_dir(root, recursive=True)
                 path = f"{root}/part-{part:06d}-{uuid.uuid4().hex}.zst"
-                out = fs.open_output_stream(path)
+                out = fs.open_output_stream(path, compression=None)
                 writer = FrameWriter(out)
             keys = b.column("key")
             for at in range(0, b.num_rows, per_batch):
