@@ -1,0 +1,63 @@
+"""A training-data pipeline over the documents table, stage by stage."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spliceloom.llm.common import fresh, table, words
+from spliceloom.llm.decontaminate import without_contaminated
+from spliceloom.llm.mixing import mix
+from spliceloom.llm.neardup import without_near_duplicates
+from spliceloom.llm.quality import accepted
+from spliceloom.llm.sharding import contiguous_shards
+from spliceloom.session import work_dir
+
+WEIGHTS = [3, 1, 2]
+SHARDS = 8
+SIMILARITY = 80  # per cent
+
+ORACLE_SQL = None  # hashes and random draws; the tests hold every stage against brute force
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules accept."""
+    return accepted(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return without_near_duplicates(docs, SIMILARITY)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each copy that it takes."""
+    size = fresh(docs, "_words")[0]
+    _, copies = mix(docs.withColumn(size, F.size(words(F.col("text"))).cast("long")), size, "source", ["doc_id"], WEIGHTS, n_shards=SHARDS)
+    return copies.select(*docs.columns)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows in contiguous shards of near-equal bytes, with shard and slot."""
+    size = fresh(docs, "size")[0]
+    return contiguous_shards(docs.withColumn(size, (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")), SHARDS, size)
+
+
+STAGES = [("quality rules", quality), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontamination), ("mixing sources to target weights", mixing), ("sharding", sharding)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to the documents, each written to the shared folder and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            path = work_dir(spark, f"stage-{i}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

@@ -11,8 +11,10 @@ from .common import table, words
 from .decontaminate import contaminated
 from .lines import dedup_lines
 from .mixing import mix
+from .neardup import near_duplicates
 from .pii import pseudonymised
 from .quality import quality_rules
+from .repeats import without_repeats
 from .sharding import contiguous_shards
 from .tokens import read_token_files, write_token_files
 
@@ -69,6 +71,11 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_js", "word_js")
 
 
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
+
+
 @query("op6_token_output")
 def op6_token_output(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
@@ -96,12 +103,12 @@ def op7_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LINES_SQL = r"""
-WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at FROM documents),
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 o AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
 m AS (SELECT k.*, o.key IS NOT NULL AND k.doc_id <> o.last AS gone FROM k LEFT JOIN o ON k.key = o.key)
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
 
 
 @query("op8_line_dedup", LINES_SQL)
@@ -110,8 +117,21 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op9_repeats")
+def op9_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    out = without_repeats(table(spark, sf, "documents").select("doc_id", "text"), 400, keep_first=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
     out, _ = mix(rows, "size", "source", ["doc_id"], [3, 1, 2])
     return out.select("doc_id", "size", "source_size", "target", (F.col("taken_times") * F.col("size")).alias("taken"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
