@@ -111,17 +111,12 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", min_c
     bad = F.lit(False)
     for far in (F.col("char_js") > max_char_js, F.col("word_js") > max_word_js, F.col("char_js") + F.col("word_js") > max_both_js):
         bad = bad | F.coalesce(far, F.lit(False))
-    return df.withColumn("kept", ~F.col("base_failed") & ~bad).drop(*names)
+    # tied to a row number, which no filter passes: a filter on the verdict would else sink below the columns it is built from and compute them many times
+    return df.withColumn("kept", ~F.col("base_failed") & ~bad & (F.monotonically_increasing_id() >= 0)).drop(*names)
 
 
 def accepted(docs: DataFrame, text: str = "text", lang: str = "lang", **rules: float) -> DataFrame:
-    """The documents that ``quality_rules`` keeps, with their own columns alone.
-
-    The verdict is tied to a row number, which no filter passes: otherwise the filter would sink below the columns that the
-    verdict is built from and compute them over and over.
-    """
+    """The documents that ``quality_rules`` keeps, with their own columns alone."""
     name = fresh(docs, "_kept")[0]
-    own = docs.withColumns({name + "_text": F.col(text), name + "_lang": F.col(lang)})
-    judged = quality_rules(own.select(name + "_text", name + "_lang", F.struct(*docs.columns).alias(name + "_row")), name + "_text", name + "_lang", **rules)
-    judged = judged.select(name + "_row", (F.col("kept") & (F.monotonically_increasing_id() >= 0)).alias(name))
-    return judged.filter(name).select(name + "_row.*")
+    own = docs.select(F.col(text).alias(name + "_text"), F.col(lang).alias(name + "_lang"), F.struct(*docs.columns).alias(name + "_row"))
+    return quality_rules(own, name + "_text", name + "_lang", **rules).filter("kept").select(name + "_row.*")
