@@ -68,7 +68,7 @@ def coding_probability(features: DataFrame, vectors: np.ndarray, weights: np.nda
     """Score rows by a kernel machine given by the user: `vectors` (n x 4, scaled), their weights and the sigmoid values.
 
     The machine is a small fixed model (thousands of rows of four numbers); it
-    is sent once per executor. Label coding follows the sign of the decision.
+    is sent once per executor. The label follows the probability: coding above one half.
     """
     sc = features.sparkSession.sparkContext
     model = sc.broadcast((np.asarray(vectors, float), np.asarray(weights, float)))
@@ -89,4 +89,4 @@ def coding_probability(features: DataFrame, vectors: np.ndarray, weights: np.nda
 
     out = features.withColumn("decision", decide("pep_len", "fickett", "pi", "integrity"))
     return (out.withColumn("coding_probability", 1 / (1 + F.exp(F.lit(prob_a) * F.col("decision") + F.lit(prob_b))))
-               .withColumn("coding_label", F.when(F.col("decision") > 0, "coding").otherwise("noncoding")).drop("decision"))
+               .withColumn("coding_label", F.when(F.col("coding_probability") > 0.5, "coding").otherwise("noncoding")).drop("decision"))

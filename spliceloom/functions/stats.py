@@ -85,15 +85,18 @@ def chi_square_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def hypergeometric_tail(k: pd.Series, drawn: pd.Series, good: pd.Series, total: pd.Series) -> pd.Series:
     """P(X >= k) for `drawn` draws without return from `total` items of which `good` count."""
-    def choose(n, r):
-        return math.lgamma(n + 1) - math.lgamma(r + 1) - math.lgamma(n - r + 1)
-    def one(x, n, g, m):
-        top = min(n, g)
-        lo = max(x, n + g - m, 0)
-        base = choose(m, n)
-        logs = np.array([choose(g, i) + choose(m - g, n - i) - base for i in range(lo, top + 1)])
-        return float(min(1.0, np.exp(logs).sum())) if len(logs) else 0.0
-    return pd.Series([one(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(k, drawn, good, total)], dtype=float)
+    k, n, g, m = (c.to_numpy(np.int64) for c in (k, drawn, good, total))
+    if not len(k):
+        return pd.Series([], dtype=float)
+    lf = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, int(m.max()) + 1, dtype=float)))])  # log factorials, once per batch
+    lo, top = np.maximum(k, np.maximum(0, n + g - m)), np.minimum(n, g)
+    sizes = np.maximum(top - lo + 1, 0)
+    row = np.repeat(np.arange(len(k)), sizes)
+    i = lo[row] + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    def choose(a, b):
+        return lf[a] - lf[b] - lf[a - b]
+    terms = np.exp(choose(g[row], i) + choose((m - g)[row], n[row] - i) - choose(m, n)[row])
+    return pd.Series(np.minimum(1.0, np.bincount(row, terms, minlength=len(k))))
 
 
 def pooled_t(n1: Column, mean1: Column, var1: Column, n2: Column, mean2: Column, var2: Column) -> Column:

@@ -206,7 +206,7 @@ WITH s AS (SELECT c_nationkey AS condition, c_nationkey % 2 AS paired, 50 * (c_n
 o AS (SELECT condition, min(paired) AS p, min(read_length) AS l FROM s GROUP BY condition HAVING min(paired) = max(paired) AND min(read_length) = max(read_length))
 SELECT a.condition AS cond1, b.condition AS cond2, a.p AS paired, a.l AS read_length FROM o a JOIN o b ON a.p = b.p AND a.l = b.l AND a.condition < b.condition""")
 def comparable_conditions(spark, sf):
-    from spliceloom.operators.tests import comparable
+    from spliceloom.operators.significance import comparable
     s = P.table(spark, sf, "customer").select(F.col("c_nationkey").alias("condition"), (F.col("c_nationkey") % 2).alias("paired"), (50 * (F.col("c_nationkey") % 3)).alias("read_length"))
     return comparable(s)
 

@@ -77,7 +77,7 @@ def valid_chains(spark, sf):
 
 @query("significant_rows", "SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount <= 0.05")
 def significant_rows(spark, sf):
-    from spliceloom.operators.tests import significant
+    from spliceloom.operators.significance import significant
     return significant(P.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount"), 0.05, "l_discount")
 
 
@@ -312,7 +312,7 @@ def confident_polya_positions(spark, sf):
 SELECT coalesce(a.gene, b.gene) AS gene, coalesce(a.n, 0) AS ref_n, coalesce(b.n, 0) AS alt_n FROM (SELECT gene, count(*) AS n FROM iso_v WHERE status = 'P' GROUP BY gene) a
 FULL JOIN (SELECT gene, count(*) AS n FROM iso_v WHERE priority = '1-URGENT' GROUP BY gene) b ON a.gene = b.gene""")
 def full_allele_table(spark, sf):
-    from spliceloom.operators.tests import allele_table
+    from spliceloom.operators.significance import allele_table
     iso = P.isoforms(spark, sf)
     n = lambda d: d.groupBy("gene").agg(F.count(F.lit(1)).alias("n"))
     return allele_table(n(iso.filter("status = 'P'")), n(iso.filter("priority = '1-URGENT'")))
@@ -324,7 +324,7 @@ SELECT locus, haplo, min(allele) AS allele, round(any_value(ratio), 6) AS ratio
   FROM (SELECT DISTINCT c_nationkey, c_name AS haplo FROM customer) JOIN (SELECT n_nationkey, 'alt' AS allele, 'Customer#000000' || n_name AS txt FROM nation
     UNION ALL SELECT n_nationkey, 'ref', 'Customer#' || n_nationkey FROM nation) ON n_nationkey = c_nationkey)) WHERE ratio = best GROUP BY locus, haplo""")
 def best_allele_match(spark, sf):
-    from spliceloom.operators.tests import best_allele
+    from spliceloom.operators.significance import best_allele
     h = P.table(spark, sf, "customer").select(F.col("c_nationkey").alias("locus"), F.col("c_name").alias("haplo")).distinct()
     n = P.table(spark, sf, "nation")
     a = n.select(F.col("n_nationkey").alias("locus"), F.lit("alt").alias("allele"), F.concat(F.lit("Customer#000000"), "n_name").alias("text")).unionByName(
@@ -338,7 +338,7 @@ WITH c AS (SELECT m.event_id, m.gene, side, CASE WHEN n_ex > 2 THEN chain ELSE '
 SELECT a.event_id, a.gene, a.chain AS inc_chain, a.n AS inc_n, a.r AS inc_r, b.chain AS exc_chain, b.n AS exc_n, b.r AS exc_r FROM c a JOIN c b USING (event_id) WHERE a.side = 'inc' AND b.side = 'exc'""")
 def isoform_chain_pairs(spark, sf):
     from spliceloom.operators.events import event_members
-    from spliceloom.operators.tests import chain_pairs
+    from spliceloom.operators.significance import chain_pairs
     iso = P.isoforms(spark, sf)
     return chain_pairs(event_members(iso, "IR").drop("reads"), iso, 2)
 
@@ -349,7 +349,7 @@ WITH c AS (SELECT m.event_id, m.gene, side, CASE WHEN n_ex > 2 THEN chain ELSE '
 SELECT event_id, gene, max(chain) FILTER (side = 'inc') AS inc_chain, max(chain) FILTER (side = 'exc') AS exc_chain FROM c GROUP BY ALL
 HAVING count(*) FILTER (side = 'inc') > 0 AND count(*) FILTER (side = 'exc') > 0""")
 def one_chain_pair_per_event(spark, sf):
-    from spliceloom.operators.tests import one_pair
+    from spliceloom.operators.significance import one_pair
     return one_pair(isoform_chain_pairs(spark, sf)).select("event_id", "gene", "inc_chain", "exc_chain")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spliceloom.functions import blocks as B
 from spliceloom.operators import learning as L
 from spliceloom.operators import sweeps as W
-from spliceloom.operators import tests as T
+from spliceloom.operators import significance as T
 from spliceloom.plans import proxy as P
 from spliceloom.plans.registry import query, view
 

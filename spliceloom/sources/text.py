@@ -21,6 +21,10 @@ GENEPRED = [("trans", "string"), ("chrom", "string"), ("strand", "string"), ("st
             ("cds_end_stat", "string"), ("frames", "string")]
 SAM = [("name", "string"), ("flag", "int"), ("chrom", "string"), ("pos", "long"), ("mapq", "int"), ("cigar", "string"),
        ("mate_chrom", "string"), ("mate_pos", "long"), ("tlen", "long"), ("seq", "string"), ("qual", "string")]
+# Feature columns used for learning, in matrix order.
+FEATURES = ["isoLength", "flCount", "ratioIsoToGene", "exonNum", "GC", "orfLength", "orfIntegrity", "pepLength", "FickettScore", "pI",
+            "codingP", "canJuncRatio", "sdJuncCov", "minJuncRPKM", "nIndelsAroundJunc", "ratioMinJuncCovToAllCov",
+            "nJuncsWithIndels", "indelNearJunc"]
 CONDITION_COLUMNS = ["project", "sampleName", "condition", "repeat", "bamFile", "paired", "readsLength"]
 
 
@@ -28,7 +32,7 @@ def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def columns(df: DataFrame, fields: list[tuple[str, str]], extras: list[str] = (), skip: str = "^(#|track)",
+def columns(df: DataFrame, fields: list[tuple[str, str]], extras: list[str] = (), skip: str = "^(#|track |browser )",
             first: int = 0) -> DataFrame:
     """Cut lines at tabs into typed columns; `extras` name further text columns."""
     part = F.split("value", "\t")
@@ -126,9 +130,9 @@ def vcf_strings(snps: DataFrame, locus: str = "locus") -> DataFrame:
         F.array_join(F.transform("_b", lambda b: b["alt"]), "").alias("alt_text"))
 
 
-def headed(spark: SparkSession, path: str | list[str], schema: str | None = None, sep: str = "\t") -> DataFrame:
-    """A headed table; give a schema on large inputs to avoid the inference pass."""
-    reader = spark.read.option("header", True).option("sep", sep)
+def headed(spark: SparkSession, path: str | list[str], schema: str | None = None, sep: str = "\t", infer: bool = False) -> DataFrame:
+    """A headed table with columns by name; text unless a schema is given or inferred (one more pass)."""
+    reader = spark.read.option("header", True).option("sep", sep).option("inferSchema", infer)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -199,25 +203,39 @@ def read_chrom_sizes(spark, path):
     return columns(lines(spark, path), [("chrom", "string"), ("length", "long")])
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Add `source_order`: place of a row by file, block of the file and line. Call it on a fresh scan."""
+    return df.withColumn("source_order", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+
+
 def read_polya(spark, paths):
-    return polya_lengths(headed(spark, paths, "readname string, contig string, position long, leader_start double, "
-                                "adapter_start double, polya_start double, transcript_start double, read_rate double, "
-                                "polya_length double, qc_tag string"))
+    """Tail estimates by header name (readname, polya_length, qc_tag; others are ignored); the last row of a read wins."""
+    rows = in_file_order(headed(spark, paths, infer=False))
+    return polya_lengths(rows.select("readname", F.col("polya_length").try_cast("double").alias("polya_length"), "qc_tag", "source_order"))
 
 
 def read_quant(spark, path):
-    return headed(spark, path, "Name string, Length double, EffectiveLength double, TPM double, NumReads double")
+    """Quantification table by header name; every column but Name is a number."""
+    df = headed(spark, path, infer=False)
+    return df.select(*[F.col(c) if c == "Name" else F.col(f"`{c}`").try_cast("double").alias(c) for c in df.columns])
 
 
 def read_features(spark, path):
-    """A user's own feature file in place of computed features."""
-    return headed(spark, path).withColumnRenamed("isoform", "iso")
+    """A user's own feature file in place of computed features; every column but the isoform is a number where it can be."""
+    df = headed(spark, path, infer=False)
+    typed = [F.col(f"`{c}`").try_cast("double").alias(c) if c in FEATURES else F.col(f"`{c}`") for c in df.columns]
+    return df.select(*typed).withColumnRenamed("isoform", "iso")
 
 
 def read_haplotypes(spark, path):
-    """Count matrix whose first line is a comment line and whose second is the header."""
-    return haplotype_long(spark.read.option("header", True).option("sep", "\t").option("comment", "#")
-                          .option("inferSchema", True).csv(path), "haplotype")
+    """Count matrix: line 1 of each file is skipped whatever it holds, line 2 is the header, column 1 the index."""
+    text = lines(spark, path)
+    first, header = (r["value"] for r in text.head(2))
+    names = header.split("\t")
+    part = F.split("value", "\t")
+    rows = text.filter((F.col("value") != first) & (F.col("value") != header) & (F.length("value") > 0))
+    wide = rows.select(part[0].alias("haplo"), *[F.get(part, F.lit(i)).try_cast("double").alias(n) for i, n in enumerate(names) if i])
+    return haplotype_long(wide, "haplo")
 
 
 def pick(df: DataFrame, wanted: list[str | int | tuple[int, int]], sep: str | None = None, out: str = "picked",

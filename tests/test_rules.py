@@ -11,7 +11,7 @@ from spliceloom.functions.stats import hypergeometric_tail
 from spliceloom.operators import assign as A
 from spliceloom.operators import learning as L
 from spliceloom.operators import polya as PA
-from spliceloom.operators import tests as T
+from spliceloom.operators import significance as T
 from spliceloom.session import durable
 from spliceloom.sources import sequences as SQ
 from spliceloom.sources import sinks as K
