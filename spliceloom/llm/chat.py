@@ -34,18 +34,31 @@ def leaf_scores(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Depth and summed score from the root of every message, by doubling ancestor pointers with self-joins.
 
     ``messages``: tree, id, parent (null at a root), score. Round k knows the ancestor 2^k steps up and the sum of the scores up to
-    it, so rounds grow with the logarithm of the depth. Returns the messages with ``depth`` and ``total``, and the
-    pointer tables (tree, id, up) of the rounds.
+    it, so rounds grow with the logarithm of the depth; a tree whose messages all reach the root takes part in no further round. Returns the
+    messages that reach a root with ``depth`` and ``total``, and the pointer tables (tree, id, up) of the rounds. A message that
+    needs more steps than there are messages hangs on a cycle and is left out.
     """
     now = durable(messages.select("tree", "id", F.col("parent").alias("up"), F.lit(1).alias("depth"), F.col("score").cast("double").alias("total")))
-    steps = []
+    reach, n = 1, now.count()
+    steps, done = [], []
     while True:
-        steps.append(now.filter(F.col("up").isNotNull()).select("tree", "id", "up"))
-        above = now.select(F.col("tree").alias("_t"), F.col("id").alias("_i"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("total").alias("_s"))
-        if steps[-1].isEmpty():
-            return now, steps[:-1]
-        j = now.join(above, now["tree"].eqNullSafe(above["_t"]) & (now["up"] == above["_i"]), "left")
-        now = durable(j.select("tree", "id", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("_s", F.lit(0.0))).alias("total")))
+        open_ = now.filter(F.col("up").isNotNull())
+        if reach > n or open_.isEmpty():
+            break
+        steps.append(open_.select("tree", "id", "up"))
+        trees = durable(open_.select(F.col("tree").alias("_o")).distinct())
+        same = F.col("tree").eqNullSafe(F.col("_o"))
+        done.append(now.join(trees, same, "left_anti"))
+        live = now.join(trees, same, "left_semi")
+        below, roots = live.filter(F.col("up").isNotNull()), live.filter(F.col("up").isNull())
+        above = live.select(F.col("tree").alias("_t"), F.col("id").alias("_i"), F.col("up").alias("_up"), F.col("depth").alias("_d"), F.col("total").alias("_s"))
+        j = below.join(above, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_i")))
+        j = j.select("tree", "id", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth"), (F.col("total") + F.col("_s")).alias("total"))
+        now = durable(j.unionByName(roots))
+        reach *= 2
+    for part in done:
+        now = now.unionByName(part)
+    return durable(now.filter(F.col("up").isNull())), steps
 
 
 def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
@@ -57,6 +70,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     have = messages.select(F.col("tree").alias("_t"), F.col("id").alias("_p"))
     m = messages.join(have, messages["tree"].eqNullSafe(have["_t"]) & (messages["parent"] == have["_p"]), "left").select(
         "tree", "id", F.col("_p").alias("parent"), F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
+    m = durable(m)
     scored, steps = leaf_scores(m)
     parents = m.filter(F.col("parent").isNotNull()).select(F.col("tree").alias("_t"), F.col("parent").alias("_p")).distinct()
     leaves = scored.join(parents, scored["tree"].eqNullSafe(parents["_t"]) & (scored["id"] == parents["_p"]), "left_anti")
@@ -64,7 +78,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     on = durable(leaves.withColumn("path", rank).filter(F.col("path") <= paths).select("tree", "path", "id"))
     for up in steps:  # the places 0..2^k-1 above a leaf are known; the pointers of round k add the next 2^k
         u = up.select(F.col("tree").alias("_t"), F.col("id").alias("_i"), "up")
-        on = on.unionByName(on.join(u, on["tree"].eqNullSafe(u["_t"]) & (on["id"] == u["_i"])).select("tree", "path", F.col("up").alias("id")))
+        on = durable(on.unionByName(on.join(u, on["tree"].eqNullSafe(u["_t"]) & (on["id"] == u["_i"])).select("tree", "path", F.col("up").alias("id"))))
     depth = scored.select(F.col("tree").alias("_t"), F.col("id").alias("_i"), "depth")
     return on.join(depth, on["tree"].eqNullSafe(depth["_t"]) & (on["id"] == depth["_i"])).select("tree", "path", "depth", "id")
 

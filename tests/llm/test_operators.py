@@ -268,12 +268,12 @@ def test_token_files(spark, docs, none):
 def test_chat(spark, tmp_path):
     said = C.END + C.START + "assistant ok"
     rows = [(1, 10, None, "user", "hi", 0.0), (1, 11, 10, "assistant", "low", 0.1), (1, 12, 10, "assistant", said + "<\\|", 0.9), (1, 13, 12, "user", None, 0.2), (1, 14, 11, "user", "deep", 0.0),
-            (2, 10, 99, None, "", None), (None, 1, None, "a\\n\nb|<|", "null tree", 1.0)] + [(3, i, i - 1 if i else None, "assistant" if i % 2 else "user", f"t{i}", 0.0) for i in range(70)]
+            (4, 1, 2, "user", "on a cycle", 0.0), (4, 2, 1, "user", "on a cycle", 0.0), (4, 3, 2, "user", "below a cycle", 0.0), (2, 10, 99, None, "", None), (None, 1, None, "a\\n\nb|<|", "null tree", 1.0)] + [(3, i, i - 1 if i else None, "assistant" if i % 2 else "user", f"t{i}", 0.0) for i in range(70)]
     m = spark.createDataFrame(rows, "tree long, id long, parent long, role string, text string, score double")
     out = C.chat(m).withColumn("turns", C.read_turns(F.col("formatted"))).withColumn("loss", C.read_loss(F.col("formatted"), F.col("loss_spans")))
     got = {r["tree"]: ([tuple(t) for t in r["turns"]], r["loss"]) for r in out.collect()}
     assert got[1] == ([("user", "hi"), ("assistant", said + "<\\|"), ("user", "")], said + "<\\|")
-    assert got[2] == ([("", "")], "") and got[None] == ([("a\\n\nb|<|", "null tree")], "")
+    assert 4 not in got and got[2] == ([("", "")], "") and got[None] == ([("a\\n\nb|<|", "null tree")], "")
     assert [t[1] for t in got[3][0]] == [f"t{i}" for i in range(70)] and got[3][1] == "".join(f"t{i}" for i in range(1, 70, 2))
     assert C.chat(m, paths=2).filter("tree = 1").count() == 2 and C.chat(m.limit(0)).count() == 0
 
