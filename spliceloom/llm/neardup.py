@@ -195,6 +195,13 @@ def large_group_links(hot: DataFrame, comps: DataFrame, sets: DataFrame, percent
     return full.groupBy("grp", "i", "j").applyInArrow(lambda x: block_links(x, percent), "a binary, b binary")
 
 
+def open_groups(hot: DataFrame, comps: DataFrame) -> bool:
+    """Whether any hub and member of a large band are still in different components."""
+    root = lambda c: comps.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+    both = hot.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return not both.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).isEmpty()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) per row: components of documents with 100 * intersection >= percent * union of five-word shingle sets.
 
@@ -230,8 +237,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     sets = written(picked.select("text").mapInArrow(full, "print binary, hashes binary").groupBy("print").agg(F.first("hashes").alias("hashes")), "sets")
     links = durable(verified(near, sets, percent))
     comps = components(links)
-    if not hot.isEmpty():
-        comps = components(links.unionByName(large_group_links(hot, comps, sets, percent)))
+    if open_groups(hot, comps):
+        more = durable(large_group_links(hot, comps, sets, percent))
+        if not more.isEmpty():
+            comps = components(links.unionByName(more))
     named = nodes.select("print", "doc").join(comps.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     least = named.groupBy("root").agg(F.min("doc").alias("component"))
     label = named.join(least, "root").select("print", "component")
