@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Splice motifs counted as canonical.
 CANONICAL = ["GT-AG", "GC-AG", "AT-AC"]
@@ -111,34 +114,42 @@ def trim_pattern(seq: Column, qual: Column, pattern: str, prime: int) -> Column:
     return F.struct(cut.alias("seq"), side(qual, F.length(cut)).alias("qual"))
 
 
-def longest_orf(seq: Column) -> Column:
+ORF = T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "end", "integrity")])
+
+
+def orf_in(seq: str) -> tuple[int, int, int]:
+    """(start, end, integrity) of the longest ATG-to-stop run of one sequence; see `longest_orf`."""
+    x = np.frombuffer(seq.encode("ascii", "replace"), np.uint8)  # one byte per letter
+    best = (0, 0, 0, -1)
+    for frame in range(min(3, len(x))):
+        m = (len(x) - frame) // 3
+        one, two, three = x[frame:frame + 3 * m].reshape(m, 3).T
+        starts = np.flatnonzero((one == 65) & (two == 84) & (three == 71))
+        stops = np.flatnonzero((one == 84) & (((two == 65) & ((three == 65) | (three == 71))) | ((two == 71) & (three == 65))))
+        if not len(starts):
+            continue
+        # the first start behind the stop before; the last run ends with the text
+        ends = np.append(stops, m)
+        first = np.searchsorted(starts, np.append(0, stops + 1))
+        begin = np.append(starts, m)[first]
+        size = np.where(begin < ends, 3 * (ends - begin + 1), 0)
+        size[-1] = 3 * (m - begin[-1])
+        i = int(size.argmax())
+        if size[i]:
+            s = frame + 3 * int(begin[i])
+            best = min(best, (-int(size[i]), s, s + int(size[i]), 1 if i < len(stops) else -1))
+    return best[1:]
+
+
+@F.pandas_udf(ORF)
+def longest_orf(seq: pd.Series) -> pd.DataFrame:
     """struct(start, end, integrity) of the longest ATG-to-stop run over three frames.
 
     An open run reaches the last whole codon and has integrity -1, a closed one
-    includes its stop and has 1. Ties go to the upstream start. No ORF: (0, 0, -1).
+    includes its stop and has 1. Ties go to the upstream start. No ORF: (0, 0, -1). Null text: nulls.
     """
-    def best(frame: int) -> Column:
-        codons = F.regexp_extract_all(F.substring(seq, frame + 1, 2147483647), F.lit("(?s)(.{3})"), 1)
-        seed = F.struct(F.lit(frame).alias("at"), F.lit(-1).alias("open"), F.lit(0).alias("s"), F.lit(0).alias("e"),
-                        F.lit(-1).alias("ok"))
-        def step(a: Column, codon: Column) -> Column:
-            stop = codon.isin("TAG", "TAA", "TGA")
-            closes = (a["open"] >= 0) & stop
-            better = closes & (a["at"] + 3 - a["open"] > a["e"] - a["s"])
-            return F.struct((a["at"] + 3).alias("at"),
-                            F.when(closes, -1).when((a["open"] < 0) & (codon == "ATG"), a["at"]).otherwise(a["open"]).alias("open"),
-                            F.when(better, a["open"]).otherwise(a["s"]).alias("s"),
-                            F.when(better, a["at"] + 3).otherwise(a["e"]).alias("e"),
-                            F.when(better, 1).otherwise(a["ok"]).alias("ok"))
-        def finish(a: Column) -> Column:
-            tail = (a["open"] >= 0) & (a["at"] - a["open"] > a["e"] - a["s"])
-            return F.struct((-F.when(tail, a["at"] - a["open"]).otherwise(a["e"] - a["s"])).alias("rank"),
-                            F.when(tail, a["open"]).otherwise(a["s"]).alias("s"),
-                            F.when(tail, a["at"]).otherwise(a["e"]).alias("e"),
-                            F.when(tail, -1).otherwise(a["ok"]).alias("ok"))
-        return F.aggregate(codons, seed, step, finish)
-    return let(F.least(best(0), best(1), best(2)), lambda b: F.struct(
-        b["s"].alias("start"), b["e"].alias("end"), b["ok"].alias("integrity")))
+    rows = [(None, None, None) if s is None else orf_in(s) for s in seq]
+    return pd.DataFrame(rows, columns=["start", "end", "integrity"], dtype="Int32")
 
 
 # Fickett position and content thresholds, probabilities and weights.
@@ -167,20 +178,24 @@ def _step_table(value: Column, steps: list[float], table: list[float], weight: f
     return out
 
 
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def phase_counts(seq: pd.Series) -> pd.Series:
+    """Counts of A, C, G, T at each codon phase: twelve numbers, phases inside bases. Null text: null."""
+    code = np.full(256, 4, np.uint8)
+    code[list(b"ACGT")] = range(4)
+
+    def of(s: str | None) -> np.ndarray | None:
+        if s is None:
+            return None
+        x = code[np.frombuffer(s.encode("ascii", "replace"), np.uint8)]
+        return np.stack([np.bincount(x[i::3], minlength=5)[:4] for i in range(3)], axis=1).ravel()
+    return pd.Series([of(s) for s in seq], dtype=object)
+
+
 def fickett(seq: Column) -> Column:
     """Fickett score from the base counts of each codon phase."""
-    def phase(keep: int) -> Column:
-        pattern = "(?s)" + "".join("(.)" if i == keep else ".?" for i in range(3))
-        picked = F.regexp_replace(seq, pattern, "$1")
-        # a last group shorter than the phase keeps no letter
-        rest = F.pmod(F.length(seq), F.lit(3))
-        spare = F.when((rest > 0) & (rest <= keep), 1).otherwise(0)
-        return F.left(picked, F.length(picked) - spare)
-    # each stage is bound once: phases, base counts, then the eight values that the tables look up
-    def counts(p: Column) -> Column:
-        return F.struct(*[count_of(p[f"p{i}"], b).alias(f"{b}{i}") for b in "ACGT" for i in range(3)], p["size"].alias("size"))
     def values(c: Column) -> Column:
-        n = {b: [c[f"{b}{i}"] for i in range(3)] for b in "ACGT"}
+        n = {b: [c["n"][3 * i + k] for k in range(3)] for i, b in enumerate("ACGT")}
         return F.struct(*[((n[b][0] + n[b][1] + n[b][2]) / c["size"]).alias(f"{b}c") for b in "ACGT"],
                         *[(F.greatest(*n[b]) / (F.least(*n[b]) + 1.0)).alias(f"{b}p") for b in "ACGT"])
     def score(v: Column) -> Column:
@@ -189,6 +204,5 @@ def fickett(seq: Column) -> Column:
             total = total + _step_table(v[f"{b}c"], FICKETT_CONTENT_STEPS, FICKETT_CONTENT[b], FICKETT_CONTENT_WEIGHT[b])
             total = total + _step_table(v[f"{b}p"], FICKETT_POSITION_STEPS, FICKETT_POSITION[b], FICKETT_POSITION_WEIGHT[b])
         return total
-    phases = F.struct(*[phase(i).alias(f"p{i}") for i in range(3)], F.length(seq).alias("size"))
-    return F.when(F.length(seq) < 2, F.lit(0.0)).otherwise(
-        let(phases, lambda p: let(counts(p), lambda c: let(values(c), score))))
+    counted = F.struct(phase_counts(seq).alias("n"), F.length(seq).alias("size"))
+    return F.when(F.length(seq) < 2, F.lit(0.0)).otherwise(let(counted, lambda c: let(values(c), score)))

@@ -83,6 +83,14 @@ def sequences(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), to_bases(F.col("text")).alias("seq"))
 
 
+def dealt_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """The sequences for heavy work inside each text, dealt out evenly first when the scan has fewer tasks than a shuffle."""
+    docs, n = table(spark, sf, "documents").select("doc_id", "text"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if docs.rdd.getNumPartitions() < n:
+        docs = docs.repartition(n)
+    return docs.select(F.col("doc_id").alias("id"), to_bases(F.col("text")).alias("seq"))
+
+
 def genome(spark: SparkSession, sf: str) -> DataFrame:
     from spliceloom.sources.sequences import chunks
     return chunks(sequences(spark, sf).select(F.col("id").alias("chrom"), F.lit(0).cast("long").alias("pos"), "seq"))

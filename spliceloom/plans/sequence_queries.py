@@ -39,7 +39,7 @@ def gc_content(spark, sf):
 SELECT id, CAST(p AS BIGINT) AS part, round((length(w) - length(translate(w, 'GC', '')))::DOUBLE * 100 / length(w), 6) AS gc FROM (
   SELECT id, p, substr(seq, p * z + 1, z) AS w FROM (SELECT *, greatest(length(seq) // 20, 1) AS z FROM seq_v WHERE length(seq) > 0), unnest(range(0, (length(seq) + z - 1) // z)) t(p))""")
 def gc_along_reads(spark, sf):
-    r = P.sequences(spark, sf).filter(F.length("seq") > 0).select("id", F.explode(Q.gc_slices(F.col("seq"))).alias("x"))
+    r = P.dealt_sequences(spark, sf).filter(F.length("seq") > 0).select("id", F.explode(Q.gc_slices(F.col("seq"))).alias("x"))
     return r.select("id", F.col("x.part").cast("long").alias("part"), F.round("x.gc", 6).alias("gc"))
 
 
@@ -57,7 +57,7 @@ SELECT id, CAST(list_sum(list_transform(c, lambda x: ascii(x) - 33)) AS BIGINT)
 FROM (SELECT id, string_split(seq, '') AS c FROM seq_v WHERE length(seq) >= 10)""")
 def quality_statistics(spark, sf):
     s = F.col("seq")
-    return P.sequences(spark, sf).filter(F.length(s) >= 10).select(
+    return P.dealt_sequences(spark, sf).filter(F.length(s) >= 10).select(
         "id", Q.quality_sum(s).alias("qsum"), F.round(Q.quality_mean(s), 6).alias("qmean"), Q.low_quality_count(s, 34).cast("long").alias("low"), Q.bad_tail(s, 10, 34).alias("bad_tail"))
 
 
@@ -89,7 +89,7 @@ SELECT id, s, e, ok FROM (SELECT id, frame, run, min(pos) FILTER (codon = 'ATG')
 @query("longest_open_frames", """
 SELECT v.id, coalesce(s, 0)::BIGINT AS start, coalesce(e, 0)::BIGINT AS "end", coalesce(ok, -1)::BIGINT AS integrity FROM seq_v v LEFT JOIN orf_v o ON o.id = v.id""")
 def longest_open_frames(spark, sf):
-    r = P.sequences(spark, sf).select("id", Q.longest_orf(F.col("seq")).alias("o"))
+    r = P.dealt_sequences(spark, sf).select("id", Q.longest_orf(F.col("seq")).alias("o"))
     return r.select("id", *[F.col(f"o.{c}").cast("long").alias(c) for c in ("start", "end", "integrity")])
 
 
@@ -107,24 +107,24 @@ def _fickett_sql():
 
 @query("fickett_scores", _fickett_sql())
 def fickett_scores(spark, sf):
-    return P.sequences(spark, sf).filter(F.length("seq") >= 2).select("id", F.round(Q.fickett(F.col("seq")), 6).alias("fickett"))
+    return P.dealt_sequences(spark, sf).filter(F.length("seq") >= 2).select("id", F.round(Q.fickett(F.col("seq")), 6).alias("fickett"))
 
 
 @query("coding_features")
 def coding_features(spark, sf):
-    f = C.coding_features(P.sequences(spark, sf))
+    f = C.coding_features(P.dealt_sequences(spark, sf))
     return f.select("id", "length", "orf_start", "pep_len", F.round("fickett", 6).alias("fickett"), F.round("pi", 4).alias("pi"), "integrity")
 
 
 @query("peptide_lengths", "SELECT v.id, coalesce((e - s) // 3, 0) AS pep_len FROM seq_v v LEFT JOIN orf_v o ON o.id = v.id")
 def peptide_lengths(spark, sf):
-    return C.coding_features(P.sequences(spark, sf)).select("id", F.col("pep_len").cast("long").alias("pep_len"))
+    return C.coding_features(P.dealt_sequences(spark, sf)).select("id", F.col("pep_len").cast("long").alias("pep_len"))
 
 
 @query("coding_probabilities")
 def coding_probabilities(spark, sf):
     import numpy as np
-    f = C.coding_features(P.sequences(spark, sf))
+    f = C.coding_features(P.dealt_sequences(spark, sf))
     vectors = np.array([[-0.97, -0.17, 0.5, 1.0], [-0.99, -0.4, 0.2, -1.0], [-0.9, 0.3, 0.1, 1.0]])
     out = C.coding_probability(f, vectors, np.array([1.5, -2.0, 1.0]), 0.125, 0.1, -1.9, -0.5)
     return out.select("id", F.round("coding_probability", 6).alias("coding_probability"), "coding_label")
