@@ -245,6 +245,23 @@ def confirmed_sites(events: DataFrame, junctions: DataFrame, as_type: str) -> Da
                 .withColumn("junction_psi", F.floor(inc / (inc + exc) * 1000).cast("long")).drop("_lo_n", "_hi_n"))
 
 
+def confirmed_skips(events: DataFrame, skips: DataFrame) -> DataFrame:
+    """SE events that short reads name alike. skips: gene, left, right, chain, named by `name_novel_skips`."""
+    seen = skips.select(F.concat(F.col("gene"), F.lit(":"), F.col("left"), F.lit("@"), F.col("chain"), F.lit("@"), F.col("right")).alias("event_id"))
+    return events.join(seen.distinct(), "event_id", "left_semi")
+
+
+def confirmed_events(events: DataFrame, junctions: DataFrame, skips: DataFrame) -> DataFrame:
+    """(as_type, event_id) of the events of all four types that short reads confirm, each by the rule of its type."""
+    kind = lambda t: events.filter(F.col("as_type") == t)
+    parts = [confirmed_introns(kind("IR"), junctions), confirmed_skips(kind("SE"), skips), *[confirmed_sites(kind(t), junctions, t) for t in ("A3SS", "A5SS")]]
+    out = None
+    for p in parts:
+        one = p.select("as_type", "event_id")
+        out = one if out is None else out.unionByName(one)
+    return out.distinct()
+
+
 def with_confidence(events: DataFrame, confirmed: DataFrame | None) -> DataFrame:
     """`confident` flag: confirmed by short reads, or every event when there are none. confirmed: as_type, event_id."""
     if confirmed is None:
@@ -285,9 +302,9 @@ def splice_site_rows(events: DataFrame, as_type: str) -> DataFrame:
 
 
 def known_or_novel(events: DataFrame, known_ids: DataFrame) -> DataFrame:
-    """Events joined with their annotation; `known_ids` holds event_id."""
-    mark = known_ids.select("event_id").distinct().withColumn("_k", F.lit(True))
-    return (events.join(mark, "event_id", "left").withColumn("annotation", F.when(F.col("_k"), "Known").otherwise("Novel")).drop("_k"))
+    """Events joined with their annotation; `known_ids` holds as_type and event_id."""
+    mark = known_ids.select("as_type", "event_id").distinct().withColumn("_k", F.lit(True))
+    return (events.join(mark, ["as_type", "event_id"], "left").withColumn("annotation", F.when(F.col("_k"), "Known").otherwise("Novel")).drop("_k"))
 
 
 def short_read_skips(junctions: DataFrame, models: DataFrame, reads: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from spliceloom.functions import blocks as B
 from spliceloom.operators import events as E
 from spliceloom.operators import report as R
 from spliceloom.plans import proxy as P
-from spliceloom.plans.registry import query, view
+from spliceloom.plans.registry import VIEWS, query, view
 from spliceloom.sources.sinks import event_lines
 
 COUNTS = ["n_inc", "n_exc", "w_inc", "w_exc"]
@@ -174,19 +176,38 @@ for _t in ("A3SS", "A5SS"):
     query(f"confirmed_{_t.lower()}", CONFIRM.format(t=_t))(_confirmed(_t))
 
 
-@query("confident_events", """
-SELECT event_id, (chrom, lo, hi) IN (SELECT chrom, js, je FROM junc_v) AS confident FROM ir_v""")
+# events of all types that short reads confirm, each by the rule of its type
+view("jsite_v", """
+SELECT chrom, strand, 'left' AS edge, je AS site FROM junc_v UNION SELECT chrom, strand, 'right', js FROM junc_v""")
+view("skip_name_v", """
+SELECT s."left" AS l, s."right" AS r, s.chain, CASE WHEN s.gene <> 'Novel' THEN s.gene WHEN n.k = 1 THEN n.g ELSE 'Novel' END AS gene FROM skip_v s
+LEFT JOIN (SELECT s.chrom, s.strand, s."left", s."right", count(DISTINCT x.gene) AS k, min(x.gene)::VARCHAR AS g FROM (SELECT DISTINCT chrom, strand, "left", "right" FROM skip_v WHERE gene = 'Novel') s
+  JOIN mex_v x ON x.chrom = s.chrom AND x.strand = s.strand AND (x.e = s."left" OR x.s = s."right") GROUP BY ALL) n
+  ON n.chrom = s.chrom AND n.strand = s.strand AND n."left" = s."left" AND n."right" = s."right" """)
+view("sure_v", """
+SELECT 'IR' AS as_type, event_id FROM ir_v WHERE (chrom, lo, hi) IN (SELECT chrom, js, je FROM junc_v) UNION
+SELECT 'SE', event_id FROM se_v WHERE event_id IN (SELECT gene || ':' || l || '@' || chain || '@' || r FROM skip_name_v) UNION
+SELECT as_type, event_id FROM (SELECT *, CASE WHEN (as_type = 'A3SS') = (strand = '+') THEN 'left' ELSE 'right' END AS edge FROM alt_v) v
+WHERE (chrom, strand, edge, lo) IN (SELECT * FROM jsite_v) AND (chrom, strand, edge, hi) IN (SELECT * FROM jsite_v)""")
+
+
+def _confirmed_all(spark, sf, events):
+    from spliceloom.plans.join_queries import short_read_skips
+    models = P.models(spark, sf).select("gene", "chrom", "strand", "exons")
+    return E.confirmed_events(events, P.junction_table(spark, sf), E.name_novel_skips(short_read_skips(spark, sf), models))
+
+
+@query("confident_events", "SELECT as_type, event_id, (as_type, event_id) IN (SELECT as_type, event_id FROM sure_v) AS confident FROM event_v")
 def confident_events(spark, sf):
-    ev = E.retained_introns(P.isoforms(spark, sf)).withColumn("as_type", F.lit("IR"))
-    return E.with_confidence(ev, E.confirmed_introns(ev, P.junction_table(spark, sf))).select("event_id", "confident")
+    ev = E.all_events(P.isoforms(spark, sf))
+    return E.with_confidence(ev, _confirmed_all(spark, sf, ev)).select("as_type", "event_id", "confident")
 
 
 @query("isoforms_in_confident_events", """
-SELECT DISTINCT iso FROM irm_v m WHERE (chrom, lo, hi) IN (SELECT chrom, js, je FROM junc_v)""")
+SELECT DISTINCT iso FROM member_v WHERE (as_type, event_id) IN (SELECT as_type, event_id FROM sure_v)""")
 def isoforms_in_confident_events(spark, sf):
     iso = P.isoforms(spark, sf)
-    ev = E.confirmed_introns(E.retained_introns(iso), P.junction_table(spark, sf)).withColumn("as_type", F.lit("IR"))
-    return E.event_isoforms(E.event_members(iso, "IR").withColumn("as_type", F.lit("IR")), ev)
+    return E.event_isoforms(E.all_members(iso), _confirmed_all(spark, sf, E.all_events(iso)))
 
 
 @query("se_splice_sites", """
@@ -211,28 +232,28 @@ for _t, _plus in (("A3SS", "+"), ("A5SS", "-")):
     FROM alt_v WHERE as_type = '{_t}'""")(
         lambda spark, sf, t=_t: E.splice_site_rows(E.alternative_sites(P.isoforms(spark, sf), t), t))
 
-# events found in the annotation alone
-view("annir_v", """
-SELECT DISTINCT i.gene || ':' || i.a || '-' || i.b AS event_id FROM (SELECT DISTINCT gene, a, b FROM intr_v WHERE status = 'F') i
-JOIN ex_v x ON x.gene = i.gene AND x.status = 'F' AND x.s < i.a - 5 AND x.e > i.b + 5""")
+# events found in the annotation alone: the same views over the annotated isoforms
+view("fex_v", "SELECT * FROM ex_v WHERE status = 'F'")
+view("fexr_v", "SELECT * FROM exr_v WHERE status = 'F'")
+view("fintr_v", "SELECT * FROM intr_v WHERE status = 'F'")
+for _v in ("ret_v", "irm_v", "ir_v", "sem_v", "se_v", "edge_v", "altm_v", "alt_v", "event_v"):
+    view(f"f{_v}", re.sub(r"\b(?:ex|exr|intr|ret|irm|ir|sem|se|edge|altm|alt)_v\b", lambda m: "f" + m[0], VIEWS[_v]))
+view("ann_v", "SELECT as_type, event_id FROM fevent_v")
+ANNOTATION = "CASE WHEN (as_type, event_id) IN (SELECT as_type, event_id FROM ann_v) THEN 'Known' ELSE 'Novel' END AS annotation"
 
 
 def _annotated(spark, sf):
-    return E.retained_introns(P.isoforms(spark, sf).filter(F.col("status") == "F"))
+    return E.all_events(P.isoforms(spark, sf).filter(F.col("status") == "F")).select("as_type", "event_id")
 
 
-@query("known_and_novel_events", """
-SELECT event_id, chrom, strand, gene, CASE WHEN event_id IN (SELECT event_id FROM annir_v) THEN 'Known' ELSE 'Novel' END AS annotation FROM ir_v""")
+@query("known_and_novel_events", f"SELECT as_type, event_id, chrom, strand, gene, {ANNOTATION} FROM event_v")
 def known_and_novel_events(spark, sf):
-    return E.known_or_novel(E.retained_introns(P.isoforms(spark, sf)), _annotated(spark, sf)).select(
-        "event_id", "chrom", "strand", "gene", "annotation")
+    return E.known_or_novel(E.all_events(P.isoforms(spark, sf)), _annotated(spark, sf)).select("as_type", "event_id", "chrom", "strand", "gene", "annotation")
 
 
-@query("event_type_counts", """
-SELECT 'IR' AS as_type, CASE WHEN event_id IN (SELECT event_id FROM annir_v) THEN 'Known' ELSE 'Novel' END AS annotation, count(*) AS n FROM ir_v GROUP BY ALL""")
+@query("event_type_counts", f"SELECT as_type, annotation, count(*) AS n FROM (SELECT as_type, {ANNOTATION} FROM event_v) GROUP BY ALL")
 def event_type_counts(spark, sf):
-    ev = E.known_or_novel(E.retained_introns(P.isoforms(spark, sf)), _annotated(spark, sf)).withColumn("as_type", F.lit("IR"))
-    return R.event_counts(ev)
+    return R.event_counts(E.known_or_novel(E.all_events(P.isoforms(spark, sf)), _annotated(spark, sf)))
 
 
 @query("event_keys", "SELECT DISTINCT chrom || ':' || event_id || ':' || strand AS event FROM event_v WHERE event_id NOT LIKE '%Novel%'")
@@ -240,27 +261,29 @@ def event_keys(spark, sf):
     return R.event_list(E.all_events(P.isoforms(spark, sf)))
 
 
-@query("events_common_to_annotation", "SELECT event_id FROM ir_v INTERSECT SELECT event_id FROM annir_v")
+def _ids(spark, sf):
+    return E.all_events(P.isoforms(spark, sf)).select("as_type", "event_id")
+
+
+@query("events_common_to_annotation", "SELECT as_type, event_id FROM event_v INTERSECT SELECT as_type, event_id FROM ann_v")
 def events_common_to_annotation(spark, sf):
-    return E.retained_introns(P.isoforms(spark, sf)).select("event_id").intersect(_annotated(spark, sf).select("event_id"))
+    return _ids(spark, sf).intersect(_annotated(spark, sf))
 
 
-@query("events_outside_annotation", "SELECT event_id FROM ir_v EXCEPT SELECT event_id FROM annir_v")
+@query("events_outside_annotation", "SELECT as_type, event_id FROM event_v EXCEPT SELECT as_type, event_id FROM ann_v")
 def events_outside_annotation(spark, sf):
-    return E.retained_introns(P.isoforms(spark, sf)).select("event_id").subtract(_annotated(spark, sf).select("event_id"))
+    return _ids(spark, sf).subtract(_annotated(spark, sf))
 
 
-@query("events_known_or_confirmed", """
-SELECT event_id FROM annir_v UNION SELECT event_id FROM ir_v WHERE (chrom, lo, hi) IN (SELECT chrom, js, je FROM junc_v)""")
+@query("events_known_or_confirmed", "SELECT as_type, event_id FROM ann_v UNION SELECT as_type, event_id FROM sure_v")
 def events_known_or_confirmed(spark, sf):
-    sure = E.confirmed_introns(E.retained_introns(P.isoforms(spark, sf)), P.junction_table(spark, sf))
-    return _annotated(spark, sf).select("event_id").union(sure.select("event_id")).distinct()
+    return _annotated(spark, sf).union(_confirmed_all(spark, sf, E.all_events(P.isoforms(spark, sf)))).distinct()
 
 
 @query("event_set_overlap", """
-SELECT a.event_id IS NOT NULL AS in_a, b.event_id IS NOT NULL AS in_b, count(*) AS n FROM ir_v a FULL JOIN annir_v b ON a.event_id = b.event_id GROUP BY ALL""")
+SELECT a.event_id IS NOT NULL AS in_a, b.event_id IS NOT NULL AS in_b, count(*) AS n FROM event_v a FULL JOIN ann_v b ON a.as_type = b.as_type AND a.event_id = b.event_id GROUP BY ALL""")
 def event_set_overlap(spark, sf):
-    return R.set_overlap(E.retained_introns(P.isoforms(spark, sf)), _annotated(spark, sf), ["event_id"])
+    return R.set_overlap(_ids(spark, sf), _annotated(spark, sf), ["as_type", "event_id"])
 
 
 @query("event_highlights", """

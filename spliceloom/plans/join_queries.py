@@ -535,12 +535,15 @@ view("sre_v", """
 SELECT chrom, strand, dn, ac, body, min({'source': source, 'name': name}) AS b, any_value(cnt) AS skip_count FROM srs_v GROUP BY chrom, strand, dn, ac, body""")
 
 
-@query("short_read_skips", """
+view("skip_v", """
 SELECT v.chrom, v.strand, least(abs(v.dn), abs(ac)) AS "left", greatest(abs(v.dn), abs(ac)) AS "right", array_to_string(list_transform(list_sort(list_transform(string_split(body, ';'), lambda p:
     CASE WHEN v.strand = '+' THEN [split_part(p, '_', 1)::BIGINT, split_part(p, '_', 2)::BIGINT] ELSE [-split_part(p, '_', 2)::BIGINT, -split_part(p, '_', 1)::BIGINT] END)),
     lambda q: q[1] || '-' || q[2]), ';') AS chain,
   b.source AS source, CASE WHEN b.source = 'annotation' THEN b.name ELSE 'Novel' END AS gene, skip_count, total, CAST(floor(skip_count::DOUBLE / total * 1000) AS BIGINT) AS psi
 FROM sre_v v JOIN (SELECT chrom, strand, dn, CAST(sum(cnt) AS BIGINT) AS total FROM dn_v GROUP BY ALL) t USING (chrom, strand, dn)""")
+
+
+@query("short_read_skips", "SELECT * FROM skip_v")
 def short_read_skips(spark, sf):
     from spliceloom.operators.events import short_read_skips as skips
     m = P.models(spark, sf).select("chrom", "strand", F.col("gene").alias("name"), "exons")

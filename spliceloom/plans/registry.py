@@ -26,7 +26,17 @@ def with_views(body: str) -> str:
         todo = set().union(*(names(VIEWS[v]) for v in todo)) - need
     if not need:
         return body
-    head = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in VIEWS if v in need)
+    order: list[str] = []
+
+    def place(v: str) -> None:  # after the views that it reads
+        if v not in order:
+            for w in sorted(names(VIEWS[v]) - {v}):
+                place(w)
+            order.append(v)
+    for v in VIEWS:
+        if v in need:
+            place(v)
+    head = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in order)
     body = body.strip()
     if body.startswith("WITH "):
         return f"WITH {head},\n{body[5:]}"
