@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ WORD_SHARES = {
 MIN_CHARS = 100   # shorter texts get no verdict on characters
 MIN_WORDS = 50    # shorter texts get no verdict on words
 MAX_CHAR_JS = 0.12  # bits
-MAX_WORD_JS = 0.30  # bits
-MAX_BOTH_JS = 0.15  # bits, for the sum of the two
+WORD_PART = 0.8     # limit of the word divergence, as a part of what a text with no common word of its language has
+BOTH_PART = 0.9     # the same for the sum of the two
 
 
 def class_counts(text: Column, rest: Column) -> Column:
@@ -70,6 +72,12 @@ def covered(starts: Column, width: int = 5) -> Column:
     return F.aggregate(steps, F.lit(0), lambda x, y: x + y)
 
 
+def bare_js(code: str) -> float:
+    """Word divergence, in bits, of a text with no common word of the language: p is 1 for all other words, 0 elsewhere."""
+    q = 1 - sum(WORD_SHARES[code].values()) / 100
+    return (math.log2(2 / (1 + q)) + q * math.log2(2 * q / (1 + q)) + 1 - q) / 2
+
+
 def by_language(lang: Column, of) -> Column:
     """CASE over the reference languages; null for any other."""
     out = None
@@ -79,14 +87,15 @@ def by_language(lang: Column, of) -> Column:
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS,
-                  max_char_js: float = MAX_CHAR_JS, max_word_js: float = MAX_WORD_JS, max_both_js: float = MAX_BOTH_JS) -> DataFrame:
+                  max_char_js: float = MAX_CHAR_JS, max_word_js: float | None = None, max_both_js: float | None = None) -> DataFrame:
     """Base counts of every whole text, its divergence from the references of its language, and the verdict.
 
     Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` (long), ``base_failed``,
     ``char_js``, ``word_js`` (double, bits) and ``kept``; input columns with one of these names are replaced.
     All work is inside the row and nothing is shuffled, so a hot source or a repeated id changes nothing.
     A null or empty text has no words and fails the base rule. A language without a reference, or null, and a text
-    below the length guards get null divergences and no verdict beyond the base rule.
+    below the length guards get null divergences and no verdict beyond the base rule. The limits of the word divergence and
+    of the sum are parts of ``bare_js`` of the language (WORD_PART, BOTH_PART), unless given in bits.
     """
     names = fresh(docs, "_t", "_w", "_h", "_lines", "_cls", "_starts", "_low", "_q", "_rest")
     t, w, h, lines, cls, starts, low, q, rest = (F.col(x) for x in names)
@@ -109,7 +118,8 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", min_c
     word_js = F.aggregate(bins, other, lambda a, r: a + js_term(r["p"], r["q"]))
     df = df.withColumns({"base_failed": (n < 10) | (100 * F.col("n_repeat_words") > 20 * n), "char_js": F.when(total >= min_chars, char_js), "word_js": F.when(n >= min_words, word_js)})
     bad = F.lit(False)
-    for far in (F.col("char_js") > max_char_js, F.col("word_js") > max_word_js, F.col("char_js") + F.col("word_js") > max_both_js):
+    most = lambda given, part: F.lit(given) if given is not None else by_language(code, lambda c: F.lit(part * bare_js(c)))
+    for far in (F.col("char_js") > max_char_js, F.col("word_js") > most(max_word_js, WORD_PART), F.col("char_js") + F.col("word_js") > most(max_both_js, BOTH_PART)):
         bad = bad | F.coalesce(far, F.lit(False))
     # tied to a row number, which no filter passes: a filter on the verdict would else sink below the columns it is built from and compute them many times
     return df.withColumn("kept", ~F.col("base_failed") & ~bad & (F.monotonically_increasing_id() >= 0)).drop(*names)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from spliceloom.llm import chat as C
-from spliceloom.llm import pii, queries
+from spliceloom.llm import pii, quality, queries
 from spliceloom.llm.components import components
 from spliceloom.llm.decontaminate import contaminated, without_contaminated
 from spliceloom.llm.lines import PerfectHash, dedup_lines
@@ -120,6 +120,35 @@ def test_quality_divergence(spark):
     assert got == {1: True, 2: False, 3: False, 4: True}
 
 
+@pytest.mark.parametrize("lang", ["en", "de", "fr", "es"])
+def test_quality_word_soup(spark, lang):
+    r = random.Random(3)
+    low = [c for c in "bcdfghjklmnpqrstvwxz"]
+    upper = 0.35 if lang == "de" else 0.1  # nouns, or starts of sentences
+    common = list(quality.WORD_SHARES[lang].items())
+
+    def soup(n, filled):
+        out = []
+        for _ in range(n):
+            w = "".join(r.choice(low) for _ in range(r.randint(3, 8)))
+            w = (w.capitalize() if r.random() < upper else w) + r.choice([","] + [""] * 8 + ["."])
+            x = r.random() * 100
+            for k, share in common if filled else ():
+                x -= share
+                if x < 0:
+                    w = k
+                    break
+            out.append(w)
+        return " ".join(out)
+
+    # with the common words in their shares a text stays, without any it goes
+    rows = [(i, soup(300, i % 2 == 0), lang) for i in range(40)]
+    got = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(g["char_js"] < 0.05 and not g["base_failed"] for g in got.values())
+    assert {i: g["kept"] for i, g in got.items()} == {i: i % 2 == 0 for i in range(40)}
+    assert all(abs(g["word_js"] - quality.bare_js(lang)) < 1e-9 for i, g in got.items() if i % 2)
+
+
 def test_near_duplicates(spark, docs, none):
     for percent in (85, 80):
         got = near_duplicates(docs, percent).collect()
