@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spliceloom.session import written
+
 BROADCAST_ROWS = 1_000_000  # narrow rows (two or three numbers each) that may be broadcast
 
 
@@ -31,6 +33,11 @@ def sized(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a row id each, written to the shared folder, so that every reading sees the same ids."""
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names, from the wanted ones, that clash with no column of ``df`` in any letter case."""
     have = {c.lower() for c in df.columns}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spliceloom.session import durable
 
-from .common import BROADCAST_ROWS, fresh, sized, words
+from .common import BROADCAST_ROWS, fresh, numbered, sized, words
 
 WIDTH = 5
 THRESHOLD_PERCENT = 80  # of an item's shingles that a document must hold
@@ -82,7 +82,9 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = THRESHOLD_PER
     return out.groupBy(key, "item_id", "n_item_shingles").agg(F.max("n_shared").alias("n_shared"), F.max("containment").alias("containment")).select(key, "item_id", "n_item_shingles", "n_shared", "containment")
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, percent: int = THRESHOLD_PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents in no pair of ``contaminated``, with all their columns."""
-    bad = durable(contaminated(docs, items, percent, key, text).select(F.col(key).alias((k := fresh(docs, "_bad")[0]))).distinct())
-    return docs.join(sized(bad, bad.count()), F.col(key).eqNullSafe(F.col(k)), "left_anti")
+def without_contaminated(docs: DataFrame, items: DataFrame, percent: int = THRESHOLD_PERCENT, text: str = "text") -> DataFrame:
+    """The rows in no pair of ``contaminated``, with all their columns; rows are told apart by a row id, whatever their keys."""
+    row, k = fresh(docs, "_row", "_bad")
+    rows = numbered(docs, row)
+    bad = durable(contaminated(rows, items, percent, row, text).select(F.col(row).alias(k)).distinct())
+    return rows.join(sized(bad, bad.count()), F.col(row) == F.col(k), "left_anti").drop(row)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spliceloom.session import durable, written
 
-from .common import fresh, sized
+from .common import fresh, numbered, sized
 from .components import components
 from .lines import mixed
 
@@ -251,7 +251,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents kept by ``near_duplicates``, one of each group, with all their columns; rows that share a key stay together."""
-    name = fresh(docs, "_gone")[0]
-    gone = durable(near_duplicates(docs, percent, key, text).filter(~F.col("kept")).select(F.col(key).alias(name)).distinct())
-    return docs.join(sized(gone, gone.count()), F.col(key) == F.col(name), "left_anti")
+    """One row of each group of ``near_duplicates``, with all its columns: the smallest key, nulls last, then the first row.
+
+    Groups are formed by row, so a null or repeated key neither saves a copy nor takes another row along. Rows without a word all stay.
+    """
+    row, name = fresh(docs, "_row", "_gone")
+    rows = numbered(docs, row)
+    group = durable(near_duplicates(rows, percent, row, text).select(F.col(row).alias(name), F.col("component_id").alias("g")))
+    order = F.struct(F.col(key).isNull(), F.col(key), F.col(row))
+    best = group.join(rows.select(key, row), F.col(row) == F.col(name)).groupBy("g").agg(F.min_by(name, order).alias(name))
+    gone = durable(group.select(name).join(best, name, "left_anti"))
+    return rows.join(sized(gone, gone.count()), F.col(row) == F.col(name), "left_anti").drop(row)

@@ -186,6 +186,20 @@ def test_near_duplicates(spark, docs, none):
     assert near_duplicates(none).count() == 0 and without_near_duplicates(none).count() == 0
 
 
+def test_stages_decide_by_row(spark):
+    r = random.Random(8)
+    a, b, c, d = (" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(120)) for _ in range(4))
+    schema = "doc_id long, text string, n int"
+    # copies under null ids, one id with two texts, exact repeats under one id, words of no text
+    rows = [(None, a, 1), (None, a, 2), (9, a, 3), (None, b, 4), (None, b, 5), (2, c, 6), (7, d, 7), (7, c, 8), (7, d, 9), (None, "", 10), (None, None, 11)]
+    kept = without_near_duplicates(spark.createDataFrame(rows, schema).repartition(3), 80).collect()
+    left = {x["n"] for x in kept}
+    assert left & {1, 2, 3} == {3} and len(left & {4, 5}) == 1 and left & {6, 8} == {6} and len(left & {7, 9}) == 1 and {10, 11} <= left and len(kept) == 6
+    rows = [(None, a, 1), (None, b, 2), (3, a + " " + c, 3), (3, d, 4), (4, a, 5), (4, a, 6), (None, None, 7)]
+    bench = spark.createDataFrame([(1, " ".join(a.split()[10:60]))], "item_id long, text string")
+    assert {x["n"] for x in without_contaminated(spark.createDataFrame(rows, schema).repartition(3), bench).collect()} == {2, 4, 7}
+
+
 def test_hyperminhash_estimate():
     r = np.random.default_rng(3)
     both, a, b = (np.unique(r.integers(0, 2**64, n, dtype=np.uint64)) for n in (4000, 500, 500))
