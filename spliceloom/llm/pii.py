@@ -15,13 +15,22 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
+YEAR_FIRST = r"(?<![0-9./])[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}(?![0-9/])"
 OTHER_DATE = r"(?<![0-9./])[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|-[0-9])"
+# Digit groups that hold a card of fixed grouping (4-4-4-4, 4-6-5) with what stands around it; groups of a date are left out. Then the loose form, which ends
+# before such groups. Which of the groups make a card is decided by Luhn.
+MORE = r"(?![0-9]|[/.-][0-9])"
+GROUPED = (r"(?<![0-9])(?:[0-9]{1,3}[ -])?[0-9]{4}(?:[ -][0-9]{4}(?![0-9])){3}(?:[ -][0-9]{4}" + MORE + r"){0,8}(?:[ -][0-9]{1,3}" + MORE + r")?"
+           r"|(?<![0-9])(?:[0-9]{1,3}[ -])?[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![0-9])(?:[ -][0-9]{1,4}" + MORE + r")?")
+FIXED = r"[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9])|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![0-9])|[0-9]{13,19}(?![0-9])"
+LOOSE = r"(?<![0-9-])[0-9](?:(?![ -](?:" + FIXED + r"))[ -]?[0-9]){12,18}(?![0-9]|-[0-9])(?!(?<=[ -][0-9]{1,2})[/.][0-9])"
+CARD = GROUPED + "|" + LOOSE
+BLANK_PHONE = r"(?<![0-9A-Za-z])(?:1 )?[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9])"
 PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[.-])[0-9]{3,4}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
-KINDS = {"email": EMAIL, "iban": IBAN, "iso_date": ISO_DATE, "date": OTHER_DATE, "ssn": SSN, "ip": IP, "phone": PHONE, "card": CARD}
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, ISO_DATE, OTHER_DATE, SSN, IP, PHONE, CARD))
+KINDS = {"email": EMAIL, "iban": IBAN, "iso_date": ISO_DATE, "year_first": YEAR_FIRST, "date": OTHER_DATE, "ssn": SSN, "ip": IP, "phone": PHONE, "card": CARD, "blank_phone": BLANK_PHONE}
+ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, ISO_DATE, YEAR_FIRST, OTHER_DATE, SSN, IP, PHONE, CARD, BLANK_PHONE))
 
 
 def keyed(key: str, *parts: Column) -> Column:
@@ -106,8 +115,51 @@ def new_day(year: Column, month: Column, day: Column, key: str) -> Column:
     return F.date_add(F.lit("1800-01-01").cast("date"), (cycle * 146097 + p["l"] * 773 + p["r"]).cast("int"))
 
 
-def pseudonym(m: Column, key: str) -> tuple[Column, Column]:
-    """(kind, pseudonym) of one match; both null where the value doesn't validate."""
+def new_late_day(year: Column, month: Column, day: Column, key: str) -> Column:
+    """Another date of the same 400-year cycle with a day over 12 (88,497 = 9833 * 9 such days), or null if the date isn't one.
+
+    Dates that only read day-first stay among themselves, so that no two values get one pseudonym."""
+    valid = (year >= 1) & (month >= 1) & (month <= 12) & (day > 12) & (day <= days_in(year, month))
+    start = F.lit("1800-01-01").cast("date")
+    cycle = F.floor((year - 1800) / 400)
+    months = (year - 1800 - cycle * 400) * 12 + month - 1
+    first = lambda k: F.datediff(F.add_months(start, k.cast("int")), start)
+    at = F.when(valid, first(months) - 12 * months + day - 13)
+    p = feistel_pair(F.floor(at / 9), at % 9, 9833, 9, key, "late date")
+
+    def dated(x: Column) -> Column:
+        n = x["l"] * 9 + x["r"]
+        near = F.floor(n * 4800 / 88497)
+        month = F.array_max(F.filter(F.transform(F.array(near - 1, near, near + 1), lambda k: F.greatest(k, F.lit(0))), lambda k: first(k) - 12 * k <= n))
+        return F.date_add(start, (cycle * 146097 + n + 12 * month + 12).cast("int"))
+    return F.when(valid, F.transform(F.array(p), dated)[0])
+
+
+def card_spans(m: Column) -> Column:
+    """Ordered spans (s, e; from 1, both inside) of the card numbers in a match: runs of whole digit groups that pass Luhn.
+
+    Fixed groupings come first, then the whole match, then longer runs, then the leftmost; chosen runs don't overlap."""
+    groups = F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
+
+    def runs(g: Column) -> Column:
+        n = F.size(g)
+        end = lambda i: F.aggregate(F.slice(g, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x) + 1) - 1
+        one = lambda i, j: F.struct((end(i) - F.length(F.get(g, i)) + 1).alias("s"), end(j).alias("e"), F.array_join(F.slice(g, i + 1, j - i + 1), " ").alias("t"))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.transform(F.sequence(i, F.greatest(n - 1, i)), lambda j: one(i, j))))
+
+    found = F.flatten(F.transform(F.array(groups), runs))
+    digits = lambda t: F.replace(t, F.lit(" "), F.lit(""))
+    found = F.filter(found, lambda x: F.length(digits(x["t"])).between(13, 19))
+    found = F.filter(found, lambda x: luhn_sum(digits(x["t"]), 1) % 10 == 0)
+    ranked = F.sort_array(F.transform(found, lambda x: F.struct((~x["t"].rlike(f"^(?:{FIXED})$")).alias("loose"), (x["s"] - x["e"]).alias("less"), x["s"].alias("s"), x["e"].alias("e"))))
+    span = lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))
+    none = F.array().cast("array<struct<s:int,e:int>>")
+    chosen = F.aggregate(ranked, none, lambda a, x: F.when(F.exists(a, lambda y: (y["s"] <= x["e"]) & (x["s"] <= y["e"])), a).otherwise(F.concat(a, F.array(span(x)))))
+    return F.sort_array(chosen)
+
+
+def pseudonym(m: Column, key: str) -> tuple[Column, Column, Column]:
+    """(kind, pseudonym, number of values) of one match; the first two null where the value doesn't validate."""
     digits = only(m, "0-9")
     whole = {k: m.rlike(f"^(?:{p})$") for k, p in KINDS.items()}
     part = lambda p, i: F.regexp_extract(m, p, i).try_cast("int")
@@ -126,7 +178,10 @@ def pseudonym(m: Column, key: str) -> tuple[Column, Column]:
     dot = r"^(\d+)([./])(\d+)[./](\d+)$"
     us = F.regexp_extract(m, dot, 2) == "/"  # month/day/year with slashes, day.month.year with dots
     other = new_day(part(dot, 4), F.when(us, part(dot, 1)).otherwise(part(dot, 3)), F.when(us, part(dot, 3)).otherwise(part(dot, 1)), key)
-    other_text = F.when(us, F.date_format(other, "MM/dd/yyyy")).otherwise(F.date_format(other, "dd.MM.yyyy"))
+    late = F.when(us, new_late_day(part(dot, 4), part(dot, 3), part(dot, 1), key))  # day/month/year where only that reading is a date
+    other_text = F.when(us, F.coalesce(F.date_format(other, "MM/dd/yyyy"), F.date_format(late, "dd/MM/yyyy"))).otherwise(F.date_format(other, "dd.MM.yyyy"))
+    slash = r"^(\d+)/(\d+)/(\d+)$"
+    year_first = new_day(part(slash, 1), part(slash, 2), part(slash, 3), key)
     # US social security numbers: area 001-899 without 666, group 01-99, serial 0001-9999
     area, group, serial = (part(r"^(\d+)-(\d+)-(\d+)$", i) for i in (1, 2, 3))
     ssn_ok = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
@@ -137,21 +192,25 @@ def pseudonym(m: Column, key: str) -> tuple[Column, Column]:
     ip_ok = (octet[0] < 256) & (octet[1] < 256) & (octet[2] < 256) & (octet[3] < 256)
     q = feistel_pair(octet[0] * 256 + octet[1], octet[2] * 256 + octet[3], 65536, 65536, key, "ip")
     ip = F.transform(F.array(q), lambda x: F.concat_ws(".", F.floor(x["l"] / 256), x["l"] % 256, F.floor(x["r"] / 256), x["r"] % 256))[0]
-    # cards: Luhn numbers; all digits but the last are permuted, the last follows
-    payload = feistel_text(F.substr(digits, F.lit(1), F.length(digits) - 1), DIGITS, key)
-    card = F.transform(F.array(payload), lambda x: refill(m, "0-9", F.concat(x, ((10 - luhn_sum(x, 0) % 10) % 10).cast("string"))))[0]
+    # cards: Luhn numbers; all digits but the last are permuted, the last follows; what stands around a card in the match stays
+    def card_of(s: Column) -> Column:
+        payload = feistel_text(F.substr(only(s, "0-9"), F.lit(1), F.length(only(s, "0-9")) - 1), DIGITS, key)
+        return F.transform(F.array(payload), lambda x: refill(s, "0-9", F.concat(x, ((10 - luhn_sum(x, 0) % 10) % 10).cast("string"))))[0]
+    spans = F.when(whole["card"], card_spans(m))
+    card = F.aggregate(spans, F.struct(F.lit("").alias("o"), F.lit(1).alias("at")), lambda a, x: F.struct(
+        F.concat(a["o"], F.substr(m, a["at"], x["s"] - a["at"]), card_of(F.substr(m, x["s"], x["e"] - x["s"] + 1))).alias("o"), (x["e"] + 1).alias("at")), lambda a: F.concat(a["o"], F.substr(m, a["at"])))
     # phones: the country code stays
     code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
     rest = F.substr(m, F.length(code) + 1)
     phone = F.concat(code, refill(rest, "0-9", feistel_text(only(rest, "0-9"), DIGITS, key)))
     phone_ok = F.length(digits).between(7, 15)
-    card_ok = F.length(digits).between(13, 19) & (luhn_sum(digits, 1) % 10 == 0)
-    cases = [("email", whole["email"], mail), ("iban", whole["iban"] & iban_ok, iban), ("date", whole["iso_date"] & iso.isNotNull(), F.date_format(iso, "yyyy-MM-dd")), ("date", whole["date"] & other.isNotNull(), other_text),
-             ("ssn", whole["ssn"] & ssn_ok, ssn), ("ip", whole["ip"] & ip_ok, ip), ("card", whole["card"] & card_ok, card), ("phone", whole["phone"] & phone_ok, phone)]
+    card_ok = F.size(spans) > 0
+    cases = [("email", whole["email"], mail), ("iban", whole["iban"] & iban_ok, iban), ("date", whole["iso_date"] & iso.isNotNull(), F.date_format(iso, "yyyy-MM-dd")), ("date", whole["year_first"] & year_first.isNotNull(), F.date_format(year_first, "yyyy/MM/dd")), ("date", whole["date"] & other_text.isNotNull(), other_text),
+             ("ssn", whole["ssn"] & ssn_ok, ssn), ("ip", whole["ip"] & ip_ok, ip), ("card", whole["card"] & card_ok, card), ("phone", (whole["phone"] | whole["blank_phone"]) & phone_ok, phone)]
     kind, new = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, test, value in reversed(cases):
         kind, new = F.when(test, F.lit(name)).otherwise(kind), F.when(test, value).otherwise(new)
-    return kind, new
+    return kind, new, F.when(kind == "card", F.size(spans)).otherwise(1)
 
 
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -171,12 +230,12 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     df = df.withColumn(parts, F.when(F.size(found) > 0, F.split(t, ANY, -1)))
 
     def replaced(m: Column) -> Column:
-        kind, new = pseudonym(m, key)
-        return F.struct(kind.alias("kind"), F.coalesce(new, m).alias("new"))
+        kind, new, n = pseudonym(m, key)
+        return F.struct(kind.alias("kind"), F.coalesce(new, m).alias("new"), n.alias("n"))
 
     df = df.withColumn(done, F.transform(found, replaced))
     good = F.filter(done, lambda x: x["kind"].isNotNull())
-    df = df.withColumn(n_pii, F.coalesce(F.size(good), F.lit(0)).cast("long")).withColumn(n_pii, F.greatest(F.col(n_pii), F.lit(0).cast("long")))
+    df = df.withColumn(n_pii, F.coalesce(F.aggregate(good, F.lit(0), lambda a, x: a + x["n"]), F.lit(0)).cast("long"))
     df = df.withColumn(kinds, F.coalesce(F.sort_array(F.array_distinct(F.transform(good, lambda x: x["kind"]))), F.array().cast("array<string>")))
     joined = F.array_join(F.zip_with(parts, F.transform(done, lambda x: x["new"]), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     return df.withColumn(text, F.when(F.size(found) > 0, joined).otherwise(t)).drop(found, parts, done)

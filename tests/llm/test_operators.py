@@ -272,6 +272,33 @@ def test_pseudonyms(spark, docs, none):
     assert pii.pseudonymised(none, "k").count() == 0 and pii.pseudonymised(docs, "k").count() == len(corpus())
 
 
+def test_pseudonyms_in_part(spark):
+    visa, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    texts = [visa, f"{visa} 12/25", f"{visa} 123", f"2 {visa}", f"1234 {visa}", f"{visa} 12/25/2030", f"{visa} 5500 0000 0000 0004", f"{amex} 1234", "4111111111111111 123", "2 4111111111111111 12/25", f"{visa} 12", f"{visa} 2020-02-29",
+             "6304 0000 0000 0000 000", "25/12/2020", "12/25/2020", "2020/12/25", "212 555 1234", "31/02/2020", "4111-1111-1111-1111-123"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymised(rows, "k").collect()}
+    new = {t: got[i]["text"] for i, t in enumerate(texts)}
+    n = [got[i]["n_pii"] for i in range(len(texts))]
+    assert n == [1, 1, 1, 1, 1, 2, 2, 1, 1, 1, 1, 2, 1, 1, 1, 1, 1, 0, 1]
+    card = new[visa]
+    assert card != visa and luhn(card.replace(" ", ""))
+    for t in texts[1:5] + [texts[10]]:
+        assert new[t] == t.replace(visa, card)
+    for t in (texts[5], texts[6], texts[11]):
+        assert new[t].startswith(card + " ") and new[t][20:] != t[20:] and len(new[t]) == len(t)
+    assert new[texts[8]] == card.replace(" ", "") + " 123" and new[texts[9]] == "2 " + card.replace(" ", "") + " 12/25" and new[texts[18]] == card.replace(" ", "-") + "-123"
+    assert new[texts[7]].endswith(" 1234") and luhn(new[texts[7]][:-5].replace(" ", "")) and amex not in new[texts[7]]
+    day, month, year = map(int, new["25/12/2020"].split("/"))
+    assert datetime.date(year, month, day) != datetime.date(2020, 12, 25) and day > 12
+    assert datetime.date.fromisoformat(new["2020/12/25"].replace("/", "-")) == datetime.datetime.strptime(new["12/25/2020"], "%m/%d/%Y").date()
+    assert new["212 555 1234"] != "212 555 1234" and new["31/02/2020"] == "31/02/2020"
+    # the dates that only read day-first are permuted among themselves
+    late = [d for k in range(4000) if (d := datetime.date(1999, 1, 1) + datetime.timedelta(k)).day > 12]
+    days = spark.createDataFrame([(d.year, d.month, d.day) for d in late], "y int, m int, d int").select(pii.new_late_day(F.col("y"), F.col("m"), F.col("d"), "k").alias("x")).collect()
+    assert len({r["x"] for r in days}) == len(late) and all(r["x"].day > 12 and 1800 <= r["x"].year < 2200 for r in days)
+
+
 def test_feistel_permutes(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"), (F.col("id") % 20).alias("l"), F.floor(F.col("id") / 20).alias("r"))
     assert df.select(pii.feistel_text(F.col("s"), pii.DIGITS, "k").alias("x")).distinct().count() == 1000
