@@ -79,50 +79,64 @@ def chrom_lengths(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("chrom").agg(F.sum(F.length("seq")).alias("length"))
 
 
-def windows(genome: DataFrame, spans: DataFrame, start: str, end: str, out: str, strand: str | None = None) -> DataFrame:
+def span_texts(genome: DataFrame, spans: DataFrame, start: str, end: str, out: str, strand: str | None = None) -> DataFrame:
     """Attach the genome text of [start, end) to each span, reverse-complemented on '-' when `strand` is given.
 
     Spans no longer than the chunk overlap read one chunk; longer ones are put
-    together from the chunks they cross.
+    together from the chunks they cross. Every span stays; one that is not wholly
+    inside its sequence, or whose sequence is unknown, has a null text.
     """
-    short = (F.col(end) - F.col(start)) <= LAP
+    short = F.coalesce((F.col(end) - F.col(start)) <= LAP, F.lit(True))
+    whole = lambda text: F.when(F.length(text) == F.col(end) - F.col(start), text)
     cut = lambda s, e, c: F.substring("seq", (s - c * CHUNK + 1).cast("int"), (e - s).cast("int"))
     one = (spans.filter(short).withColumn("chunk", F.floor(F.col(start) / CHUNK).cast("long"))
-           .join(genome, ["chrom", "chunk"]).withColumn(out, cut(F.col(start), F.col(end), F.col("chunk"))).drop("seq", "chunk"))
-    many = (spans.filter(~short).withColumn("chunk", F.explode(F.sequence(
+           .join(genome, ["chrom", "chunk"], "left").withColumn(out, whole(cut(F.col(start), F.col(end), F.col("chunk")))).drop("seq", "chunk"))
+    wide = spans.filter(~short)
+    many = (wide.select("chrom", start, end).distinct().withColumn("chunk", F.explode(F.sequence(
                 F.floor(F.col(start) / CHUNK).cast("long"), F.floor((F.col(end) - 1) / CHUNK).cast("long"))))
             .join(genome, ["chrom", "chunk"])
             .withColumn("_p", cut(F.greatest(F.col(start), F.col("chunk") * CHUNK),
                                   F.least(F.col(end), (F.col("chunk") + 1) * CHUNK), F.col("chunk"))))
     parts = F.array_sort(F.collect_list(F.struct("chunk", "_p")))
-    long = many.groupBy(*spans.columns).agg(F.array_join(F.transform(parts, lambda p: p["_p"]), "").alias(out))
-    both = one.unionByName(long).filter(F.length(out) == F.col(end) - F.col(start))
+    text = many.groupBy("chrom", start, end).agg(F.array_join(F.transform(parts, lambda p: p["_p"]), "").alias(out))
+    both = one.unionByName(wide.join(text.withColumn(out, whole(F.col(out))), ["chrom", start, end], "left"))
     return both.withColumn(out, on_strand(F.col(out), F.col(strand))) if strand else both
 
 
+def windows(genome: DataFrame, spans: DataFrame, start: str, end: str, out: str, strand: str | None = None) -> DataFrame:
+    """``span_texts`` of the spans that are wholly inside their sequence; the others are left out."""
+    return span_texts(genome, spans, start, end, out, strand).filter(F.col(out).isNotNull())
+
+
 def splice_motifs(genome: DataFrame, introns: DataFrame) -> DataFrame:
-    """Add `motif` donor-acceptor (strand aware), `left_two` and `right_two` (genome text) to introns (chrom, strand, a, b)."""
+    """Add `motif` donor-acceptor (strand aware), `left_two` and `right_two` (genome text) to introns (chrom, strand, a, b).
+
+    Every intron stays; where an edge lies outside its sequence, that edge and the motif are null.
+    """
     keys = introns.select("chrom", "a", "b").distinct()
     edges = (keys.withColumn("_x", F.explode(F.array(
         F.struct(F.lit("left_two").alias("side"), F.col("a").alias("s")),
         F.struct(F.lit("right_two").alias("side"), (F.col("b") - 2).alias("s")))))
         .select("chrom", "a", "b", "_x.side", F.col("_x.s").alias("s"), (F.col("_x.s") + 2).alias("e")))
-    two = windows(genome, edges, "s", "e", "_t")
+    two = span_texts(genome, edges, "s", "e", "_t")
     wide = two.groupBy("chrom", "a", "b").agg(*[F.max(F.when(F.col("side") == c, F.upper("_t"))).alias(c)
                                                 for c in ("left_two", "right_two")])
     l, r = F.col("left_two"), F.col("right_two")
     minus = F.concat_ws("-", on_strand(r, F.lit("-")), on_strand(l, F.lit("-")))
-    return (introns.join(wide, ["chrom", "a", "b"])
-                   .withColumn("motif", F.when(F.col("strand") == "-", minus).otherwise(F.concat_ws("-", l, r))))
+    return (introns.join(wide, ["chrom", "a", "b"], "left")
+                   .withColumn("motif", F.when(l.isNotNull() & r.isNotNull(), F.when(F.col("strand") == "-", minus).otherwise(F.concat_ws("-", l, r)))))
 
 
 def spliced(genome: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Transcript text: exon texts in order, reverse-complemented on '-'. Input: iso, chrom, strand, exons."""
-    ex = transcripts.select("iso", "chrom", "strand", F.posexplode("exons").alias("k", "x")).select(
+    """Transcript text: exon texts in order, reverse-complemented on '-'. Input: iso, chrom, strand, exons.
+
+    A transcript without exons, or with one that is not wholly inside its sequence, has a null text.
+    """
+    ex = transcripts.select("iso", "chrom", "strand", F.posexplode_outer("exons").alias("k", "x")).select(
         "iso", "chrom", "strand", "k", F.col("x.s").alias("s"), F.col("x.e").alias("e"))
-    got = windows(genome, ex, "s", "e", "_q")
+    got = span_texts(genome, ex, "s", "e", "_q")
     parts = F.array_sort(F.collect_list(F.struct("k", "_q")))
-    return (got.groupBy("iso", "strand").agg(F.array_join(F.transform(parts, lambda p: p["_q"]), "").alias("_t"))
+    return (got.groupBy("iso", "strand").agg(F.when(F.count("_q") == F.count(F.lit(1)), F.array_join(F.transform(parts, lambda p: p["_q"]), "")).alias("_t"))
                .select("iso", on_strand(F.col("_t"), F.col("strand")).alias("seq")))
 
 

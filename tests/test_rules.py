@@ -159,6 +159,19 @@ def test_fasta_in_small_blocks(spark, tmp_path):
     assert {r["s"]: r["t"] for r in got} == {9_990: genome["chr1"][9_990:10_020], 5: want}
 
 
+def test_spans_outside_their_sequence(spark):
+    pieces = [("c", 0, "GTAACCGGAG"), ("d", 0, "ACGT" * 3000)]
+    g = SQ.chunks(spark.createDataFrame(pieces, "chrom string, pos long, seq string"))
+    rows = [("cut", "c", "+", [(0, 4), (8, 14)]), ("whole", "c", "-", [(0, 4), (8, 10)]), ("far", "x", "+", [(0, 4)]), ("none", "c", "+", []), ("long", "d", "+", [(1, 11_001)]), ("over", "d", "+", [(1, 12_001)])]
+    tr = spark.createDataFrame(rows, "iso string, chrom string, strand string, exons array<struct<s:long,e:long>>")
+    assert {r["iso"]: r["seq"] for r in SQ.spliced(g, tr).collect()} == {"cut": None, "whole": "CTTTAC", "far": None, "none": None, "long": ("ACGT" * 3000)[1:11_001], "over": None}
+    introns = spark.createDataFrame([("c", "+", 0, 10), ("c", "-", 0, 10), ("c", "+", 0, 14), ("x", "+", 0, 10)], "chrom string, strand string, a long, b long")
+    got = sorted((r["chrom"], r["strand"], r["b"], r["left_two"], r["motif"]) for r in SQ.splice_motifs(g, introns).collect())
+    assert got == [("c", "+", 10, "GT", "GT-AG"), ("c", "+", 14, "GT", None), ("c", "-", 10, "GT", "CT-AC"), ("x", "+", 10, None, None)]
+    twice = spark.createDataFrame([("d", "+", 1, 2_001)] * 2, "chrom string, strand string, s long, e long")
+    assert [r["t"] for r in SQ.windows(g, twice, "s", "e", "t").collect()] == [("ACGT" * 3000)[1:2_001]] * 2
+
+
 def test_fastq_in_small_blocks(spark, tmp_path):
     path = tmp_path / "r.fq"
     path.write_text("".join(f"@read{i} x\n{'ACGT' * (i % 5 + 1)}\n+\n{'IIII' * (i % 5 + 1)}\n" for i in range(200)))
