@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ EMPTY = 0xFFFF
 COLD = 64                # members up to which a band's pairs are listed
 BLOCK = 192              # members of a block of a larger group
 EXACT_BELOW = 64         # sets up to this size skip the estimate
-SIGMAS = 5
+MISS = 1e-12             # most that the estimate may lose of pairs at the threshold
 
 _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(0, 2**31, BANDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -80,6 +81,17 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tu
     return np.maximum(0.0, (share - chance) / (1 - chance)), k
 
 
+def least_equal(t: float) -> np.ndarray:
+    """For each number of used buckets, the largest cut that a pair with Jaccard ``t`` falls below with probability MISS at most (exact binomial)."""
+    out = []
+    for k in range(BANDS * BUCKETS + 1):
+        below, cut = 0.0, 0
+        while cut <= k and (below := below + comb(k, cut) * t ** cut * (1 - t) ** (k - cut)) <= MISS:
+            cut += 1
+        out.append(cut)
+    return np.array(out)
+
+
 def binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
@@ -110,8 +122,8 @@ def bands(nodes: DataFrame) -> DataFrame:
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose estimate is not SIGMAS standard errors below the threshold; small sets always pass."""
-    t = percent / 100
+    """Pairs (a, b) with at least ``least_equal`` buckets alike; small sets always pass."""
+    least = least_equal(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -119,7 +131,7 @@ def estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 ra, rb = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint16).reshape(x.num_rows, -1) for c in ("ra", "rb"))
                 na, nb = (x.column(c).to_numpy() for c in ("na", "nb"))
                 j, k = estimate(ra, rb, na, nb)
-                ok = (j >= t - SIGMAS * np.sqrt(t * (1 - t) / k)) | (np.minimum(na, nb) <= EXACT_BELOW)
+                ok = (j * k >= least[k] - 0.5) | (np.minimum(na, nb) <= EXACT_BELOW)  # the correction takes off less than 0.05 of a bucket
                 yield x.select(["a", "b"]).filter(pa.array(ok))
     side = lambda c: nodes.select(F.col("print").alias(c), F.col("n").alias(f"n{c}"), F.col("regs").alias(f"r{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a binary, b binary")

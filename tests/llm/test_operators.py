@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from spliceloom.llm import chat as C
-from spliceloom.llm import pii, quality, queries
+from spliceloom.llm import neardup, pii, quality, queries
 from spliceloom.llm.components import components
 from spliceloom.llm.decontaminate import contaminated, without_contaminated
 from spliceloom.llm.lines import PerfectHash, dedup_lines
@@ -209,6 +210,18 @@ def test_hyperminhash_estimate():
     assert abs(j[0] - 0.8) < 0.15
 
 
+def test_estimate_keeps_borderline_pairs(spark):
+    for percent, cut in ((85, 76), (80, 67)):
+        least, t = neardup.least_equal(percent / 100), percent / 100
+        tail = lambda c: sum(math.comb(128, i) * t ** i * (1 - t) ** (128 - i) for i in range(c))
+        assert least[128] == cut and tail(cut) <= 1e-12 < tail(cut + 1)
+    a = np.arange(128, dtype=np.uint16)
+    alike = {b"a": 128, b"b": 80, b"c": 70}  # buckets equal to those of a
+    nodes = spark.createDataFrame([(bytearray(p), 1000, bytearray(np.where(np.arange(128) < n, a, a + 1000).astype(np.uint16).tobytes())) for p, n in alike.items()], "print binary, n long, regs binary")
+    pairs = spark.createDataFrame([(bytearray(b"a"), bytearray(b"b")), (bytearray(b"a"), bytearray(b"c"))], "a binary, b binary")
+    assert [bytes(r["b"]) for r in neardup.estimated(pairs, nodes, 85).collect()] == [b"b"]
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(300 + i, 301 + i) for i in range(60)] + [(500, i + 501) for i in range(50)]
