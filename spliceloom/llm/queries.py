@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from . import chat as C
+from .alignment import aligned
 from .common import table, words
 from .decontaminate import contaminated
 from .lines import dedup_lines
@@ -16,6 +17,7 @@ from .pii import pseudonymised
 from .quality import quality_rules
 from .repeats import without_repeats
 from .sharding import contiguous_shards
+from .spelling import spelling_variants
 from .tokens import read_token_files, write_token_files
 
 QUERIES: dict = {}
@@ -130,6 +132,19 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("taken_times") * F.col("size")).alias("taken"))
 
 
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    out = aligned(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(table(spark, sf, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
