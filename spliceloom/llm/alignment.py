@@ -29,7 +29,7 @@ CACHE_BYTES = 96 << 20   # of shards that a Python worker keeps
 #: The word pattern of the byte-level vocabulary, a fixed value of its pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Beyond these code points libraries may know other versions of the character classes.
-UNSURE = re.compile("[^\x00-ɏ -⁯]")
+UNSURE = re.compile("[^\x00-\u024f\u2000-\u206f]")
 
 Vocabulary = tuple[Callable[[list[str]], list], list[bytes]]
 
@@ -85,7 +85,7 @@ class Side:
         self.text = entries.take(self.flat)                # bytes of all tokens, one after another
 
     def data(self) -> memoryview:
-        return memoryview(self.text.buffers()[2] or b"")[:int(self.upto[-1])]
+        return memoryview(self.text.buffers()[2] or b"").cast("B")[:int(self.upto[-1])]
 
 
 def faithful(raw: list[bytes], sides: list[Side]) -> np.ndarray:
