@@ -16,6 +16,7 @@ from .neardup import near_duplicates
 from .pii import pseudonymised
 from .quality import quality_rules
 from .repeats import without_repeats
+from .setjoin import ngram_join
 from .sharding import contiguous_shards
 from .spelling import spelling_variants
 from .tokens import read_token_files, write_token_files
@@ -132,6 +133,11 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("taken_times") * F.col("size")).alias("taken"))
 
 
+@query("op11_ngram_join")
+def op11_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join(table(spark, sf, "documents"))
+
+
 @query("op12_tokenizer_alignment")
 def op12_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
