@@ -16,8 +16,8 @@ from .common import fresh, sized
 from .lines import mixed
 
 GRAM = 48             # bytes of an anchor
-HOT = 8192            # occurrences of an anchor up to which one task orders its suffixes
-CHUNK = 2 << 20       # bytes of context ordered at once
+HOT = 4096            # occurrences of an anchor up to which one task orders its suffixes
+CHUNK = 1 << 20       # bytes of context ordered at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 _powers: dict[str, np.ndarray] = {}
@@ -78,13 +78,9 @@ def anchors(b: np.ndarray, length: int) -> tuple[list[tuple[int, int, int, int]]
             s = at + 1
     if len({v for v, *_ in found}) == len(found):
         return found, [], []
-    whole = slices(p, np.arange(n), length)
-    order = np.argsort(whole, kind="stable")
-    same = np.concatenate([[False], whole[order][1:] == whole[order][:-1]])
-    later = np.zeros(n, bool)
-    later[order[same]] = True
-    both = later.copy()
-    both[order[np.concatenate([same[1:], [False]])]] = True
+    previous, following = factors(b, np.arange(n), np.arange(n), length)
+    later = previous >= length
+    both = later | (following >= length)
     first = ~later
     kept = [x for x in found if first[x[2]:x[3] + 1].any()]
     return kept, runs_of(both, np.arange(n), length), runs_of(later, np.arange(n), length)
@@ -129,39 +125,93 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("x", "doc", "text", "wanted").mapInArrow(run, "value long, doc long, x binary, start long, bytes binary")
 
 
-def suffix_names(rows: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, row, offset) of every suffix, cut to ``length`` bytes, in the contexts: equal suffixes have equal names."""
+def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, lcp) of the suffixes at ``starts`` cut to ``length`` bytes; each start has that many bytes behind it.
+
+    Prefix doubling: ranks of eight-byte words, then of pairs of ranks, up to the largest power of two; the last sort takes the ranks of the first and the
+    last bytes, which overlap. ``lcp[k]`` is the common prefix of suffix k and the one before it in the order, from the kept ranks.
+    """
+    n = len(data)
+    word = np.zeros(n, np.uint64)
+    for k in range(8):
+        word[:n - k] |= data[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
+    levels = [(8, ranked(word))]
+    while 2 * levels[-1][0] <= length:
+        h, rank = levels[-1]
+        further = np.zeros(n, np.int64)
+        further[:n - h] = rank[h:] + 1
+        levels.append((2 * h, ranked((rank.astype(np.int64) << 32) | further)))
+    h, rank = levels[-1]
+    order = np.argsort((rank[starts].astype(np.int64) << 32) | rank[starts + length - h], kind="stable")
+    p, q = starts[order][1:], starts[order][:-1]
+    lcp = np.zeros(len(p), np.int64)
+    for h, rank in reversed(levels):
+        lcp += np.where(rank[np.minimum(p + lcp, n - 1)] == rank[np.minimum(q + lcp, n - 1)], h, 0)
+    differ = word[np.minimum(p + lcp, n - 1)] ^ word[np.minimum(q + lcp, n - 1)]  # fewer than eight bytes are left
+    bits = lambda x: np.frexp(x.astype(np.float64))[1]
+    high, low = differ >> np.uint64(32), (differ >> np.uint64(8)) & np.uint64(0xFFFFFF)
+    lcp += np.where(high > 0, (32 - bits(high)) // 8, 4 + (24 - bits(low)) // 8)
+    return order, np.concatenate([[0], np.minimum(lcp, length)]) if len(starts) else np.zeros(0, np.int64)
+
+
+def ranked(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks; equal keys have equal ranks."""
+    order = np.argsort(keys)
+    new = np.concatenate([[0], np.cumsum(keys[order][1:] != keys[order][:-1])]) if len(keys) else np.zeros(0, np.int64)
+    out = np.empty(len(keys), np.int32)
+    out[order] = new
+    return out
+
+
+def factor(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """Longest previous factor of each suffix, by rows of the suffix order: its longer match with the nearest suffix on either side that starts earlier.
+
+    Each suffix starts from its neighbour and takes over the neighbour's own link while that starts no earlier, with the least lcp on the way: the stack of the
+    sequential algorithm, followed by all suffixes at once. A match that has shrunk to nothing ends its chain.
+    """
+    def nearest(pos: np.ndarray, step: np.ndarray) -> np.ndarray:
+        link, least = np.arange(len(pos)) - 1, step.copy()
+        open_ = np.arange(len(pos))
+        while True:
+            open_ = open_[(link[open_] >= 0) & (least[open_] > 0)]
+            open_ = open_[pos[link[open_]] >= pos[open_]]  # a suffix read twice is no match of itself
+            if not len(open_):
+                return np.where((link >= 0) & (least > 0), least, 0)
+            via = link[open_]
+            least[open_], link[open_] = np.minimum(least[open_], least[via]), link[via]
+
+    up = nearest(position, lcp)
+    down = nearest(position[::-1], np.concatenate([[0], lcp[1:][::-1]]))[::-1]
+    return np.maximum(up, down)
+
+
+def factors(data: np.ndarray, starts: np.ndarray, position: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factor, cut to ``length``, of the suffixes at ``starts``, whose places in the corpus are ``position``."""
+    order, lcp = suffix_order(data, starts, length)
+    previous, following = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+    previous[order], following[order] = factor(position[order], lcp), factor(-position[order], lcp)
+    return previous, following
+
+
+def suffixes(rows: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all contexts, place in them, context, offset in it) of every suffix with ``length`` bytes."""
     data = np.frombuffer(b"".join(rows), np.uint8)
     sizes = np.array([len(r) for r in rows])
     counts = sizes - length + 1
     row = np.repeat(np.arange(len(rows)), counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return slices(prefixes(data), np.repeat(np.cumsum(sizes) - sizes, counts) + offset, length), row, offset
+    return data, np.repeat(np.cumsum(sizes) - sizes, counts) + offset, row, offset
 
 
 def repeated(doc: list[int], x: list[bytes], start: list[int], rows: list[bytes], length: int, first: bool) -> Iterator[tuple[bytes, int, int]]:
-    """Intervals (x, start, stop) whose strings occur elsewhere in the group, or only earlier if ``first``.
-
-    Suffixes are put in the order of their names and, inside a name, of document and place. The previous smaller position of
-    a suffix in this order is then its neighbour before it, the next larger its neighbour behind: a neighbour of the same name is a match of at least
-    ``length``, and one of another name ends it. So the two neighbours give the truncated longest previous, and next, factor.
-    """
+    """Intervals (x, start, stop) whose strings occur elsewhere in the group, or only earlier if ``first``: longest previous, or next, factor of ``length``."""
     ids = {k: i for i, k in enumerate(sorted(set(zip(doc, x))))}
     of = np.array([ids[k] for k in zip(doc, x)], np.int64)
-    name, row, offset = suffix_names(rows, length)
-    position = (of[row] << 40) | (np.array(start, np.int64)[row] + offset)
-    order = np.lexsort((position, name))
-    n, p = name[order], position[order]
-    same = (n[1:] == n[:-1])
-    start_of = np.concatenate([[True], ~same])
-    group = np.cumsum(start_of) - 1
-    lowest = p[start_of][group]
-    earlier = p != lowest
-    highest = p[np.concatenate([~same, [True]])][group]
-    hit = np.zeros(len(name), bool)
-    hit[order] = earlier if first else (lowest != highest)
+    data, starts, row, offset = suffixes(rows, length)
+    previous, following = factors(data, starts, (of[row] << 40) | (np.array(start, np.int64)[row] + offset), length)
+    hit = previous >= length if first else (previous >= length) | (following >= length)
     for r in np.unique(row[hit]).tolist():
-        at = row == r if len(rows) < 32 else slice(*np.searchsorted(row, [r, r + 1]))
+        at = slice(*np.searchsorted(row, [r, r + 1]))
         for s, e in runs_of(hit[at], offset[at], length):
             yield x[r], start[r] + s, start[r] + e
 
@@ -191,13 +241,13 @@ def group_intervals(ctx: DataFrame, length: int, first: bool) -> DataFrame:
 
 
 def hot_intervals(ctx: DataFrame, length: int, first: bool) -> DataFrame:
-    """The same for anchors with more than HOT contexts: suffix names themselves are the shuffle key, combined on the map side."""
+    """The same for anchors with more than HOT contexts, which no task orders: fingerprints of the cut suffixes are the shuffle key, combined on the map side."""
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 c = b.slice(lo, 256)
-                name, row, offset = suffix_names(c.column("bytes").to_pylist(), length)
-                take = pa.array(row)
+                data, at, row, offset = suffixes(c.column("bytes").to_pylist(), length)
+                name, take = slices(prefixes(data), at, length), pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), c.column("doc").take(take), c.column("x").take(take), pa.array(c.column("start").to_numpy()[row] + offset)], names=["name", "doc", "x", "start"])
     n = ctx.select("doc", "x", "start", "bytes").mapInArrow(names, "name long, doc long, x binary, start long")
     at = F.struct("doc", "x", "start")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from spliceloom.llm import chat as C
-from spliceloom.llm import neardup, pii, quality, queries
+from spliceloom.llm import neardup, pii, quality, queries, repeats
 from spliceloom.llm.components import components
 from spliceloom.llm.decontaminate import contaminated, without_contaminated
 from spliceloom.llm.lines import PerfectHash, dedup_lines
@@ -420,6 +420,26 @@ def test_repeats(spark, docs, none, first, monkeypatch):
     assert without_repeats(none, length).count() == 0
 
 
+@pytest.mark.parametrize("length", [8, 23, 64, 120])
+def test_factor_arrays(length):
+    """Order, common prefixes and longest previous and next factors of cut suffixes, against comparing all pairs."""
+    r = random.Random(length)
+    for texts in ([bytes(r.choice(b"ab") for _ in range(r.randint(length, length + 60))) for _ in range(4)], [b"ab" * 90, b"ab" * 70 + b"c", b"z" * 150], [bytes(range(256))[:length]] * 3, [r.randbytes(length + 30)] * 2 + [r.randbytes(length)]):
+        data, starts, row, offset = repeats.suffixes(texts, length)
+        suffix = [texts[i][o:o + length] for i, o in zip(row, offset)]
+        order, lcp = repeats.suffix_order(data, starts, length)
+        common = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), length)
+        assert [suffix[k] for k in order] == sorted(suffix)
+        assert lcp.tolist() == [0] + [common(suffix[a], suffix[b]) for a, b in zip(order, order[1:])]
+        position = np.array(r.sample(range(10 ** 6), len(starts)))
+        previous, following = repeats.factors(data, starts, position, length)
+        for k, s in enumerate(suffix):
+            assert previous[k] == max((common(s, t) for t, p in zip(suffix, position) if p < position[k]), default=0)
+            assert following[k] == max((common(s, t) for t, p in zip(suffix, position) if p > position[k]), default=0)
+    order, lcp = repeats.suffix_order(np.zeros(0, np.uint8), np.zeros(0, np.int64), length)
+    assert len(order) == len(lcp) == 0
+
+
 def test_mixing(docs, none):
     rows = docs.withColumn("n", F.size(F.split(F.coalesce("text", F.lit("")), " ")).cast("long"))
     out, copies = mix(rows, "n", "source", ["doc_id"], [3, 1, 2])
