@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ SEPARATORS = b" \t\n\x0b\f\r"
 GAMMA = 1.5        # bits per key on each level
 SHARD_KEYS = 500_000
 CACHE_BYTES = 96 << 20  # of shards that a Python worker keeps
+HELD_LINES, HELD_BYTES = 200_000, 32 << 20  # lines, or bytes of text, that wait for one visit of the shards
 
 
 def mixed(h: np.ndarray, level: int) -> np.ndarray:
@@ -71,20 +73,58 @@ class PerfectHash:
 
 
 def build_shard(hi: np.ndarray, lo: np.ndarray, count: np.ndarray, last: np.ndarray) -> dict[str, np.ndarray]:
-    """Arrays of one shard: levels, then fingerprint, count and last document at each key's place."""
-    ph = PerfectHash.build(hi)
-    place = ph.places(hi)
-    order = np.argsort(place)
-    return {"sizes": np.array(ph.sizes, np.int64), "bits": ph.bits, "print": lo[order], "count": count[order], "last": last[order]}
+    """Arrays of one shard: levels, then fingerprint, count and last document at each key's place.
+
+    Keys that share their high half with another one cannot have places of their own; all but the first of them stand in the ``more_`` arrays, sorted by high half.
+    """
+    hi, lo, count, last = (v[np.lexsort((lo, hi))] for v in (hi, lo, count, last))
+    first = np.concatenate([[True], hi[1:] != hi[:-1]]) if len(hi) else np.zeros(0, bool)
+    ph = PerfectHash.build(hi[first])
+    order = np.argsort(ph.places(hi[first]))
+    main = {k: v[first][order] for k, v in (("print", lo), ("count", count), ("last", last))}
+    return {"sizes": np.array(ph.sizes, np.int64), "bits": ph.bits, **main, **{f"more_{k}": v[~first] for k, v in (("hi", hi), ("print", lo), ("count", count), ("last", last))}}
 
 
 def probe(shard: dict[str, np.ndarray], hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(count, last document) of each key, count 0 for keys the shard lacks."""
-    if not len(shard["print"]):
-        return np.zeros(len(hi), np.int64), np.zeros(len(hi), np.int64)
-    at = PerfectHash(shard["sizes"].tolist(), shard["bits"]).places(hi)
-    ok = (at >= 0) & (shard["print"][at] == lo)
-    return np.where(ok, shard["count"][at], 0), np.where(ok, shard["last"][at], 0)
+    count, last = np.zeros(len(hi), np.int64), np.zeros(len(hi), np.int64)
+    if len(shard["print"]):
+        at = PerfectHash(shard["sizes"].tolist(), shard["bits"]).places(hi)
+        ok = (at >= 0) & (shard["print"][at] == lo)
+        count[ok], last[ok] = shard["count"][at[ok]], shard["last"][at[ok]]
+        for i in np.flatnonzero(np.isin(hi, shard["more_hi"]) & ~ok).tolist():
+            among = slice(*np.searchsorted(shard["more_hi"], [hi[i], hi[i] + np.uint64(1)])) if hi[i] != np.uint64(2**64 - 1) else slice(np.searchsorted(shard["more_hi"], hi[i]), None)
+            for j in np.flatnonzero(shard["more_print"][among] == lo[i])[:1]:
+                count[i], last[i] = shard["more_count"][among][j], shard["more_last"][among][j]
+    return count, last
+
+
+class ShardReader:
+    """Probes of many lines at a time: the shards are visited in order, once for each call, and kept up to CACHE_BYTES."""
+
+    def __init__(self, folder: str, paths: dict[int, str], n_shards: int) -> None:
+        self.fs, self.paths, self.n_shards, self.reads = filesystem(folder)[0], paths, n_shards, 0
+        self.cache: dict[int, dict[str, np.ndarray]] = {}
+
+    def shard(self, s: int) -> dict[str, np.ndarray]:
+        if s not in self.cache:
+            with self.fs.open_input_file(self.paths[s]) as f:
+                z = np.load(io.BytesIO(f.read()))
+                new = {k: z[k] for k in z.files}
+            self.reads += 1
+            while self.cache and sum(a.nbytes for x in (*self.cache.values(), new) for a in x.values()) > CACHE_BYTES:
+                self.cache.pop(next(iter(self.cache)))
+            self.cache[s] = new
+        return self.cache[s]
+
+    def probe(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        count, last = np.zeros(len(hi), np.int64), np.zeros(len(hi), np.int64)
+        of = shard_numbers(hi, self.n_shards)
+        wanted = [s for s in np.unique(of).tolist() if s in self.paths]
+        for s in sorted(wanted, key=lambda s: (s not in self.cache, s)):  # those at hand first
+            m = np.flatnonzero(of == s)
+            count[m], last[m] = probe(self.shard(s), hi[m], lo[m])
+        return count, last
 
 
 def line_key(line: bytes) -> bytes:
@@ -121,8 +161,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
 
     The key of a line is the line without separators at its ends and with A-Z lower-cased; keys under ``least_chars`` code points stay. Keys
     are 128-bit hashes: the high half addresses a minimal perfect hash, sharded so that a build holds SHARD_KEYS keys or so, and the low
-    half is the stored fingerprint, 64 bits so that even 10^12 probes expect no false drop. Each shard is built in one task
-    and written to the shared folder; documents probe the arrays shard by shard, with a bounded cache, and never join lines.
+    half is the stored fingerprint, 64 bits so that even 10^12 probes expect no false drop; keys with one high half stand in a short list beside the arrays. Each
+    shard is built in one task and written to the shared folder. Documents never join lines: a task gathers the lines of many documents and then
+    visits the shards in order, each once, with a bounded cache.
 
     Returns all columns with ``text`` cleaned, plus ``n_lines`` and ``n_dropped`` (long). A null or empty text is one empty line and stays as it
     is. A null key counts as smaller than any; rows that repeat a key are documents of their own when counted and keep the line
@@ -160,45 +201,42 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     at_text = docs.columns.index(text)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-        fs, _ = filesystem(folder)
-        cache: dict[int, dict] = {}
-
-        def shard(s: int) -> dict:
-            if s not in cache:
-                with fs.open_input_file(paths[s]) as f:
-                    z = np.load(io.BytesIO(f.read()))
-                    new = {k: z[k] for k in z.files}
-                while cache and sum(a.nbytes for x in (*cache.values(), new) for a in x.values()) > CACHE_BYTES:
-                    cache.pop(next(iter(cache)))
-                cache[s] = new
-            return cache[s]
-
-        for b in batches:
-            texts = [t.as_buffer().to_pybytes() if t.is_valid else None for t in b.column(at_text)]
-            keys = b.column(b.num_columns - 1).to_numpy()
-            row, line, hi, lo = [], [], [], []
-            for r, t in enumerate(texts):
-                for i, h, l in long_lines(t or b"", least_chars):
-                    row.append(r), line.append(i), hi.append(h), lo.append(l)
-            hi, lo, row, line = np.array(hi, np.uint64), np.array(lo, np.uint64), np.array(row, np.int64), np.array(line, np.int64)
-            gone = np.zeros(len(row), bool)
-            if len(row) and paths:
-                of = shard_numbers(hi, n_shards)
-                for s in np.unique(of):
-                    if int(s) in paths:
-                        m = np.flatnonzero(of == s)
-                        count, last = probe(shard(int(s)), hi[m], lo[m])
-                        gone[m] = (count >= least_docs) & (keys[row[m]] != last)
-            drop: dict[int, set] = {}
-            for r, i in zip(row[gone].tolist(), line[gone].tolist()):
-                drop.setdefault(r, set()).add(i)
-            new, total = [], []
-            for r, t in enumerate(texts):
-                total.append((t or b"").count(b"\n") + 1)
-                new.append(t.decode() if t is not None and r not in drop else t if t is None else b"\n".join(x for i, x in enumerate(t.split(b"\n")) if i not in drop[r]).decode())
-            cols = [pa.array(new, pa.string()) if i == at_text else b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(total, pa.int64()), pa.array([len(drop.get(r, ())) for r in range(len(texts))], pa.int64())], names=schema.names)
+        reader = ShardReader(folder, paths, n_shards)
+
+        def flush(held: list[pa.RecordBatch], at: list[tuple[int, int, int, int, int]]) -> Iterator[pa.RecordBatch]:
+            of, row, line = (np.array([x[i] for x in at], np.int64) for i in range(3))
+            hi, lo = (np.array([x[i] for x in at], np.uint64) for i in (3, 4))
+            count, last = reader.probe(hi, lo)
+            keys = [b.column(b.num_columns - 1).to_numpy() for b in held]
+            own = np.array([keys[o][r] for o, r in zip(of.tolist(), row.tolist())], np.int64)
+            gone = (count >= least_docs) & (own != last)
+            drop: dict[tuple[int, int], set] = {}
+            for o, r, i in zip(of[gone].tolist(), row[gone].tolist(), line[gone].tolist()):
+                drop.setdefault((o, r), set()).add(i)
+            for o, b in enumerate(held):
+                new, total = [], []
+                for r, v in enumerate(b.column(at_text)):
+                    t = v.as_buffer().to_pybytes() if v.is_valid else None
+                    total.append((t or b"").count(b"\n") + 1)
+                    new.append(t.decode() if t is not None and (o, r) not in drop else t if t is None else b"\n".join(x for i, x in enumerate(t.split(b"\n")) if i not in drop[o, r]).decode())
+                cols = [pa.array(new, pa.string()) if i == at_text else b.column(i) for i in range(b.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(total, pa.int64()), pa.array([len(drop.get((o, r), ())) for r in range(b.num_rows)], pa.int64())], names=schema.names)
+
+        held, at, size = [], [], 0
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                b = whole.slice(lo, 512)
+                for r, v in enumerate(b.column(at_text)):
+                    if v.is_valid:
+                        t = v.as_buffer().to_pybytes()
+                        size += len(t)
+                        at.extend((len(held), r, i, h, l) for i, h, l in long_lines(t, least_chars))
+                held.append(b)
+                if len(at) > HELD_LINES or size > HELD_BYTES:
+                    yield from flush(held, at)
+                    held, at, size = [], [], 0
+        if held:
+            yield from flush(held, at)
 
     return work.mapInArrow(clean, schema)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from spliceloom.llm import chat as C
-from spliceloom.llm import neardup, pii, quality, queries, repeats
+from spliceloom.llm import lines, neardup, pii, quality, queries, repeats
 from spliceloom.llm.components import components
 from spliceloom.llm.decontaminate import contaminated, without_contaminated
 from spliceloom.llm.lines import PerfectHash, dedup_lines
@@ -388,6 +388,35 @@ def test_perfect_hash():
     assert len(PerfectHash.build(keys[:0]).places(keys)) == len(keys)
 
 
+def test_equal_high_halves_end_and_are_told_apart():
+    r = np.random.default_rng(4)
+    hi = np.concatenate([r.integers(0, 2**64, 40, dtype=np.uint64), np.array([7, 7, 7, 2**64 - 1, 2**64 - 1, 0, 0], np.uint64)])
+    lo = np.arange(len(hi)).astype(np.uint64)
+    shard = lines.build_shard(hi, lo, np.arange(len(hi)) + 5, np.arange(len(hi)) + 100)
+    count, last = lines.probe(shard, hi, lo)
+    assert count.tolist() == list(range(5, 5 + len(hi))) and last.tolist() == list(range(100, 100 + len(hi)))
+    assert not lines.probe(shard, hi, lo + np.uint64(1000))[0].any()
+    assert not lines.probe(lines.build_shard(*(x[:0] for x in (hi, lo, lo, lo))), hi, lo)[0].any()
+
+
+def test_shards_are_read_once_a_visit(tmp_path, monkeypatch):
+    """With a cache that holds no two shards, a visit of all lines reads every shard once."""
+    monkeypatch.setattr(lines, "CACHE_BYTES", 1)
+    r = np.random.default_rng(5)
+    hi, lo = r.integers(0, 2**64, 3000, dtype=np.uint64), r.integers(0, 2**64, 3000, dtype=np.uint64)
+    of, paths = lines.shard_numbers(hi, 6), {}
+    for s in range(6):
+        m = of == s
+        paths[s] = str(tmp_path / f"shard-{s}")
+        with open(paths[s], "wb") as f:
+            np.savez(f, **lines.build_shard(hi[m], lo[m], np.full(m.sum(), 9), np.flatnonzero(m)))
+    reader = lines.ShardReader(str(tmp_path), paths, 6)
+    for visit in (1, 2):
+        count, last = reader.probe(hi, lo)
+        assert (count == 9).all() and last.tolist() == list(range(3000))
+        assert reader.reads == (6 if visit == 1 else 11)  # the second visit starts with the one at hand
+
+
 @pytest.mark.parametrize("first", [False, True])
 def test_repeats(spark, docs, none, first, monkeypatch):
     length = 120
