@@ -10,7 +10,8 @@ from spliceloom.session import durable
 
 from .common import fresh, sized
 
-BLOCKS = 256  # per source: the resolution of a quota before documents of the last block are counted
+BLOCKS = 256   # per source, by the top eight bits of the hash: the resolution of a quota before documents of the last block are counted
+FINE = 65_536  # parts of the last block, by the next sixteen bits
 
 
 def targets(totals: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -52,15 +53,15 @@ def mix(docs: DataFrame, size: str, source: str, key: list[str], weights: list[f
     the blocks goes left, so the per-source counts of the children are multivariate hypergeometric draws and the quotas of all
     shards add up to those of the sources. Blocks of a shard are disjoint; ``shuffle_key`` orders a shard locally.
 
-    Returns (documents, copies). The first has every input row and column plus ``source_size``, ``target`` and ``taken_times``
-    (int); the second has one row per copy taken plus ``copy`` int, ``shard`` int and ``shuffle_key`` long. Sizes that are
-    null count 0; a null source is a source of its own; rows with the same key stand together in the order; an empty table
-    gives empty results. Clashing input columns are kept, new ones then get a leading underscore. Only block totals
-    (at most BLOCKS rows a source) meet in one task; documents of a hot source are spread by block.
+    Returns (documents, copies). The first has every input row and column plus ``source_size``, ``target`` and ``shards`` (array of int: the shard of each
+    copy that the tree placed, empty if none); the second has one row per placed copy plus ``copy`` int, ``shard`` int and ``shuffle_key`` long, which
+    orders a shard locally. Sizes that are null count 0; a null source is a source of its own; rows with the same key stand or fall together; an empty table
+    gives empty results. Clashing input columns are kept, new ones then get a leading underscore. Only block totals meet in one task: BLOCKS * ``most``
+    narrow rows for each source, and in the cut block FINE totals and the keys of one FINE part of it. Documents of a hot source are spread by block.
     """
-    blk, ord_, ssize, tgt, times, copy, shard, shuf = fresh(docs, "_block", "_order", "source_size", "target", "taken_times", "copy", "shard", "shuffle_key")
+    blk, ord_, ssize, tgt, placed_, copy, shard, shuf = fresh(docs, "_block", "_order", "source_size", "target", "shards", "copy", "shard", "shuffle_key")
     rows = docs.withColumn(ord_, permuted([F.col(k) for k in key], seed))
-    rows = rows.withColumn(blk, F.pmod(F.shiftrightunsigned(F.col(ord_), 56), F.lit(BLOCKS)).cast("int"))
+    rows = rows.withColumn(blk, F.shiftrightunsigned(F.col(ord_), 56).cast("int"))
     n_of = F.coalesce(F.col(size), F.lit(0)).cast("long")
     blocks = durable(rows.groupBy(F.col(source).alias("source"), F.col(blk).alias("block")).agg(F.sum(n_of).alias("words")))
     totals = targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, float(most))
@@ -73,6 +74,8 @@ def mix(docs: DataFrame, size: str, source: str, key: list[str], weights: list[f
     quota = durable(b.select("source", "block", "source_size", "target", "rounds", (F.col("before") + F.col("words") <= F.col("rest")).alias("whole"),
                              ((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))).alias("cut"),
                              (F.col("rest") - F.col("before")).alias("room")))
+    n_quota = quota.count()
+    edge = cut_edges(rows.select(F.col(source).alias("source"), F.col(blk).alias("block"), F.col(ord_).alias("ord"), n_of.alias("n")), quota, n_quota)
     # the splitting tree over (source, block, round); a cut block goes down as one block
     node = quota.select("source", "block", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("round"), "rounds", "whole", "cut")
     node = node.filter((F.col("round") <= F.col("rounds")) | ((F.col("round") == F.col("rounds") + 1) & (F.col("whole") | F.col("cut"))))
@@ -88,16 +91,36 @@ def mix(docs: DataFrame, size: str, source: str, key: list[str], weights: list[f
         node = node.select("source", "block", "round", F.when(F.col("left"), F.col("lo")).when(F.col("hi") - F.col("lo") > 1, F.col("mid")).otherwise(F.col("lo")).alias("lo"),
                            F.when(F.col("left"), F.col("mid")).otherwise(F.col("hi")).alias("hi"))
     placed = node.groupBy(F.col("source").alias("_s"), F.col("block").alias("_b")).agg(F.map_from_entries(F.collect_list(F.struct("round", "lo"))).alias("shards"))  # at most `most` entries
-    p = quota.join(placed, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")), "left")
-    plan = p.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("source_size").alias("_ss"), F.col("target").alias("_t"), "rounds", "whole", "cut", "room", "shards")
-    n_plan = quota.count()
-    joined = rows.join(sized(plan, n_plan, 100_000), rows[source].eqNullSafe(F.col("_s")) & (rows[blk] == F.col("_b")), "left")
-    # documents of a cut block: those whose middle lies before the end of the room
-    cut = joined.filter("cut").withColumn("_upto", F.sum(n_of).over(W.partitionBy(source, blk).orderBy(ord_, *key, size).rowsBetween(W.unboundedPreceding, -1)))
-    cut = cut.withColumn("_more", F.coalesce(F.col("_upto"), F.lit(0)) + n_of / 2 <= F.col("room")).drop("_upto")
-    every = joined.filter(~F.col("cut")).withColumn("_more", F.col("whole")).unionByName(cut)
-    every = every.withColumn(times, (F.col("rounds") + F.col("_more").cast("int")).cast("int")).withColumnsRenamed({"_ss": ssize, "_t": tgt})
-    documents = every.select(*docs.columns, ssize, tgt, times)
-    taken = every.filter(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
-    taken = taken.withColumn(shard, F.col("shards")[F.col(copy)]).withColumn(shuf, F.xxhash64(F.lit(seed + 1), F.col(ord_), F.col(copy)))
-    return documents, taken.select(*docs.columns, copy, shard, shuf)
+    p = quota.join(placed, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")), "left").drop("_s", "_b")
+    p = p.join(edge.select(F.col("source").alias("_s"), F.col("edge")), F.col("cut") & F.col("source").eqNullSafe(F.col("_s")), "left")
+    plan = p.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("source_size").alias("_ss"), F.col("target").alias("_t"), "rounds", "cut", "edge", F.coalesce("shards", F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<int>"))).alias("shards"))
+    joined = rows.join(sized(plan, n_quota, 100_000), rows[source].eqNullSafe(F.col("_s")) & (rows[blk] == F.col("_b")), "left")
+    # what the tree placed; of a cut block's last round only the documents up to the edge
+    here = F.filter(F.array_sort(F.map_entries("shards")), lambda e: (e["key"] <= F.col("rounds")) | ~F.col("cut") | F.coalesce(F.col(ord_) <= F.col("edge"), F.lit(False)))
+    every = joined.withColumn("_here", here)
+    documents = every.select(*docs.columns, F.col("_ss").alias(ssize), F.col("_t").alias(tgt), F.transform("_here", lambda e: e["value"]).alias(placed_))
+    taken = every.select(*docs.columns, ord_, F.explode("_here").alias("_e"))
+    copies = taken.select(*docs.columns, F.col("_e.key").alias(copy), F.col("_e.value").alias(shard), F.xxhash64(F.lit(seed + 1), F.col(ord_), F.col("_e.key")).alias(shuf))
+    return documents, copies
+
+
+def cut_edges(rows: DataFrame, quota: DataFrame, n_quota: int) -> DataFrame:
+    """(source, edge): the last place in the random order that the cut block of a source still gives to the mix; null if none.
+
+    A document belongs to it if its middle lies before the end of the room. Only places and sizes are read: first the totals of FINE parts of the
+    block, then the places of the part in which the room ends.
+    """
+    cut = quota.filter("cut").select(F.col("source").alias("_s"), F.col("block").alias("_b"), "room")
+    part = F.pmod(F.shiftrightunsigned(F.col("ord"), 40), F.lit(FINE)).cast("int").alias("part")
+    within = rows.join(sized(cut, n_quota, 100_000), F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b"))).select("source", "room", "ord", "n", part)  # one row a source
+    parts = within.groupBy("source", "part").agg(F.sum("n").alias("words"), F.max("room").alias("room"), F.max("ord").alias("last"))
+    up = W.partitionBy("source").orderBy("part")
+    parts = durable(parts.withColumn("before", F.sum("words").over(up) - F.col("words")))
+    full = parts.filter("before + words <= room").groupBy("source").agg(F.max("last").alias("full"))
+    split = parts.filter("before <= room AND before + words > room").select(F.col("source").alias("_s"), F.col("part").alias("_p"), F.col("before"))
+    near = within.join(sized(split, n_quota, 100_000), F.col("source").eqNullSafe(F.col("_s")) & (F.col("part") == F.col("_p")))  # one row a source
+    near = near.groupBy("source", "ord").agg(F.sum("n").alias("n"), F.max("room").alias("room"), F.max("before").alias("before"))
+    upto = F.sum("n").over(W.partitionBy("source").orderBy("ord")) - F.col("n")
+    inner = near.withColumn("mid", F.col("before") + upto + F.col("n") / 2).filter("mid <= room").groupBy("source").agg(F.max("ord").alias("inner"))
+    both = full.withColumnRenamed("source", "_s").join(inner, F.col("source").eqNullSafe(F.col("_s")), "full").select(F.coalesce("source", "_s").alias("source"), F.greatest("full", "inner").alias("edge"))
+    return both

@@ -477,9 +477,9 @@ def test_mixing(docs, none):
     totals, taken, target, largest = defaultdict(int), defaultdict(int), {}, max(r["n"] for r in got)
     for r in got:
         totals[r["source"]] += r["n"]
-        taken[r["source"]] += r["n"] * r["taken_times"]
+        taken[r["source"]] += r["n"] * len(r["shards"])
         target[r["source"]] = r["target"]
-        assert 0 <= r["taken_times"] <= 2
+        assert len(r["shards"]) <= 2
     assert all(r["source_size"] == totals[r["source"]] for r in got)
     left, open_, want = 1.5 * sum(totals.values()), dict(zip(["a", "b", None], [3, 1, 2])), {}
     while open_:
@@ -495,13 +495,32 @@ def test_mixing(docs, none):
     assert all(abs(target[s] - want[s]) < 1e-6 * want[s] for s in want)
     assert all(abs(taken[s] - want[s]) <= largest for s in want)
     c = copies.collect()
-    assert Counter(r["doc_id"] for r in c) == Counter({k: v for k, v in Counter(r["doc_id"] for r in got for _ in range(r["taken_times"])).items()})
+    assert Counter((r["doc_id"], r["_shard"]) for r in c) == Counter((r["doc_id"], s) for r in got for s in r["shards"])
+    summed = defaultdict(int)
+    for r in c:
+        summed[r["source"]] += r["n"]
+    assert summed == {s: n for s, n in taken.items() if n}
     assert "shuffle_key" in copies.columns and {r["_shard"] for r in c} <= set(range(8))
     assert sorted(map(str, mix(rows, "n", "source", ["doc_id"], [3, 1, 2])[0].collect())) == sorted(map(str, got))
     a, b = mix(none.withColumn("n", F.lit(1)), "n", "source", ["doc_id"], [3, 1, 2])
     assert a.count() == b.count() == 0
 
 
+def test_mixing_of_one_large_source(spark):
+    """Many rows in the cut block, one key that repeats, sizes of 0: the target is met within one key, and whole blocks go to one shard."""
+    r = random.Random(3)
+    rows = [(i, "big", r.randint(0, 9)) for i in range(20_000)] + [(77, "big", 3)] * 40 + [(-1, "small", 5), (-2, "none", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n int").repartition(6)
+    out, copies = mix(df, "n", "source", ["doc_id"], [3, 1, 2], share=0.7)
+    got = out.collect()
+    big = [x for x in got if x["source"] == "big"]
+    assert abs(sum(x["n"] * len(x["shards"]) for x in big) - big[0]["target"]) <= 41 * 9 and len({str(x["shards"]) for x in big if x["doc_id"] == 77}) == 1
+    of = defaultdict(set)
+    for x in copies.withColumn("block", F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 56)).collect():
+        of[x["source"], x["block"], x["copy"]].add(x["shard"])
+    assert all(len(v) == 1 for v in of.values()) and len(set.union(*of.values())) == 8
+
+
 SF = "/root/testdata/sf0.001"
 
 
