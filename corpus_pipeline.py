@@ -21,29 +21,49 @@ ORACLE_SQL = None  # hashes and random draws; the tests hold every stage against
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules accept."""
+    """Documents that the quality rules accept, judged row by row.
+
+    Null and empty texts have no words and go; repeated rows stay or go together; a text of any length is judged whole; an unknown language gets
+    the base rule only. Other columns pass through whatever their names; an empty table stays empty.
+    """
     return accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: the smallest doc_id, nulls last, then the first row.
+
+    Texts without a word (null, empty) are no copies of each other and all stay; repeated rows are copies, so one stays; null or repeated ids neither save
+    a copy nor take another row along. Columns pass through; an empty table stays empty.
+    """
     return without_near_duplicates(docs, SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, judged row by row.
+
+    Null and empty texts hold nothing and stay; repeated rows go together; a long text is searched whole. Items without a word match nothing. Columns pass
+    through; an empty table on either side is fine.
+    """
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each copy that it takes."""
-    size = fresh(docs, "_words")[0]
+    """The mix: a row for each copy that it takes, written shard by shard in its local random order.
+
+    Texts without a word have size 0 and come with their block; a null source is a source; rows of one doc_id stand or fall together. Columns pass through;
+    an empty table stays empty.
+    """
+    size, shard, place = fresh(docs, "_words", "shard", "shuffle_key")
     _, copies = mix(docs.withColumn(size, F.size(words(F.col("text"))).cast("long")), size, "source", ["doc_id"], WEIGHTS, n_shards=SHARDS)
-    return copies.select(*docs.columns)
+    return copies.repartitionByRange(shard, place).sortWithinPartitions(shard, place).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows in contiguous shards of near-equal bytes, with shard and slot."""
+    """All rows in contiguous shards of near-equal bytes, in order of doc_id, with ``shard`` and ``slot``.
+
+    A null text counts one byte; null ids come first; ties and repeated rows stand in a fixed random order. Input columns named shard or slot stay and the
+    new ones get an underscore; an empty table stays empty.
+    """
     size = fresh(docs, "size")[0]
     return contiguous_shards(docs.withColumn(size, (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")), SHARDS, size)
 
