@@ -18,6 +18,7 @@ PK_NEGATIVE = {"D": 4.05, "E": 4.45, "C": 9.0, "Y": 10.0}
 PK_N_END, PK_C_END = 7.5, 3.55
 PK_N_END_BY = {"A": 7.59, "M": 7.0, "S": 6.93, "P": 8.36, "T": 6.82, "V": 7.44, "E": 7.7}
 PK_C_END_BY = {"D": 4.55, "E": 4.75}
+MODEL_ROWS = 100_000  # vectors of a coding model, four numbers each
 # Feature ranges of the scaled coding model (peptide length, Fickett, pI, ORF integrity).
 RANGES = [(0.0, 14507.0), (0.22328, 0.51262), (0.0, 13.2714233398), (-1.0, 1.0)]
 
@@ -51,14 +52,15 @@ def isoelectric_point(protein: pd.Series) -> pd.Series:
     return pd.Series(np.where(p.str.len() > 0, (lo + hi) / 2, 0.0))
 
 
-def coding_features(seqs: DataFrame) -> DataFrame:
-    """id, length, orf_start (1-based, 0 if none), pep_len, fickett, pi, integrity. Input: id, seq."""
+def coding_features(seqs: DataFrame, extra: dict | None = None) -> DataFrame:
+    """id, length, orf_start (1-based, 0 if none), orf_length, pep_len, fickett, pi, integrity, and a column for each function of the text in ``extra``. Input: id, seq."""
     s = seqs.select("id", F.translate(F.upper("seq"), "U", "T").alias("seq"))
     o = s.withColumn("orf", longest_orf(F.col("seq")))
     n = (F.col("orf.end") - F.col("orf.start")).cast("int")
     rows = o.withColumn("pep", peptide(F.substring(F.col("seq"), F.col("orf.start") + 1, n)))
     found = F.length("pep") > 0
-    return rows.select("id", F.length("seq").alias("length"), F.when(found, F.col("orf.start") + 1).otherwise(0).alias("orf_start"),
+    more = [of(F.col("seq")).alias(name) for name, of in (extra or {}).items()]
+    return rows.select("id", F.length("seq").alias("length"), F.when(found, F.col("orf.start") + 1).otherwise(0).alias("orf_start"), n.alias("orf_length"), *more,
                        F.length("pep").alias("pep_len"), fickett(F.col("seq")).alias("fickett"),
                        isoelectric_point("pep").alias("pi"), F.when(found, F.col("orf.integrity")).otherwise(-1).alias("integrity"))
 
@@ -67,11 +69,12 @@ def coding_probability(features: DataFrame, vectors: np.ndarray, weights: np.nda
                        prob_a: float, prob_b: float) -> DataFrame:
     """Score rows by a kernel machine given by the user: `vectors` (n x 4, scaled), their weights and the sigmoid values.
 
-    The machine is a small fixed model (thousands of rows of four numbers); it
-    is sent once per executor. The label follows the probability: coding above one half.
+    The machine is a small fixed model: more than MODEL_ROWS vectors are an error, so what travels with the function is bounded. The label follows the
+    probability: coding above one half.
     """
-    sc = features.sparkSession.sparkContext
-    model = sc.broadcast((np.asarray(vectors, float), np.asarray(weights, float)))
+    sv, w = np.asarray(vectors, float), np.asarray(weights, float)
+    if len(sv) > MODEL_ROWS:
+        raise ValueError(f"a coding model has at most {MODEL_ROWS} vectors")
     lo = np.array([r[0] for r in RANGES])
     hi = np.array([r[1] for r in RANGES])
 
@@ -79,7 +82,6 @@ def coding_probability(features: DataFrame, vectors: np.ndarray, weights: np.nda
     def decide(pep: pd.Series, fick: pd.Series, pi: pd.Series, integrity: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(float) for c in (pep, fick, pi, integrity)])
         x = -1 + 2 * (x - lo) / (hi - lo)
-        sv, w = model.value
         out = np.empty(len(x))
         for i in range(0, len(x), 512):
             part = x[i:i + 512]

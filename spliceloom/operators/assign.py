@@ -240,6 +240,13 @@ def support_summary(support: DataFrame) -> DataFrame:
     return out.withColumn("share", F.col("n") / F.col("_all")).drop("_one", "_all")
 
 
+def site_scores(motifs: DataFrame) -> DataFrame:
+    """(iso, score): canonical sites of all introns read forward less those read reverse; a site outside its sequence has no vote."""
+    one = lambda s, kind, two: F.coalesce(canonical_site(s, kind, F.col(two)).cast("int"), F.lit(0))
+    point = lambda s, left, right: one(s, left, "left_two") + one(s, right, "right_two")
+    return motifs.groupBy("iso").agg(F.sum(point("+", "donor", "acceptor") - point("-", "acceptor", "donor")).alias("score"))
+
+
 def strand_vote(reads: DataFrame, motifs: DataFrame, models: DataFrame, margin: int = 0, min_cov: float = 0.5) -> DataFrame:
     """Decide the strand of reads: canonical sites read forward against reverse, the models' strand otherwise.
 
@@ -247,9 +254,7 @@ def strand_vote(reads: DataFrame, motifs: DataFrame, models: DataFrame, margin:
     models: chrom, t_strand, t_exons. A mono-exon read follows the models it covers by `min_cov` on either side when
     they agree; an undecided multi-exon read follows overlapping models when they agree; others keep their strand.
     """
-    l, r = F.col("left_two"), F.col("right_two")
-    point = lambda s, left, right: canonical_site(s, left, l).cast("int") + canonical_site(s, right, r).cast("int")
-    score = motifs.groupBy("iso").agg(F.sum(point("+", "donor", "acceptor") - point("-", "acceptor", "donor")).alias("score"))
+    score = site_scores(motifs)
     t = F.col("t_exons")
     m = models.select("chrom", "t_strand", "t_exons").distinct().withColumn("t_start", t[0]["s"]).withColumn("t_end", F.element_at(t, -1)["e"])
     pairs = overlap_join(structure_key(reads), m, ["chrom"], rs="t_start", re="t_end")
@@ -386,10 +391,9 @@ def indels_near_junctions(alignments: DataFrame, reach: int = 10) -> DataFrame:
     return hits.join(total, ["chrom", "indel"])
 
 
-def canonical_ratio(isoforms: DataFrame, motifs: DataFrame) -> DataFrame:
-    """Share of canonical junctions per isoform. motifs: chrom, strand, a, b, motif."""
-    return intron_rows(isoforms).join(motifs, ["chrom", "strand", "a", "b"]).groupBy("iso").agg(
-        F.avg(F.col("motif").isin(CANONICAL).cast("double")).alias("canonical_ratio"))
+def canonical_ratio(motifs: DataFrame) -> DataFrame:
+    """(iso, canonical_ratio): share of canonical junctions; one whose motif is unknown is not canonical. motifs: iso, motif, a row for each intron."""
+    return motifs.groupBy("iso").agg(F.avg(F.coalesce(F.col("motif").isin(CANONICAL), F.lit(False)).cast("double")).alias("canonical_ratio"))
 
 
 def biting_isoforms(isoforms: DataFrame, known: DataFrame, exons: DataFrame) -> DataFrame:

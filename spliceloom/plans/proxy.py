@@ -60,10 +60,10 @@ def t_models(spark: SparkSession, sf: str) -> DataFrame:
                                     F.col("exons").alias("t_exons"))
 
 
-def junction_table(spark: SparkSession, sf: str) -> DataFrame:
+def junction_table(spark: SparkSession, sf: str, iso: DataFrame | None = None) -> DataFrame:
     """Short-read junctions: introns of O orders with their summed reads, with outer block edges."""
     from spliceloom.operators.transcripts import exon_rows
-    rows = exon_rows(isoforms(spark, sf).filter(F.col("status") == "O"), ["reads"]).filter(F.col("next_s").isNotNull())
+    rows = exon_rows((isoforms(spark, sf) if iso is None else iso).filter(F.col("status") == "O"), ["reads"]).filter(F.col("next_s").isNotNull())
     return rows.groupBy("chrom", "strand", F.col("e").alias("js"), F.col("next_s").alias("je")).agg(
         F.sum("reads").alias("cnt"), F.min("s").alias("start")).withColumn("end", F.col("je") + 100)
 
@@ -96,18 +96,29 @@ def genome(spark: SparkSession, sf: str) -> DataFrame:
     return chunks(sequences(spark, sf).select(F.col("id").alias("chrom"), F.lit(0).cast("long").alias("pos"), "seq"))
 
 
+def placed_isoforms(spark: SparkSession, sf: str, iso: DataFrame | None = None) -> DataFrame:
+    """All isoforms on the document sequences, at a sixteenth of their size: gene, iso, chrom (a document), strand, status, exons.
+
+    The document is the order key modulo the number of documents; what does not fit into a short one goes past its end.
+    """
+    iso = isoforms(spark, sf) if iso is None else iso
+    docs = sequences(spark, sf).select(F.col("id").alias("chrom"), F.length("seq").alias("_len"))
+    one = F.lit(1).alias("_one")
+    n = table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("_n")).select("*", one)
+    rows = iso.drop("chrom").select("*", one).join(F.broadcast(n), "_one").withColumn("chrom", F.pmod("iso", "_n")).join(docs, "chrom")  # one row
+    part = lambda v: F.floor((v - F.col("start")) / 16)
+    off = F.pmod(F.col("iso"), F.greatest(F.col("_len") - part(F.col("end")), F.lit(1)))
+    ex = F.transform("exons", lambda b: B.block((F.col("_off") + part(b["s"])).cast("long"), (F.col("_off") + part(b["e"])).cast("long")))
+    return rows.withColumn("_off", off).select("gene", "iso", "chrom", "strand", "status", ex.alias("exons"))
+
+
 def seq_introns(spark: SparkSession, sf: str) -> DataFrame:
-    """Introns placed on the document sequences: chrom, strand, iso, a, b."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    ln = sequences(spark, sf).select("id", F.length("seq").alias("len"))
-    r = li.join(ln, li.l_orderkey == ln.id)
-    a = F.pmod(F.col("l_partkey"), F.greatest(F.col("len"), F.lit(1)))
-    rows = r.select(F.col("id").alias("chrom"), F.when(F.col("l_suppkey") % 2 == 0, "+").otherwise("-").alias("strand"),
-                    F.col("l_orderkey").alias("iso"), a.cast("long").alias("a"), (a + 20 + F.col("l_suppkey") % 100).cast("long").alias("b"), "len")
-    return rows.filter(F.col("b") <= F.col("len")).drop("len").distinct()
+    """Introns of all isoforms on the document sequences: chrom, strand, iso, a, b."""
+    from spliceloom.operators.transcripts import intron_rows
+    return intron_rows(placed_isoforms(spark, sf)).select("chrom", "strand", "iso", "a", "b")
 
 
-def alignments(spark: SparkSession, sf: str) -> DataFrame:
+def alignments(spark: SparkSession, sf: str, iso: DataFrame | None = None) -> DataFrame:
     """Isoforms written as alignments: name, flag, chrom, pos, cigar, md."""
     x = F.col("exons")
     n = F.size(x)
@@ -121,7 +132,7 @@ def alignments(spark: SparkSession, sf: str) -> DataFrame:
         half = F.floor(size / 2).cast("long")
         return F.concat(half, F.lit("^AC"), size - half - 40, F.lit("T37"))
     cigar = F.concat(F.col("reads"), F.lit("S"), F.array_join(F.transform(x, op), ""), F.lit("5H"))
-    return isoforms(spark, sf).select(
+    return (isoforms(spark, sf) if iso is None else iso).select(
         F.col("iso").alias("name"), (F.when(F.col("strand") == "-", 16).otherwise(0) + F.when(F.col("status") == "P", 256).otherwise(0)).alias("flag"),
         "chrom", "strand", (F.col("start") + 1).alias("pos"), cigar.alias("cigar"), F.array_join(F.transform(x, md), "N").alias("md"), "exons", "status")
 
@@ -161,14 +172,21 @@ SELECT m.trans, m.gene, m.chrom, m.strand, m.lo, m.hi, m.cs, m.ce, m.n_ex, e.s,
 FROM mod_v m JOIN ex_v e ON e.iso = m.trans""")
 view("seq_v", "SELECT doc_id AS id, translate(regexp_replace(replace(text, '''', 'T'), '[^\\x01-\\x7E]', 'ä', 'g'), '"
      + LETTERS.replace("'", "''") + "ä', '" + BASES + "N') AS seq FROM documents")
+view("pla_v", """
+SELECT iso, gene, chrom, strand, status, k, n, len, off + (s - lo) // 16 AS s, off + (e - lo) // 16 AS e FROM (
+  SELECT x.iso, x.gene, x.strand, x.status, x.k, x.n, x.s, x.e, i.lo, d.id AS chrom, d.len, x.iso % greatest(d.len - (i.hi - i.lo) // 16, 1) AS off
+  FROM ex_v x JOIN iso_v i ON i.iso = x.iso JOIN (SELECT id, length(seq) AS len FROM seq_v) d ON d.id = x.iso % (SELECT count(*) FROM documents))""")
 view("sin_v", """
-SELECT DISTINCT id AS chrom, CASE WHEN l_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand, l_orderkey AS iso, a, b
-FROM (SELECT *, l_partkey % greatest(length(seq), 1) AS a, l_partkey % greatest(length(seq), 1) + 20 + l_suppkey % 100 AS b
-  FROM lineitem JOIN seq_v ON l_orderkey = id) WHERE b <= length(seq)""")
+SELECT chrom, strand, iso, e AS a, b, len FROM (SELECT *, lead(s) OVER (PARTITION BY iso ORDER BY s) AS b FROM pla_v) WHERE b IS NOT NULL""")
 view("mot_v", """
 SELECT chrom, strand, iso, a, b, l2, r2, CASE WHEN strand = '+' THEN l2 || '-' || r2
   ELSE reverse(translate(r2, 'ACGT', 'TGCA')) || '-' || reverse(translate(l2, 'ACGT', 'TGCA')) END AS motif
-FROM (SELECT i.*, substr(seq, CAST(a + 1 AS BIGINT), 2) AS l2, substr(seq, CAST(b - 1 AS BIGINT), 2) AS r2 FROM sin_v i JOIN seq_v ON id = chrom)""")
+FROM (SELECT i.*, CASE WHEN a + 2 <= len THEN substr(seq, CAST(a + 1 AS BIGINT), 2) END AS l2, CASE WHEN b <= len THEN substr(seq, CAST(b - 1 AS BIGINT), 2) END AS r2
+  FROM sin_v i JOIN seq_v ON id = chrom)""")
+view("tx_v", """
+SELECT iso, CASE WHEN NOT inside THEN NULL WHEN strand = '-' THEN reverse(translate(t, 'ACGT', 'TGCA')) ELSE t END AS seq FROM (
+  SELECT iso, strand, bool_and(e <= len) AS inside, string_agg(substr(v.seq, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)), '' ORDER BY s) AS t
+  FROM pla_v JOIN seq_v v ON v.id = chrom GROUP BY iso, strand)""")
 view("aln_v", """
 SELECT iso AS name, (CASE WHEN strand = '-' THEN 16 ELSE 0 END) + (CASE WHEN status = 'P' THEN 256 ELSE 0 END) AS flag, chrom, strand, status,
   min(s) + 1 AS pos, any_value(reads) || 'S' || string_agg(((e - s) // 2) || 'M1I2D' || ((e - s) - (e - s) // 2 - 2) || 'M' ||

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from spliceloom.functions import coding as C
@@ -78,12 +79,17 @@ def end_signals(spark, sf):
 
 
 # an open run of codons counts to the last whole codon; stops close a run
-view("cod_v", """
+COD = """
 SELECT id, frame, i * 3 + frame AS pos, codon, coalesce(sum(CASE WHEN codon IN ('TAG', 'TAA', 'TGA') THEN 1 ELSE 0 END) OVER (PARTITION BY id, frame ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
-FROM (SELECT id, frame, generate_subscripts(c, 1) - 1 AS i, unnest(c) AS codon FROM (SELECT id, frame, regexp_extract_all(substr(seq, frame + 1), '(...)', 1) AS c FROM seq_v, (VALUES (0), (1), (2)) f(frame)))""")
-view("orf_v", """
+FROM (SELECT id, frame, generate_subscripts(c, 1) - 1 AS i, unnest(c) AS codon FROM (SELECT id, frame, regexp_extract_all(substr(seq, frame + 1), '(...)', 1) AS c FROM {text}, (VALUES (0), (1), (2)) f(frame)))"""
+ORF = """
 SELECT id, s, e, ok FROM (SELECT id, frame, run, min(pos) FILTER (codon = 'ATG') AS s, max(pos) + 3 AS e, CASE WHEN bool_or(codon IN ('TAG', 'TAA', 'TGA')) THEN 1 ELSE -1 END AS ok
-  FROM cod_v GROUP BY id, frame, run) WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY e - s DESC, s) = 1""")
+  FROM {codons} GROUP BY id, frame, run) WHERE s IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY e - s DESC, s) = 1"""
+view("cod_v", COD.format(text="seq_v"))
+view("orf_v", ORF.format(codons="cod_v"))
+view("ttx_v", "SELECT iso AS id, seq FROM tx_v")
+view("tcod_v", COD.format(text="ttx_v"))
+view("torf_v", ORF.format(codons="tcod_v"))
 
 
 @query("longest_open_frames", """
@@ -93,7 +99,7 @@ def longest_open_frames(spark, sf):
     return r.select("id", *[F.col(f"o.{c}").cast("long").alias(c) for c in ("start", "end", "integrity")])
 
 
-def _fickett_sql():
+def _fickett_sql(text):
     def table(value, steps, probs, weight):
         rows = " ".join(f"WHEN {value} >= {s}::DOUBLE THEN {p * weight!r}::DOUBLE" for s, p in zip(steps, probs))
         return f"CASE {rows} END"
@@ -102,15 +108,48 @@ def _fickett_sql():
         n = [f"len(list_filter(c, lambda x, i: x = '{b}' AND (i - 1) % 3 = {k}))" for k in range(3)]
         parts.append(table(f"({n[0]} + {n[1]} + {n[2]})::DOUBLE / len(c)", Q.FICKETT_CONTENT_STEPS, Q.FICKETT_CONTENT[b], Q.FICKETT_CONTENT_WEIGHT[b]))
         parts.append(table(f"greatest({', '.join(n)}) / (least({', '.join(n)}) + 1.0::DOUBLE)", Q.FICKETT_POSITION_STEPS, Q.FICKETT_POSITION[b], Q.FICKETT_POSITION_WEIGHT[b]))
-    return f"SELECT id, round({' + '.join(parts)}, 6) AS fickett FROM (SELECT id, string_split(seq, '') AS c FROM seq_v WHERE length(seq) >= 2)"
-
-
-@query("fickett_scores", _fickett_sql())
+    return f"SELECT id, CASE WHEN len(c) >= 2 THEN {' + '.join(parts)} ELSE 0.0 END AS fickett FROM (SELECT id, string_split(seq, '') AS c FROM {text} WHERE length(seq) > 0)"
+
+
+def _coding_sql(text, frames, scores):
+    """Peptide, isoelectric point (sixty halvings of the pH range) and coding score, by the constants that the operator uses."""
+    index = lambda k: f"(strpos('TCAG', substr(x, {k}, 1)) - 1)"
+    letter = f"CASE WHEN least({index(1)}, {index(2)}, {index(3)}) < 0 THEN 'X' ELSE substr('{C.CODE}', CAST(1 + 16 * {index(1)} + 4 * {index(2)} + {index(3)} AS BIGINT), 1) END"
+    end = lambda by, other, side: "CASE " + " ".join(f"WHEN {side}(p, 1) = '{a}' THEN {k}" for a, k in by.items()) + f" ELSE {other} END"
+    count = lambda a: f"(length(p) - length(replace(p, '{a}', '')))"
+    plus = [("1", "first_pk"), *((f"n_{a}", str(k)) for a, k in C.PK_POSITIVE.items())]
+    minus = [("1", "last_pk"), *((f"n_{a}", str(k)) for a, k in C.PK_NEGATIVE.items())]
+    mid = "((st[1] + st[2]) / 2)"
+    charge = " + ".join(f"{n} / (1 + pow(10.0::DOUBLE, {mid} - {k}))" for n, k in plus) + " - (" + " + ".join(f"{n} / (1 + pow(10.0::DOUBLE, {k} - {mid}))" for n, k in minus) + ")"
+    counts = ", ".join(f"{count(a)} AS n_{a}" for a in (*C.PK_POSITIVE, *C.PK_NEGATIVE))
+    scaled = [f"(-1 + 2 * ({c} - {lo}) / ({hi} - {lo}))" for c, (lo, hi) in zip(("pep_len", "fickett", "pi", "integrity"), C.RANGES)]
+    v, w, gamma, rho, pa_, pb = MODEL
+    decision = " + ".join(f"{wi} * exp(-{gamma} * ({' + '.join(f'pow({x} - ({y}), 2)' for x, y in zip(scaled, row))}))" for row, wi in zip(v.tolist(), w.tolist()))
+    return f"""
+SELECT *, CASE WHEN coding_probability > 0.5 THEN 'coding' ELSE 'noncoding' END AS coding_label FROM (SELECT *, 1 / (1 + exp({pa_} * ({decision} - {rho}) + {pb})) AS coding_probability FROM (
+SELECT id, seq, length(seq) AS length, orf_start, orf_length, pep_len, coalesce(fickett, 0.0) AS fickett, integrity, CASE WHEN length(p) > 0 THEN (h[1] + h[2]) / 2 ELSE 0.0 END AS pi FROM (
+  SELECT *, list_reduce([[0.0::DOUBLE, 14.0::DOUBLE]] || list_transform(range(60), lambda i: [0.0::DOUBLE, 0.0::DOUBLE]), lambda st, i: CASE WHEN {charge} > 0 THEN [{mid}, st[2]] ELSE [st[1], {mid}] END) AS h FROM (
+  SELECT *, {end(C.PK_N_END_BY, C.PK_N_END, 'left')} AS first_pk, {end(C.PK_C_END_BY, C.PK_C_END, 'right')} AS last_pk, {counts} FROM (
+  SELECT *, length(pep) AS pep_len, trim(regexp_replace(pep, '[XBZJU]', '', 'g'), '*') AS p FROM (
+  SELECT v.id, v.seq, f.fickett, coalesce(o.s + 1, 0) AS orf_start, coalesce(o.e - o.s, 0) AS orf_length, coalesce(o.ok, -1) AS integrity,
+    coalesce(array_to_string(list_transform(regexp_extract_all(substr(v.seq, CAST(o.s + 1 AS BIGINT), CAST(o.e - o.s AS BIGINT)), '(...)', 1), lambda x: {letter}), ''), '') AS pep
+  FROM {text} v LEFT JOIN {frames} o ON o.id = v.id LEFT JOIN {scores} f ON f.id = v.id WHERE v.seq IS NOT NULL))))))"""
+
+
+# a small kernel machine of the given kind: scaled vectors, their weights, gamma, rho and the two values of its sigmoid
+MODEL = (np.array([[-0.97, -0.17, 0.5, 1.0], [-0.99, -0.4, 0.2, -1.0], [-0.9, 0.3, 0.1, 1.0]]), np.array([1.5, -2.0, 1.0]), 0.125, 0.1, -1.9, -0.5)
+view("fick_v", _fickett_sql("seq_v"))
+view("tfick_v", _fickett_sql("ttx_v"))
+view("cpc_v", _coding_sql("seq_v", "orf_v", "fick_v"))
+view("tcpc_v", _coding_sql("ttx_v", "torf_v", "tfick_v"))
+
+
+@query("fickett_scores", "SELECT f.id, round(fickett, 6) AS fickett FROM fick_v f JOIN seq_v v ON v.id = f.id WHERE length(seq) >= 2")
 def fickett_scores(spark, sf):
     return P.dealt_sequences(spark, sf).filter(F.length("seq") >= 2).select("id", F.round(Q.fickett(F.col("seq")), 6).alias("fickett"))
 
 
-@query("coding_features")
+@query("coding_features", "SELECT id, length, orf_start, pep_len, round(fickett, 6) AS fickett, round(pi, 4) AS pi, integrity FROM cpc_v")
 def coding_features(spark, sf):
     f = C.coding_features(P.dealt_sequences(spark, sf))
     return f.select("id", "length", "orf_start", "pep_len", F.round("fickett", 6).alias("fickett"), F.round("pi", 4).alias("pi"), "integrity")
@@ -121,12 +160,9 @@ def peptide_lengths(spark, sf):
     return C.coding_features(P.dealt_sequences(spark, sf)).select("id", F.col("pep_len").cast("long").alias("pep_len"))
 
 
-@query("coding_probabilities")
+@query("coding_probabilities", "SELECT id, round(coding_probability, 6) AS coding_probability, coding_label FROM cpc_v")
 def coding_probabilities(spark, sf):
-    import numpy as np
-    f = C.coding_features(P.dealt_sequences(spark, sf))
-    vectors = np.array([[-0.97, -0.17, 0.5, 1.0], [-0.99, -0.4, 0.2, -1.0], [-0.9, 0.3, 0.1, 1.0]])
-    out = C.coding_probability(f, vectors, np.array([1.5, -2.0, 1.0]), 0.125, 0.1, -1.9, -0.5)
+    out = C.coding_probability(C.coding_features(P.dealt_sequences(spark, sf)), *MODEL)
     return out.select("id", F.round("coding_probability", 6).alias("coding_probability"), "coding_label")
 
 
@@ -170,19 +206,30 @@ def canonical_sites(spark, sf):
 
 @query("canonical_junction_ratio", "SELECT iso, round(avg(CASE WHEN motif IN ('GT-AG', 'GC-AG', 'AT-AC') THEN 1.0 ELSE 0 END), 6) AS ratio FROM mot_v GROUP BY iso")
 def canonical_junction_ratio(spark, sf):
-    m = motifs(spark, sf)
-    return m.groupBy("iso").agg(F.round(F.avg(F.col("motif").isin(Q.CANONICAL).cast("double")), 6).alias("ratio"))
+    return A.canonical_ratio(motifs(spark, sf)).select("iso", F.round("canonical_ratio", 6).alias("ratio"))
+
 
+view("vote_v", """
+SELECT iso, sum(coalesce(l2 IN ('GT', 'GC', 'AT'), false)::INT + coalesce(r2 IN ('AG', 'AC'), false)::INT - coalesce(l2 IN ('CT', 'GT'), false)::INT - coalesce(r2 IN ('AC', 'GC', 'AT'), false)::INT)::BIGINT AS score
+FROM mot_v GROUP BY iso""")
 
-@query("strand_votes", """
-SELECT iso, sum((l2 IN ('GT', 'GC', 'AT'))::INT + (r2 IN ('AG', 'AC'))::INT - (l2 IN ('CT', 'GT'))::INT - (r2 IN ('AC', 'GC', 'AT'))::INT)::BIGINT AS score FROM mot_v GROUP BY iso""")
+
+@query("strand_votes", "SELECT iso, score FROM vote_v")
 def strand_votes(spark, sf):
-    l, r = F.col("left_two"), F.col("right_two")
-    s = lambda st, x, y: Q.canonical_site(st, x, l).cast("int") + Q.canonical_site(st, y, r).cast("int")
-    return motifs(spark, sf).groupBy("iso").agg(F.sum(s("+", "donor", "acceptor") - s("-", "acceptor", "donor")).alias("score"))
+    return A.site_scores(motifs(spark, sf))
+
 
+# models that a read overlaps on its chromosome: those that a mono-exon read covers to half on either side, any for the others
+view("agr_v", """
+SELECT r.iso, min(m.strand) AS lo, max(m.strand) AS hi FROM iso_v r JOIN iso_v m ON m.status = 'F' AND m.chrom = r.chrom AND m.lo < r.hi AND r.lo < m.hi
+WHERE r.status <> 'F' AND (r.n_ex > 1 OR (SELECT sum(greatest(least(x.e, y.e) - greatest(x.s, y.s), 0)) FROM ex_v x, ex_v y WHERE x.iso = r.iso AND y.iso = m.iso) >= 0.5 * least(r.len, m.len))
+GROUP BY r.iso""")
 
-@query("decided_strands")
+
+@query("decided_strands", """
+SELECT iso, strand, new_strand, new_strand = strand AS confirmed FROM (SELECT r.iso, r.strand,
+  coalesce(CASE WHEN n_ex > 1 AND score > 0 THEN '+' WHEN n_ex > 1 AND score < 0 THEN '-' END, CASE WHEN a.lo = a.hi THEN a.lo END, r.strand) AS new_strand
+  FROM iso_v r LEFT JOIN vote_v USING (iso) LEFT JOIN agr_v a USING (iso) WHERE r.status <> 'F')""")
 def decided_strands(spark, sf):
     reads = P.isoforms(spark, sf).filter("status <> 'F'")
     m = P.t_models(spark, sf).withColumnRenamed("strand", "t_strand")
@@ -190,9 +237,10 @@ def decided_strands(spark, sf):
     return out.select("iso", "strand", "new_strand", "confirmed")
 
 
+# 3' ends of the placed isoforms
 view("st_v", """
-SELECT DISTINCT id, seq, l_partkey AS pos, CASE WHEN l_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM lineitem JOIN seq_v ON l_orderkey = id
-WHERE l_partkey > 40 AND l_partkey + 1 + 40 < length(seq)""")
+SELECT DISTINCT p.chrom AS id, v.seq, pos, p.strand FROM (SELECT chrom, strand, len, CASE WHEN strand = '+' THEN max(e) - 1 ELSE min(s) END AS pos FROM pla_v GROUP BY iso, chrom, strand, len) p
+JOIN seq_v v ON v.id = p.chrom WHERE pos > 40 AND pos + 1 + 40 < length(v.seq)""")
 view("swin_v", """
 SELECT id AS chrom, pos, side, strand, CASE WHEN strand = '-' THEN reverse(translate(w, 'ACGT', 'TGCA')) ELSE w END AS w FROM (
   SELECT id, pos, strand, 'up' AS side, CASE WHEN strand = '+' THEN substr(seq, pos - 39, 40) ELSE substr(seq, pos + 2, 40) END AS w FROM st_v UNION ALL
@@ -200,9 +248,9 @@ SELECT id AS chrom, pos, side, strand, CASE WHEN strand = '-' THEN reverse(trans
 
 
 def site_texts(spark, sf, k=1):
-    li = P.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    sites = li.select(F.col("l_orderkey").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 1).alias("end"),
-                      F.when(F.col("l_suppkey") % 2 == 0, "+").otherwise("-").alias("strand")).distinct()
+    x = F.col("exons")
+    pos = F.when(F.col("strand") == "+", F.element_at(x, -1)["e"] - 1).otherwise(x[0]["s"])
+    sites = P.placed_isoforms(spark, sf).select("chrom", "strand", pos.alias("start"), (pos + 1).alias("end")).distinct()
     spans = SQ.site_windows(sites, sequence_lengths(spark, sf), 40, 40, k)
     return SQ.windows(P.genome(spark, sf), spans, "w_start", "w_end", "seq_w", "strand")
 
@@ -227,22 +275,9 @@ def signal_profile(spark, sf):
     return r.select("side", "offset", "signal", "n", F.round("share", 6).alias("share"))
 
 
-view("txt_v", """
-SELECT DISTINCT iso, chrom, strand, a AS s1, a + (b - a) // 2 AS e1, b AS s2, b + 30 AS e2 FROM (SELECT s.*, length(seq) AS len FROM sin_v s JOIN seq_v ON id = chrom)
-WHERE b + 30 <= len QUALIFY row_number() OVER (PARTITION BY iso ORDER BY a, b, strand) = 1""")
-
-
-@query("spliced_transcripts", """
-SELECT iso, CASE WHEN strand = '-' THEN reverse(translate(t, 'ACGT', 'TGCA')) ELSE t END AS seq FROM (
-  SELECT iso, strand, substr(v.seq, CAST(s1 + 1 AS BIGINT), CAST(e1 - s1 AS BIGINT)) || substr(v.seq, CAST(s2 + 1 AS BIGINT), CAST(e2 - s2 AS BIGINT)) AS t FROM txt_v JOIN seq_v v ON v.id = chrom)""")
+@query("spliced_transcripts", "SELECT iso, seq FROM tx_v")
 def spliced_transcripts(spark, sf):
-    ln = sequence_lengths(spark, sf)
-    si = P.seq_introns(spark, sf).join(ln, "chrom").filter(F.col("b") + 30 <= F.col("length"))
-    one = si.groupBy("iso").agg(F.min(F.struct("a", "b", "strand", "chrom")).alias("x")).select("iso", "x.*")
-    from spliceloom.functions.blocks import block
-    mid = F.col("a") + F.floor((F.col("b") - F.col("a")) / 2)
-    tr = one.select("iso", "chrom", "strand", F.array(block(F.col("a"), mid), block(F.col("b"), F.col("b") + 30)).alias("exons"))
-    return SQ.spliced(P.genome(spark, sf), tr)
+    return SQ.spliced(P.genome(spark, sf), P.placed_isoforms(spark, sf))
 
 
 # alignment indels and junction coverage features
@@ -275,23 +310,32 @@ def junction_part(spark, sf):
     return A.junction_features(iso, P.junction_table(spark, sf), known, near(spark, sf), total)
 
 
+view("cover_v", """
+SELECT v.iso, v.chrom, v.a, v.b, cov, cov / (i.len / 1000.0 * (SELECT count(*) FROM iso_v) / 1000000.0) AS rpkm, k.chrom IS NULL AS novel
+FROM intr_v v JOIN (SELECT chrom, js AS a, je AS b, sum(cnt) AS cov FROM junc_v GROUP BY ALL) USING (chrom, a, b) JOIN iso_v i ON i.iso = v.iso
+LEFT JOIN known_v k ON k.chrom = v.chrom AND k.a = v.a AND k.b = v.b""")
+view("jf_v", """
+SELECT i.iso, coalesce(m, 0) AS min_to_all, coalesce(sd, 0) AS sd_cov, coalesce(mr, 0) AS min_rpkm, coalesce(wn, 0)::BIGINT AS with_novel,
+  coalesce(mn, 0) AS min_novel_rpkm, coalesce(ni, 0) AS n_indels, coalesce(nj, 0) AS n_junc_indels FROM iso_v i
+LEFT JOIN (SELECT iso, min(cov)::DOUBLE / sum(cov) AS m, stddev_pop(cov) AS sd, min(rpkm) AS mr, max(novel::INT) AS wn, min(rpkm) FILTER (novel) AS mn FROM cover_v GROUP BY iso) USING (iso)
+LEFT JOIN (SELECT iso, count(DISTINCT indel) AS ni, count(DISTINCT (a, b)) AS nj FROM (
+  SELECT r.iso, r.a, r.b, n.indel FROM cover_v r JOIN near_v n USING (chrom, a, b) JOIN (SELECT chrom, indel, count(*) AS n FROM ind_v GROUP BY ALL) t USING (chrom, indel) WHERE t.n::DOUBLE / cov >= 0.5)
+  GROUP BY iso) USING (iso) WHERE n_ex > 1""")
+
+
 @query("junction_features", """
-WITH cov AS (SELECT chrom, js AS a, je AS b, sum(cnt) AS cov FROM junc_v GROUP BY ALL),
-r AS (SELECT v.iso, v.chrom, v.a, v.b, cov, cov / (i.len / 1000.0 * (SELECT count(*) FROM iso_v) / 1000000.0) AS rpkm, k.chrom IS NULL AS novel
-  FROM intr_v v JOIN cov USING (chrom, a, b) JOIN iso_v i ON i.iso = v.iso LEFT JOIN known_v k ON k.chrom = v.chrom AND k.a = v.a AND k.b = v.b),
-g AS (SELECT r.iso, r.a, r.b, n.indel FROM r JOIN near_v n USING (chrom, a, b) JOIN (SELECT chrom, indel, count(*) AS n FROM ind_v GROUP BY ALL) t USING (chrom, indel) WHERE t.n::DOUBLE / cov >= 0.5),
-x AS (SELECT iso, count(DISTINCT indel) AS ni, count(DISTINCT (a, b)) AS nj FROM g GROUP BY iso),
-p AS (SELECT iso, min(cov)::DOUBLE / sum(cov) AS m, stddev_pop(cov) AS sd, min(rpkm) AS mr, max(novel::INT) AS wn, min(rpkm) FILTER (novel) AS mn FROM r GROUP BY iso)
-SELECT i.iso, round(coalesce(m, 0), 6) AS min_to_all, round(coalesce(sd, 0), 6) AS sd_cov, round(coalesce(mr, 0), 4) AS min_rpkm, coalesce(wn, 0)::BIGINT AS with_novel,
-  round(coalesce(mn, 0), 4) AS min_novel_rpkm, coalesce(ni, 0) AS n_indels, coalesce(nj, 0) AS n_junc_indels FROM iso_v i LEFT JOIN p USING (iso) LEFT JOIN x USING (iso) WHERE n_ex > 1""")
+SELECT iso, round(min_to_all, 6) AS min_to_all, round(sd_cov, 6) AS sd_cov, round(min_rpkm, 4) AS min_rpkm, with_novel, round(min_novel_rpkm, 4) AS min_novel_rpkm, n_indels, n_junc_indels FROM jf_v""")
 def junction_features(spark, sf):
     return junction_part(spark, sf).select("iso", F.round("min_to_all", 6).alias("min_to_all"), F.round("sd_cov", 6).alias("sd_cov"), F.round("min_rpkm", 4).alias("min_rpkm"),
                                            F.col("with_novel").cast("long").alias("with_novel"), F.round("min_novel_rpkm", 4).alias("min_novel_rpkm"), "n_indels", "n_junc_indels")
 
 
-@query("biting_isoforms", """
+view("bite_v", """
 SELECT DISTINCT iso FROM intr_v v WHERE status <> 'F' AND (chrom, a, b) NOT IN (SELECT * FROM known_v)
   AND EXISTS (SELECT 1 FROM ex_v x WHERE x.status = 'F' AND x.chrom = v.chrom AND x.strand = v.strand AND x.s < v.b AND v.a < x.e)""")
+
+
+@query("biting_isoforms", "SELECT iso FROM bite_v")
 def biting_isoforms(spark, sf):
     from spliceloom.operators.transcripts import distinct_exons, intron_rows
     iso = P.isoforms(spark, sf)

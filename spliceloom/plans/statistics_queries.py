@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spliceloom.functions import blocks as B
+from spliceloom.operators import assign as A
+from spliceloom.operators import features as FT
 from spliceloom.operators import learning as L
 from spliceloom.operators import sweeps as W
 from spliceloom.operators import significance as T
 from spliceloom.plans import proxy as P
 from spliceloom.plans.registry import query, view
+from spliceloom.session import bucketed, written
+from spliceloom.sources.text import FEATURES
 
 # tail length of an order: mean hundredth of the price; two sides by line status of the event type
 view("len_v", """
@@ -180,75 +184,92 @@ def differential_events(spark, sf):
     return r.select("event_id", "cond1", "cond2", F.round("p", 6).alias("p"), F.round("fdr", 6).alias("fdr"))
 
 
-# learning: isoform features from the views
+# learning: isoform features and the schemes over them
 
 view("feat_v", """
-SELECT i.iso, i.reads AS "flCount", round(i.reads::DOUBLE / g.r, 3) AS "ratioIsoToGene", i.n_ex AS "exonNum", CAST(i.len AS BIGINT) AS "isoLength",
-  CASE WHEN i.status = 'F' THEN 'annotated' ELSE 'novel' END AS annotation, (i.len % 7) / 20.0 AS "minJuncRPKM"
-FROM iso_v i JOIN (SELECT gene, sum(reads) AS r FROM iso_v GROUP BY gene) g USING (gene)""")
-COLUMNS = ["flCount", "ratioIsoToGene", "exonNum", "isoLength"]
+SELECT i.iso, CAST(i.len AS BIGINT) AS "isoLength", i.reads AS "flCount", round(i.reads::DOUBLE / g.r, 3) AS "ratioIsoToGene", i.n_ex AS "exonNum", CASE WHEN i.status = 'F' THEN 'annotated' ELSE 'novel' END AS annotation,
+  round(coalesce((length(c.seq) - length(translate(c.seq, 'GC', '')))::DOUBLE / length(c.seq), 0), 3) AS "GC", coalesce(orf_length, 0) AS "orfLength", coalesce(c.integrity, -1) AS "orfIntegrity", coalesce(pep_len, 0) AS "pepLength",
+  round(coalesce(fickett, 0), 3) AS "FickettScore", round(coalesce(pi, 0), 3) AS "pI", round(coalesce(coding_probability, 0), 3) AS "codingP", coalesce(coding_label, 'noncoding') AS "codingLabel",
+  round(coalesce(ratio, 0), 3) AS "canJuncRatio", round(coalesce(sd_cov, 0), 3) AS "sdJuncCov", coalesce(with_novel, 0) AS "withNovelJunc", round(coalesce(min_novel_rpkm, 0), 3) AS "minNovelJuncRPKM",
+  (b.iso IS NOT NULL)::BIGINT AS bite, round(coalesce(min_rpkm, 0), 3) AS "minJuncRPKM", coalesce(n_indels, 0) AS "nIndelsAroundJunc", round(coalesce(min_to_all, 0), 3) AS "ratioMinJuncCovToAllCov",
+  coalesce(n_junc_indels, 0) AS "nJuncsWithIndels", (coalesce(n_indels, 0) > 0)::BIGINT AS "indelNearJunc"
+FROM iso_v i JOIN (SELECT gene, sum(reads) AS r FROM iso_v GROUP BY gene) g USING (gene) LEFT JOIN tcpc_v c ON c.id = i.iso LEFT JOIN jf_v j ON j.iso = i.iso LEFT JOIN bite_v b ON b.iso = i.iso
+LEFT JOIN (SELECT iso, avg(CASE WHEN motif IN ('GT-AG', 'GC-AG', 'AT-AC') THEN 1.0 ELSE 0 END) AS ratio FROM mot_v GROUP BY iso) m ON m.iso = i.iso""")
 
 
 def base_features(spark, sf):
-    iso = P.isoforms(spark, sf)
-    total = iso.groupBy("gene").agg(F.sum("reads").alias("_r"))
-    ln = B.length(F.col("exons"))
-    return iso.join(total, "gene").select(
-        "iso", F.col("reads").alias("flCount"), (F.col("reads") / F.col("_r")).alias("ratioIsoToGene"), F.size("exons").cast("long").alias("exonNum"), ln.alias("isoLength"),
-        F.when(F.col("status") == "F", "annotated").otherwise("novel").alias("annotation"), ((ln % 7) / 20.0).alias("minJuncRPKM"))
+    """All columns of the feature table. The transcript view is built once, from one scan of the line items, into a table bucketed by isoform."""
+    from spliceloom.functions import alignment as AL
+    from spliceloom.plans.sequence_queries import MODEL
+    iso = P.isoforms(spark, sf).withColumn("annotation", F.when(F.col("status") == "F", "annotated").otherwise("novel"))
+    iso = bucketed(iso, "isoforms", "iso")
+    start = F.col("pos") - 1
+    al = P.alignments(spark, sf, iso).select("chrom", AL.indels(start, F.col("cigar")).alias("indels"), B.introns(AL.cigar_blocks(start, F.col("cigar"))).alias("junctions"))
+    return FT.isoform_features(iso, P.genome(spark, sf), P.junction_table(spark, sf, iso), al, MODEL, P.placed_isoforms(spark, sf, iso), 95)
 
 
-@query("isoform_feature_table")
+@query("isoform_feature_table", "SELECT * FROM feat_v")
 def isoform_feature_table(spark, sf):
-    from spliceloom.plans.sequence_queries import canonical_junction_ratio, junction_part
-    return L.feature_table(base_features(spark, sf), junction_part(spark, sf), canonical_junction_ratio(spark, sf))
+    return base_features(spark, sf)
+
+
+def few_features(spark, sf):
+    """The columns that rules alone need, without texts."""
+    iso = bucketed(P.isoforms(spark, sf).withColumn("annotation", F.when(F.col("status") == "F", "annotated").otherwise("novel")), "isoforms", "iso")
+    from spliceloom.operators.transcripts import intron_rows
+    known = intron_rows(iso.filter("annotation = 'annotated'")).select("chrom", "a", "b").distinct()
+    none = spark.createDataFrame([], "chrom string, a long, b long, indel string, n long")
+    cover = A.junction_features(iso, P.junction_table(spark, sf, iso), known, none, iso.agg(F.count(F.lit(1)).alias("reads_total")))
+    out = FT.support_part(iso).join(cover, "iso", "left")
+    third = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 3)
+    return out.select("iso", "annotation", "flCount", "exonNum", third("ratioIsoToGene").alias("ratioIsoToGene"), third("min_rpkm").alias("minJuncRPKM"),
+                      F.coalesce("with_novel", F.lit(0)).alias("withNovelJunc"), third("min_novel_rpkm").alias("minNovelJuncRPKM"))
 
 
 @query("labelled_isoforms", """
 SELECT iso, CASE WHEN annotation = 'annotated' AND "flCount" >= 2 AND "minJuncRPKM" >= 0.05 THEN 'positive' WHEN annotation = 'annotated' THEN 'kept' ELSE 'unlabelled' END AS role,
   CASE WHEN annotation = 'annotated' THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM feat_v""")
 def labelled_isoforms(spark, sf):
-    return L.labelled(base_features(spark, sf)).select("iso", "role", "label")
+    return L.labelled(few_features(spark, sf)).select("iso", "role", "label")
 
 
 def training(spark, sf):
-    rows = L.labelled(base_features(spark, sf))
-    return L.assemble(rows.filter("role <> 'kept'"), COLUMNS).select("iso", "role", "label", "features")
+    """Positive and unlabelled isoforms with all features, written once: every scheme reads it more than once."""
+    return written(L.labelled(base_features(spark, sf)).filter("role <> 'kept'").select("iso", "role", "label", *FEATURES), "training")
 
 
 @query("bagged_isoform_scores")
 def bagged_isoform_scores(spark, sf):
-    return L.bagged_scores(training(spark, sf), "DT", rounds=3).select("iso", "role", "pu_score")
+    return L.bagged_scores(training(spark, sf), FEATURES, "GB", rounds=100).select("iso", "role", "pu_score")
 
 
 @query("two_step_isoform_scores")
 def two_step_isoform_scores(spark, sf):
-    return L.two_step(training(spark, sf), "RF", trees=5, limit=2).select("iso", "role", "state", "pu_score")
+    return L.two_step(L.assemble(training(spark, sf), FEATURES), "RF", limit=10).select("iso", "role", "state", "pu_score")
 
 
 @query("supervised_isoform_scores")
 def supervised_isoform_scores(spark, sf):
-    t = training(spark, sf)
-    return L.supervised(t, t, "GB", trees=3).select("iso", "pu_score")
+    t = L.assemble(training(spark, sf), FEATURES)
+    return L.supervised(t, t, "GB").select("iso", "pu_score")
 
 
-@query("reliable_negatives", """SELECT iso FROM feat_v WHERE annotation = 'novel' AND ("ratioIsoToGene" < 0.05 OR ("exonNum" % 2 = 1 AND "minJuncRPKM" < 0.05))""")
+@query("reliable_negatives", """SELECT iso FROM feat_v WHERE annotation = 'novel' AND ("ratioIsoToGene" < 0.05 OR ("withNovelJunc" = 1 AND "minNovelJuncRPKM" < 0.05))""")
 def reliable_negatives(spark, sf):
-    f = base_features(spark, sf).withColumn("ratioIsoToGene", F.round("ratioIsoToGene", 3)).withColumn("withNovelJunc", F.col("exonNum") % 2).withColumn("minNovelJuncRPKM", F.col("minJuncRPKM"))
-    return L.negatives(f).select("iso")
+    return L.negatives(few_features(spark, sf)).select("iso")
 
 
 @query("bagged_classes")
 def bagged_classes(spark, sf):
-    t = L.durable(training(spark, sf))
-    return L.bagged_probability(t, L.bag_models(t, "NB", rounds=2)).select("iso", "prob", "predicted", "log_prob_1", "log_prob_0")
+    t = training(spark, sf)
+    return L.bagged_probability(t, FEATURES, L.bagged_models(t, FEATURES, "NB", rounds=100)).select("iso", "prob", "predicted", "log_prob_1", "log_prob_0")
 
 
 @query("kept_isoforms", """
 SELECT iso, CASE WHEN annotation = 'annotated' AND NOT ("flCount" >= 2 AND "minJuncRPKM" >= 0.05) THEN 1.0 ELSE "ratioIsoToGene" END::DOUBLE AS pu_score FROM feat_v
 WHERE annotation = 'annotated' OR "ratioIsoToGene" >= 0.05""")
 def kept_isoforms(spark, sf):
-    rows = L.labelled(base_features(spark, sf)).withColumn("pu_score", F.round("ratioIsoToGene", 3))
+    rows = L.labelled(few_features(spark, sf)).withColumn("pu_score", F.col("ratioIsoToGene"))
     return L.kept_isoforms(rows, 0.05).select("iso", "pu_score")
 
 
@@ -256,17 +277,15 @@ def kept_isoforms(spark, sf):
 SELECT tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1 FROM (SELECT *, tp::DOUBLE / (tp + fp) AS p, tp::DOUBLE / (tp + fn) AS r FROM (
   SELECT count(*) FILTER (annotation = 'annotated' AND "exonNum" >= 3) AS tp, count(*) FILTER (annotation <> 'annotated' AND "exonNum" >= 3) AS fp, count(*) FILTER (annotation = 'annotated' AND "exonNum" < 3) AS fn FROM feat_v))""")
 def confusion_scores(spark, sf):
-    rows = base_features(spark, sf).select((F.col("annotation") == "annotated").cast("int").alias("label"), (F.col("exonNum") >= 3).cast("int").alias("predicted"))
+    rows = few_features(spark, sf).select((F.col("annotation") == "annotated").cast("int").alias("label"), (F.col("exonNum") >= 3).cast("int").alias("predicted"))
     return L.confusion(rows).select("tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query("model_choice")
 def model_choice(spark, sf):
-    rows = base_features(spark, sf)
-    neg = L.negatives(rows.withColumn("withNovelJunc", F.lit(0)).withColumn("minNovelJuncRPKM", F.lit(1.0)))
-    pos = L.labelled(rows).filter("role = 'positive'")
-    data = L.folds(L.assemble(pos.select("iso", *COLUMNS).withColumn("label", F.lit(1.0)).unionByName(neg.select("iso", *COLUMNS).withColumn("label", F.lit(0.0))), COLUMNS), k=2)
-    best, auc, cut = L.choose_model(data.select("iso", "label", "features", "holdout", "fold"), ["DT", "NB"], k=2, rounds=1)
-    table = F.create_map(*[F.lit(x) for kv in auc.items() for x in kv])
-    # one row per reliable negative with the chosen model and its threshold
-    return neg.select("iso", F.lit(best).alias("model"), F.try_element_at(table, F.lit(best)).alias("auc"), F.lit(cut).alias("threshold"))
+    """Five models, five folds and the holdout, a hundred rounds each, on all features."""
+    rows = written(base_features(spark, sf), "features")
+    pos = L.labelled(rows).filter("role = 'positive'").withColumn("label", F.lit(1.0))
+    neg = L.negatives(rows).withColumn("label", F.lit(0.0))
+    cols = ["iso", "label", *FEATURES]
+    return L.choose_model(pos.select(*cols).unionByName(neg.select(*cols)), FEATURES)

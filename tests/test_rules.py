@@ -9,7 +9,6 @@ from spliceloom.functions import coding as C
 from spliceloom.functions import sequence as Q
 from spliceloom.functions.stats import hypergeometric_tail
 from spliceloom.operators import assign as A
-from spliceloom.operators import learning as L
 from spliceloom.operators import polya as PA
 from spliceloom.operators import significance as T
 from spliceloom.session import durable
@@ -210,22 +209,3 @@ def test_headed_sources(spark, tmp_path):
         S.condition_sheet(sheet.drop("repeat"))
     (tmp_path / "f.txt").write_text("isoform\tisoLength\nPB.1\t5\n")
     assert S.read_features(spark, str(tmp_path / "f.txt")).columns == ["iso", "isoLength"]
-
-
-def test_bootstrap_is_repeatable_and_unit_mean(spark):
-    df = spark.range(20000).withColumnRenamed("id", "iso")
-    w = L.bootstrap_weight(1, "iso")
-    a = df.agg(F.avg(w).alias("m"), F.avg((w == 0).cast("int")).alias("z")).first()
-    assert a["m"] == pytest.approx(1.0, abs=0.05) and a["z"] == pytest.approx(0.3679, abs=0.02)
-    assert df.select(F.sum(w)).first() == df.select(F.sum(w)).first()
-
-
-def test_scores_separate_classes(spark):
-    rows = [(i, 1.0 if i % 3 == 0 else 0.0, float(i % 3 == 0 or i % 9 == 1) * 5 + (i % 7) * 0.1, float(i % 5)) for i in range(300)]
-    df = L.assemble(spark.createDataFrame(rows, "iso long, label double, x double, y double"), ["x", "y"])
-    s = L.bagged_scores(df, "DT", rounds=3)
-    assert s.filter("label = 1 and pu_score is not null").count() == 0
-    by = {r["hit"]: r["m"] for r in s.filter("label = 0").groupBy((F.col("x") > 4).alias("hit")).agg(F.avg("pu_score").alias("m")).collect()}
-    assert by[True] > by[False]
-    two = L.two_step(df, "DT", limit=2)
-    assert two.filter("label = 1 and state <> 1").count() == 0
