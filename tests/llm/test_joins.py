@@ -51,10 +51,11 @@ def joined(rows, percent, width):
     return Counter((d, len(grams(t, width)), low[find(grams(t, width))] if grams(t, width) else d) for d, t in rows)
 
 
-@pytest.mark.parametrize("cold", [64, 3])
+@pytest.mark.parametrize("cold", [8, 3])
 def test_ngram_join(docs, none, cold, monkeypatch):  # noqa: F811
     monkeypatch.setattr(setjoin, "COLD", cold)
     monkeypatch.setattr(setjoin, "BLOCK", 7)
+    monkeypatch.setattr(setjoin, "CLUSTER", 2_000_000 if cold == 8 else 400)  # the second joins most candidates pair by pair
     for percent, width in ((90, 3), (80, 2)):
         got = setjoin.ngram_join(docs, percent, width)
         assert got.columns == ["doc_id", "n_shingles", "component_id"]
