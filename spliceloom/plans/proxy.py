@@ -172,21 +172,30 @@ SELECT m.trans, m.gene, m.chrom, m.strand, m.lo, m.hi, m.cs, m.ce, m.n_ex, e.s,
 FROM mod_v m JOIN ex_v e ON e.iso = m.trans""")
 view("seq_v", "SELECT doc_id AS id, translate(regexp_replace(replace(text, '''', 'T'), '[^\\x01-\\x7E]', 'ä', 'g'), '"
      + LETTERS.replace("'", "''") + "ä', '" + BASES + "N') AS seq FROM documents")
+# the exons of ex_v as numbers alone
+view("nslot_v", """
+SELECT o_custkey // 2 AS gene, l_orderkey AS iso, l_linenumber AS slot, min(l_partkey % 3) AS a, max(l_suppkey % 3) AS b, max(CASE WHEN l_quantity >= 46 THEN 1 ELSE 0 END) AS r
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
+view("nblk_v", """
+SELECT gene, iso, (gene // 5) * 10000 + slot * 1000 + a * 20 AS s, CASE WHEN r = 1 THEN (gene // 5) * 10000 + (slot + 1) * 1000 + 200 ELSE (gene // 5) * 10000 + slot * 1000 + 200 + b * 20 END AS e FROM nslot_v""")
+view("nex_v", """
+SELECT gene, iso, min(s) AS s, max(e) AS e FROM (
+  SELECT *, sum(CASE WHEN p IS NULL OR s > p THEN 1 ELSE 0 END) OVER (PARTITION BY iso ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island
+  FROM (SELECT *, max(e) OVER (PARTITION BY iso ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM nblk_v)) GROUP BY gene, iso, island""")
+view("rel_v", """
+SELECT iso, gene, iso % (SELECT count(*) FROM documents) AS chrom, (s - lo) // 16 AS s, (e - lo) // 16 AS e, (hi - lo) // 16 AS span, (next_s - lo) // 16 AS next_s FROM (
+  SELECT *, min(s) OVER (PARTITION BY iso) AS lo, max(e) OVER (PARTITION BY iso) AS hi, lead(s) OVER (PARTITION BY iso ORDER BY s) AS next_s FROM nex_v)""")
 view("pla_v", """
-SELECT iso, gene, chrom, strand, status, k, n, len, off + (s - lo) // 16 AS s, off + (e - lo) // 16 AS e FROM (
-  SELECT x.iso, x.gene, x.strand, x.status, x.k, x.n, x.s, x.e, i.lo, d.id AS chrom, d.len, x.iso % greatest(d.len - (i.hi - i.lo) // 16, 1) AS off
-  FROM ex_v x JOIN iso_v i ON i.iso = x.iso JOIN (SELECT id, length(seq) AS len FROM seq_v) d ON d.id = x.iso % (SELECT count(*) FROM documents))""")
-view("sin_v", """
-SELECT chrom, strand, iso, e AS a, b, len FROM (SELECT *, lead(s) OVER (PARTITION BY iso ORDER BY s) AS b FROM pla_v) WHERE b IS NOT NULL""")
+SELECT iso, gene, chrom, seq, length(seq) AS len, iso % greatest(length(seq) - span, 1) + s AS s, iso % greatest(length(seq) - span, 1) + e AS e, iso % greatest(length(seq) - span, 1) + next_s AS next_s
+FROM rel_v JOIN seq_v ON id = chrom""")
 view("mot_v", """
-SELECT chrom, strand, iso, a, b, l2, r2, CASE WHEN strand = '+' THEN l2 || '-' || r2
+SELECT chrom, CASE WHEN gene % 2 = 0 THEN '+' ELSE '-' END AS strand, iso, a, b, l2, r2, CASE WHEN gene % 2 = 0 THEN l2 || '-' || r2
   ELSE reverse(translate(r2, 'ACGT', 'TGCA')) || '-' || reverse(translate(l2, 'ACGT', 'TGCA')) END AS motif
-FROM (SELECT i.*, CASE WHEN a + 2 <= len THEN substr(seq, CAST(a + 1 AS BIGINT), 2) END AS l2, CASE WHEN b <= len THEN substr(seq, CAST(b - 1 AS BIGINT), 2) END AS r2
-  FROM sin_v i JOIN seq_v ON id = chrom)""")
+FROM (SELECT chrom, gene, iso, e AS a, next_s AS b, CASE WHEN e + 2 <= len THEN substr(seq, CAST(e + 1 AS BIGINT), 2) END AS l2, CASE WHEN next_s <= len THEN substr(seq, CAST(next_s - 1 AS BIGINT), 2) END AS r2
+  FROM pla_v WHERE next_s IS NOT NULL)""")
 view("tx_v", """
-SELECT iso, CASE WHEN NOT inside THEN NULL WHEN strand = '-' THEN reverse(translate(t, 'ACGT', 'TGCA')) ELSE t END AS seq FROM (
-  SELECT iso, strand, bool_and(e <= len) AS inside, string_agg(substr(v.seq, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)), '' ORDER BY s) AS t
-  FROM pla_v JOIN seq_v v ON v.id = chrom GROUP BY iso, strand)""")
+SELECT iso, CASE WHEN NOT inside THEN NULL WHEN gene % 2 = 1 THEN reverse(translate(t, 'ACGT', 'TGCA')) ELSE t END AS seq FROM (
+  SELECT iso, gene, bool_and(e <= len) AS inside, string_agg(substr(seq, CAST(s + 1 AS BIGINT), CAST(e - s AS BIGINT)), '' ORDER BY s) AS t FROM pla_v GROUP BY iso, gene)""")
 view("aln_v", """
 SELECT iso AS name, (CASE WHEN strand = '-' THEN 16 ELSE 0 END) + (CASE WHEN status = 'P' THEN 256 ELSE 0 END) AS flag, chrom, strand, status,
   min(s) + 1 AS pos, any_value(reads) || 'S' || string_agg(((e - s) // 2) || 'M1I2D' || ((e - s) - (e - s) // 2 - 2) || 'M' ||

@@ -130,9 +130,9 @@ SELECT *, CASE WHEN coding_probability > 0.5 THEN 'coding' ELSE 'noncoding' END
 SELECT id, seq, length(seq) AS length, orf_start, orf_length, pep_len, coalesce(fickett, 0.0) AS fickett, integrity, CASE WHEN length(p) > 0 THEN (h[1] + h[2]) / 2 ELSE 0.0 END AS pi FROM (
   SELECT *, list_reduce([[0.0::DOUBLE, 14.0::DOUBLE]] || list_transform(range(60), lambda i: [0.0::DOUBLE, 0.0::DOUBLE]), lambda st, i: CASE WHEN {charge} > 0 THEN [{mid}, st[2]] ELSE [st[1], {mid}] END) AS h FROM (
   SELECT *, {end(C.PK_N_END_BY, C.PK_N_END, 'left')} AS first_pk, {end(C.PK_C_END_BY, C.PK_C_END, 'right')} AS last_pk, {counts} FROM (
-  SELECT *, length(pep) AS pep_len, trim(regexp_replace(pep, '[XBZJU]', '', 'g'), '*') AS p FROM (
-  SELECT v.id, v.seq, f.fickett, coalesce(o.s + 1, 0) AS orf_start, coalesce(o.e - o.s, 0) AS orf_length, coalesce(o.ok, -1) AS integrity,
-    coalesce(array_to_string(list_transform(regexp_extract_all(substr(v.seq, CAST(o.s + 1 AS BIGINT), CAST(o.e - o.s AS BIGINT)), '(...)', 1), lambda x: {letter}), ''), '') AS pep
+  SELECT *, length(pep) AS pep_len, trim(regexp_replace(pep, '[XBZJU]', '', 'g'), '*') || '' AS p FROM (
+  SELECT v.id, v.seq || '' AS seq, f.fickett, coalesce(o.s + 1, 0) AS orf_start, coalesce(o.e - o.s, 0) AS orf_length, coalesce(o.ok, -1) AS integrity,
+    coalesce(array_to_string(list_transform(regexp_extract_all(substr(v.seq, CAST(o.s + 1 AS BIGINT), CAST(o.e - o.s AS BIGINT)), '(...)', 1), lambda x: {letter}), ''), '') || '' AS pep
   FROM {text} v LEFT JOIN {frames} o ON o.id = v.id LEFT JOIN {scores} f ON f.id = v.id WHERE v.seq IS NOT NULL))))))"""
 
 
@@ -221,15 +221,16 @@ def strand_votes(spark, sf):
 
 # models that a read overlaps on its chromosome: those that a mono-exon read covers to half on either side, any for the others
 view("agr_v", """
-SELECT r.iso, min(m.strand) AS lo, max(m.strand) AS hi FROM iso_v r JOIN iso_v m ON m.status = 'F' AND m.chrom = r.chrom AND m.lo < r.hi AND r.lo < m.hi
-WHERE r.status <> 'F' AND (r.n_ex > 1 OR (SELECT sum(greatest(least(x.e, y.e) - greatest(x.s, y.s), 0)) FROM ex_v x, ex_v y WHERE x.iso = r.iso AND y.iso = m.iso) >= 0.5 * least(r.len, m.len))
-GROUP BY r.iso""")
+SELECT iso, bool_and(plus) AS lo, bool_or(plus) AS hi FROM (
+  SELECT r.iso, m.strand = '+' AS plus FROM iso_v r JOIN iso_v m ON m.status = 'F' AND m.chrom = r.chrom AND m.lo < r.hi AND r.lo < m.hi WHERE r.status <> 'F' AND r.n_ex > 1 UNION ALL
+  SELECT r.iso, m.strand = '+' FROM iso_v r JOIN ex_v x ON x.iso = r.iso JOIN ex_v y ON y.status = 'F' AND y.chrom = x.chrom AND y.s < x.e AND x.s < y.e JOIN iso_v m ON m.iso = y.iso
+  WHERE r.status <> 'F' AND r.n_ex = 1 GROUP BY r.iso, y.iso, m.strand, r.len, m.len HAVING sum(least(x.e, y.e) - greatest(x.s, y.s)) >= 0.5 * least(r.len, m.len)) GROUP BY iso""")
 
 
 @query("decided_strands", """
-SELECT iso, strand, new_strand, new_strand = strand AS confirmed FROM (SELECT r.iso, r.strand,
-  coalesce(CASE WHEN n_ex > 1 AND score > 0 THEN '+' WHEN n_ex > 1 AND score < 0 THEN '-' END, CASE WHEN a.lo = a.hi THEN a.lo END, r.strand) AS new_strand
-  FROM iso_v r LEFT JOIN vote_v USING (iso) LEFT JOIN agr_v a USING (iso) WHERE r.status <> 'F')""")
+SELECT iso, CASE WHEN plus THEN '+' ELSE '-' END AS strand, CASE WHEN new_plus THEN '+' ELSE '-' END AS new_strand, new_plus = plus AS confirmed FROM (SELECT r.iso, plus,
+  coalesce(CASE WHEN n_ex > 1 AND score > 0 THEN true WHEN n_ex > 1 AND score < 0 THEN false END, CASE WHEN a.lo = a.hi THEN a.lo END, plus) AS new_plus
+  FROM (SELECT iso, strand = '+' AS plus, n_ex FROM iso_v WHERE status <> 'F') r LEFT JOIN vote_v USING (iso) LEFT JOIN agr_v a USING (iso))""")
 def decided_strands(spark, sf):
     reads = P.isoforms(spark, sf).filter("status <> 'F'")
     m = P.t_models(spark, sf).withColumnRenamed("strand", "t_strand")
@@ -239,8 +240,9 @@ def decided_strands(spark, sf):
 
 # 3' ends of the placed isoforms
 view("st_v", """
-SELECT DISTINCT p.chrom AS id, v.seq, pos, p.strand FROM (SELECT chrom, strand, len, CASE WHEN strand = '+' THEN max(e) - 1 ELSE min(s) END AS pos FROM pla_v GROUP BY iso, chrom, strand, len) p
-JOIN seq_v v ON v.id = p.chrom WHERE pos > 40 AND pos + 1 + 40 < length(v.seq)""")
+SELECT id, seq, pos, CASE WHEN plus THEN '+' ELSE '-' END AS strand FROM (
+  SELECT chrom AS id, plus, pos, any_value(seq) AS seq FROM (SELECT chrom, gene % 2 = 0 AS plus, CASE WHEN gene % 2 = 0 THEN max(e) - 1 ELSE min(s) END AS pos, any_value(seq) AS seq FROM pla_v GROUP BY iso, chrom, gene)
+  GROUP BY ALL) WHERE pos > 40 AND pos + 1 + 40 < length(seq)""")
 view("swin_v", """
 SELECT id AS chrom, pos, side, strand, CASE WHEN strand = '-' THEN reverse(translate(w, 'ACGT', 'TGCA')) ELSE w END AS w FROM (
   SELECT id, pos, strand, 'up' AS side, CASE WHEN strand = '+' THEN substr(seq, pos - 39, 40) ELSE substr(seq, pos + 2, 40) END AS w FROM st_v UNION ALL
@@ -269,10 +271,20 @@ def letter_profile(spark, sf):
     return r.select("side", F.col("offset").cast("long").alias("offset"), "base", "n", F.round("share", 6).alias("share"))
 
 
-@query("signal_profile")
+def _listed(texts):
+    return ", ".join(f"'{t}'" for t in texts)
+
+
+@query("signal_profile", f"""
+WITH w AS (SELECT side, CASE WHEN strand = '-' THEN reverse(translate(w, 'ACGT', 'TGCA')) ELSE w END AS w FROM (
+  SELECT 'up' AS side, strand, CASE WHEN strand = '+' THEN substr(seq, pos - 39, 45) ELSE substr(seq, pos + 2, 45) END AS w FROM st_v WHERE pos + 46 < length(seq) UNION ALL
+  SELECT 'down', strand, CASE WHEN strand = '+' THEN substr(seq, pos + 2, 45) ELSE substr(seq, greatest(pos - 45, 0) + 1, pos - greatest(pos - 45, 0)) END FROM st_v WHERE pos + 46 < length(seq))),
+k AS (SELECT side, o, substr(w, o + 1, 6) AS s FROM (SELECT side, w, unnest(range(0, length(w) - 5)) AS o FROM w)),
+c AS (SELECT side, o, CASE WHEN s IN ({_listed(PA.MAIN_SIGNALS)}) THEN s WHEN s IN ({_listed(PA.SIGNALS)}) THEN 'Other' END AS signal, count(*) AS n FROM k GROUP BY ALL)
+SELECT side, CAST(o AS BIGINT) AS "offset", signal, n, round(n::DOUBLE / t, 6) AS share FROM (SELECT *, sum(n) OVER (PARTITION BY side, o) AS t FROM c) WHERE signal IS NOT NULL""")
 def signal_profile(spark, sf):
     r = PA.signal_profile(site_texts(spark, sf, 6), "seq_w")
-    return r.select("side", "offset", "signal", "n", F.round("share", 6).alias("share"))
+    return r.select("side", F.col("offset").cast("long").alias("offset"), "signal", "n", F.round("share", 6).alias("share"))
 
 
 @query("spliced_transcripts", "SELECT iso, seq FROM tx_v")
