@@ -78,9 +78,13 @@ def anchors(b: np.ndarray, length: int) -> tuple[list[tuple[int, int, int, int]]
             s = at + 1
     if len({v for v, *_ in found}) == len(found):
         return found, [], []
-    previous, following = factors(b, np.arange(n), np.arange(n), length)
-    later = previous >= length
-    both = later | (following >= length)
+    later, both = np.zeros(n, bool), np.zeros(n, bool)
+    part = narrowed([b.tobytes()], length)
+    if part:
+        data, starts, row, offset = suffixes([t for _, _, t in part], length)
+        place = np.array([s for _, s, _ in part])[row] + offset
+        previous, following = factors(data, starts, place, length)
+        later[place], both[place] = previous >= length, (previous >= length) | (following >= length)
     first = ~later
     kept = [x for x in found if first[x[2]:x[3] + 1].any()]
     return kept, runs_of(both, np.arange(n), length), runs_of(later, np.arange(n), length)
@@ -203,17 +207,33 @@ def suffixes(rows: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
     return data, np.repeat(np.cumsum(sizes) - sizes, counts) + offset, row, offset
 
 
+def narrowed(rows: list[bytes], length: int) -> list[tuple[int, int, bytes]]:
+    """(row, start, bytes) of the stretches whose strings of ``length`` have a fingerprint that occurs twice: all others match nothing and need no place in the order."""
+    data, at, row, offset = suffixes(rows, length)
+    _, ids, counts = np.unique(slices(prefixes(data), at, length), return_inverse=True, return_counts=True)
+    twice = counts[ids] > 1
+    out = []
+    for r in np.unique(row[twice]).tolist():
+        of = slice(*np.searchsorted(row, [r, r + 1]))
+        out.extend((r, s, rows[r][s:e]) for s, e in runs_of(twice[of], offset[of], length))
+    return out
+
+
 def repeated(doc: list[int], x: list[bytes], start: list[int], rows: list[bytes], length: int, first: bool) -> Iterator[tuple[bytes, int, int]]:
     """Intervals (x, start, stop) whose strings occur elsewhere in the group, or only earlier if ``first``: longest previous, or next, factor of ``length``."""
     ids = {k: i for i, k in enumerate(sorted(set(zip(doc, x))))}
-    of = np.array([ids[k] for k in zip(doc, x)], np.int64)
-    data, starts, row, offset = suffixes(rows, length)
-    previous, following = factors(data, starts, (of[row] << 40) | (np.array(start, np.int64)[row] + offset), length)
+    part = narrowed(rows, length)
+    if not part:
+        return
+    of = np.array([ids[doc[r], x[r]] for r, _, _ in part], np.int64)
+    first_byte = np.array([start[r] + s for r, s, _ in part], np.int64)
+    data, starts, row, offset = suffixes([b for _, _, b in part], length)
+    previous, following = factors(data, starts, (of[row] << 40) | (first_byte[row] + offset), length)
     hit = previous >= length if first else (previous >= length) | (following >= length)
     for r in np.unique(row[hit]).tolist():
         at = slice(*np.searchsorted(row, [r, r + 1]))
         for s, e in runs_of(hit[at], offset[at], length):
-            yield x[r], start[r] + s, start[r] + e
+            yield x[part[r][0]], int(first_byte[r]) + s, int(first_byte[r]) + e
 
 
 def group_intervals(ctx: DataFrame, length: int, first: bool) -> DataFrame:
