@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from spliceloom.functions.sequence import SIGNALS, kmers
 from spliceloom.operators.overlap import overlap_join, within_distance
-from spliceloom.operators.sweeps import with_point_island
+from spliceloom.operators.sweeps import merged, with_point_island
 from spliceloom.operators.transcripts import majority
 from spliceloom.session import durable
 
 # Hexamers drawn on their own; the other signals are summed.
 MAIN_SIGNALS = SIGNALS[:6]
+TILE = 1 << 14  # positions of a gene that a task looks at together
 
 
 def end_sites(reads: DataFrame) -> DataFrame:
@@ -25,84 +26,128 @@ def end_sites(reads: DataFrame) -> DataFrame:
     return counts.join(main, ["gene", "chrom"], "left_semi")
 
 
-def _peaks(pos: np.ndarray, n: np.ndarray, lo: int, hi: int, distance: int, window: int, support: int) -> list[tuple]:
-    """Clusters (first, last, count, peak) of one stretch of positions inside the gene range [lo, hi]."""
-    base = max(int(pos.min()) - window, lo)
-    depth = np.zeros(min(int(pos.max()) + window, hi) - base + 1, dtype=np.int64)
-    np.add.at(depth, pos - base, n)
-    size = len(depth)
-    total = np.concatenate([[0], np.cumsum(depth)])
-    at = np.arange(size)
-    # windows are cut at the gene range only; outside this stretch the depth is 0
-    left, right = np.maximum(at - window, 0), np.minimum(at + window + 1, size)
-    width = np.minimum(at + base + window + 1, hi + 1) - np.maximum(at + base - window, lo)
-    around = total[right] - total[left]
-    height = np.where(around >= support, depth * 2 + around / width, 0.0)
-    found: list[list[int]] = []
-    for p in sorted(np.flatnonzero(height > 0), key=lambda i: (-height[i], i)):
-        near = [c for c in found if p - distance <= c[1] and c[0] <= p + distance + 1]
-        if near:
-            c = min(near, key=lambda c: (min(abs(p - c[0]), abs(p - c[1])), c[0]))
-            c[0], c[1] = min(c[0], p), max(c[1], p)
-        else:
-            found.append([max(p - window, lo - base), min(p + window + 1, hi - base + 1)])
-    merged: list[list[int]] = []
-    for c in sorted(found):
-        if merged and c[0] - distance <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], c[1])
-        else:
-            merged.append(list(c))
-    out = []
-    for s, e in merged:
-        s, e = max(s, 0), min(e, size)
-        used = np.flatnonzero(depth[s:e])
-        if len(used):
-            peak = s + int(np.argmax(height[s:e]))
-            out.append((base + s + int(used[0]), base + s + int(used[-1]), int(depth[s:e].sum()), base + peak))
-    return out
+PLACE = ["gene", "chrom", "strand"]
+UNKNOWN, SEED, ATTACHED, BRIDGED = 0, 1, 2, 3
 
 
-def peak_clusters(sites: DataFrame, distance: int = 20, window: int = 3, support: int = 5, min_rpkm: float = 0.0,
-                  all_reads: int = 1_000_000) -> DataFrame:
-    """Clusters of read ends by greedy smoothed peaks: start, end, n, peak (positions) per gene.
+def _by_tile(df: DataFrame, reach: int, work, columns: str) -> DataFrame:
+    """Run ``work`` on each tile of a gene's axis, with the rows up to ``reach`` beyond its borders; it returns arrays of its own positions, ``columns`` long or double.
 
-    sites: gene, chrom, strand, pos, n. Peaks further apart than the reach of a
-    cluster cannot meet, so each gene is cut into such stretches first and the
-    greedy step runs per stretch on counted positions. Peaks are taken by
-    height, then position; clusters merge in position order.
+    ``work(pos, others, lo, hi, first, last)`` gets ascending positions, the further columns, the gene's range and the tile's range.
     """
-    sites = durable(sites)  # counted positions, read by the scans below
-    span = sites.groupBy("gene", "chrom", "strand").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    key = ["gene", "chrom", "strand", "stretch"]
-    cut = with_point_island(sites, ["gene", "chrom", "strand"], "pos", 4 * window + 2 * distance + 4, "stretch")
-    rows = cut.join(span, ["gene", "chrom", "strand"]).select(*key, "pos", "n", "lo", "hi")
-    columns = ["gene", "chrom", "strand", "start", "end", "n", "peak", "gene_range"]
-
-    def stretches(batches):
-        """Rows arrive sorted by stretch; the last one of a batch waits for the rest of its rows."""
+    others = [c for c in df.columns if c not in (*PLACE, "pos", "lo", "hi")]
+    tile = lambda d: F.floor((F.col("pos") + d) / TILE).cast("long")
+    rows = df.withColumn("_t", F.explode(F.array_distinct(F.array(tile(0), tile(-reach), tile(reach)))))
+    key = [*PLACE, "_t"]
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(batches):
+        """Rows arrive sorted by tile; the last tile of a batch waits for the rest of its rows."""
         held = None
-        def clusters(pdf: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
-            pos, n = pdf["pos"].to_numpy(), pdf["n"].to_numpy()
-            out = []
+
+        def tiles(pdf: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+            got, of = [], []
+            col = {c: pdf[c].to_numpy() for c in ("pos", "lo", "hi", "_t", *others)}
             for a, b in zip(cuts[:-1], cuts[1:]):
-                first = pdf.iloc[a]
-                for s, e, c, p in _peaks(pos[a:b], n[a:b], int(first["lo"]), int(first["hi"]), distance, window, support):
-                    out.append((first["gene"], first["chrom"], first["strand"], s, e, c, p, int(first["hi"]) - int(first["lo"]) + 1))
-            return pd.DataFrame(out, columns=columns)
+                first = int(col["_t"][a]) * TILE
+                out = work(col["pos"][a:b], [col[c][a:b] for c in others], int(col["lo"][a]), int(col["hi"][a]), first, first + TILE - 1)
+                got.append(out)
+                of.append(np.full(len(out[0]), a))
+            at = np.concatenate(of) if of else np.zeros(0, int)
+            base = pdf.iloc[at][[*PLACE, "lo", "hi"]].reset_index(drop=True)
+            return base.assign(**{n: np.concatenate([g[i] for g in got]) if got else [] for i, n in enumerate(names)})
+
         for pdf in batches:
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            new = (pdf[key] != pdf[key].shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(new)
+            if not len(pdf):
+                continue
+            starts = np.flatnonzero((pdf[key] != pdf[key].shift()).any(axis=1).to_numpy())
             held = pdf.iloc[starts[-1]:]
-            yield clusters(pdf, starts)
+            if len(starts) > 1:
+                yield tiles(pdf, starts)
         if held is not None and len(held):
-            yield clusters(held, np.array([0, len(held)]))
+            yield tiles(held, np.array([0, len(held)]))
+
+    gene_type = df.schema["gene"].dataType.simpleString()
+    ordered = rows.select(*key, "pos", "lo", "hi", *others).repartition(*key).sortWithinPartitions(*key, "pos")
+    return ordered.mapInPandas(run, f"gene {gene_type}, chrom string, strand string, lo long, hi long, {columns}")
+
+
+def _heights(sites: DataFrame, window: int, support: int) -> DataFrame:
+    """(place, lo, hi, pos, height) of all positions that may be a peak: smoothed depth of counted read ends, windows cut at the gene's range."""
+    def work(pos, others, lo, hi, first, last):
+        base, end = max(int(pos[0]) - window, lo), min(int(pos[-1]) + window, hi)
+        depth = np.zeros(end - base + 1, np.int64)
+        depth[pos - base] = others[0]
+        total, at = np.concatenate([[0], np.cumsum(depth)]), np.arange(len(depth))
+        around = total[np.minimum(at + window + 1, len(depth))] - total[np.maximum(at - window, 0)]
+        width = np.minimum(at + base + window, hi) - np.maximum(at + base - window, lo) + 1
+        height = np.where(around >= support, depth * 2 + around / width, 0.0)
+        peak = np.flatnonzero((height > 0) & (at + base >= first) & (at + base <= last))
+        return peak + base, height[peak]
+
+    return _by_tile(sites, 2 * window + 1, work, "pos long, height double")
+
 
-    gene_type = sites.schema["gene"].dataType.simpleString()
-    out = rows.repartition(*key).sortWithinPartitions(*key, "pos").mapInPandas(
-        stretches, f"gene {gene_type}, chrom string, strand string, start long, end long, n long, peak long, gene_range long")
-    rpkm = F.col("n") * 1_000_000 / (F.lit(float(all_reads)) * F.col("gene_range"))
-    return (out.filter(rpkm >= min_rpkm) if min_rpkm else out).drop("gene_range")
+def _decide(peaks: DataFrame, distance: int, window: int) -> DataFrame:
+    """One round: every peak whose higher neighbours are decided, or one of which reaches it for certain, gets its state.
+
+    Peaks count from the highest down, the leftmost first. One that no earlier member of a cluster reaches is a SEED and covers ``window`` positions to
+    either side; others are members of a cluster that reaches them: ATTACHED, or BRIDGED if only a cluster that begins distance + 1 further on does. Peaks beyond the
+    tile that are not decided block those that they might reach.
+    """
+    def work(pos, others, lo, hi, first, last):
+        height, state = others[0], others[1].copy()
+        base = int(pos[0]) - distance - window - 2
+        size = int(pos[-1]) + distance + window + 3 - base
+        cover, strict, blocked = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, bool)
+        for i in np.lexsort((pos, -height)).tolist():
+            p = int(pos[i])
+            if state[i] == UNKNOWN:
+                if strict[p - base]:
+                    state[i] = ATTACHED
+                elif not blocked[p - base] and first <= p <= last:
+                    state[i] = BRIDGED if cover[p - base] else SEED
+            s, e = (p, p) if state[i] >= ATTACHED else (max(p - window, lo), min(p + window + 1, hi + 1))
+            s, e = s - distance - 1 - base, e + distance + 1 - base
+            if state[i] == UNKNOWN:
+                blocked[s:e] = True
+            else:
+                cover[s:e] = True
+                strict[s + 1:e] = True
+        own = (pos >= first) & (pos <= last)
+        return pos[own], height[own], state[own]
+
+    return _by_tile(peaks, distance + window + 2, work, "pos long, height double, state long")
+
+
+def peak_clusters(sites: DataFrame, distance: int = 20, window: int = 3, support: int = 5, min_rpkm: float = 0.0,
+                  all_reads: int = 1_000_000) -> DataFrame:
+    """Clusters of read ends by greedy smoothed peaks: start, end, n, peak (positions) per gene.
+
+    sites: gene, chrom, strand, pos, n. The rule takes peaks by height, then position; a peak within `distance` of a cluster joins it, any other begins a
+    cluster; clusters within `distance` of each other are one in the end. What a peak becomes depends only on higher ones in its reach, so
+    all that are higher than their undecided neighbours are decided at once, in rounds, on tiles of TILE positions: a dense gene spreads over
+    its tiles, and no scan, window or task holds more than a tile.
+    """
+    sites = durable(sites)  # counted positions, read by the scans below
+    span = sites.groupBy(*PLACE).agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    peaks = durable(_heights(sites.join(span, PLACE).select(*PLACE, "pos", "n", "lo", "hi"), window, support).withColumn("state", F.lit(UNKNOWN).cast("long")))
+    while not peaks.filter(F.col("state") == UNKNOWN).isEmpty():
+        peaks = durable(_decide(peaks, distance, window))
+    seed, p = F.col("state") == SEED, F.col("pos")
+    start = F.when(seed, F.greatest(p - window, F.col("lo"))).otherwise(p)
+    end = F.when(seed, F.least(p + window + 1, F.col("hi") + 1)).when(F.col("state") == BRIDGED, p + distance + 1).otherwise(p)
+    clusters = merged(peaks.select(*PLACE, start.alias("c_start"), end.alias("c_end")), PLACE, "c_start", "c_end", distance, True)
+    spots = sites.select(*PLACE, "pos", "n", F.lit(0.0).alias("height")).unionByName(peaks.select(*PLACE, "pos", F.lit(0).cast("long").alias("n"), "height"))
+    inside = overlap_join(spots.withColumn("pos_end", p + 1), clusters, PLACE, "pos", "pos_end", "c_start", "c_end")
+    used = F.when(F.col("n") > 0, p)
+    out = inside.groupBy(*PLACE, "c_start", "c_end").agg(F.min(used).alias("start"), F.max(used).alias("end"), F.sum("n").alias("n"), F.max_by("pos", F.struct("height", -p)).alias("peak"))
+    out = out.filter("start IS NOT NULL").select(*PLACE, "start", "end", "n", "peak")
+    if not min_rpkm:
+        return out
+    rpkm = F.col("n") * 1_000_000 / (F.lit(float(all_reads)) * (F.col("hi") - F.col("lo") + 1))
+    return out.join(span, PLACE).filter(rpkm >= min_rpkm).drop("lo", "hi")
 
 
 def cluster_reads(reads: DataFrame, clusters: DataFrame) -> DataFrame:

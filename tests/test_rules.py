@@ -28,18 +28,6 @@ def test_peak_clusters(spark):
     assert PA.cluster_reads(reads, c).count() == 11
 
 
-def test_peaks_do_not_depend_on_the_cut(spark):
-    """A gene cut into stretches gives what one run over the whole gene gives."""
-    import numpy as np
-    rng = random.Random(2)
-    pos = sorted(rng.choice([500, 900, 2000, 2040, 5000]) + int(rng.gauss(0, 6)) for _ in range(400))
-    rows = spark.createDataFrame([("G", "c", "+", p) for p in pos], "gene string, chrom string, strand string, pos long").groupBy("gene", "chrom", "strand", "pos").agg(
-        F.count(F.lit(1)).alias("n"))
-    got = sorted((r["start"], r["end"], r["n"], r["peak"]) for r in PA.peak_clusters(rows, 20, 3, 5).collect())
-    at, n = np.unique(np.array(pos), return_counts=True)
-    assert got == sorted(PA._peaks(at, n, int(at.min()), int(at.max()), 20, 3, 5))
-
-
 def isoform(spark, exons, iso=1):
     return spark.createDataFrame([("c", "+", "G", iso, exons[0][0], exons[-1][1], exons, 1)],
                                  f"chrom string, strand string, gene string, iso long, start long, end long, exons {X}, reads long")
