@@ -175,7 +175,7 @@ SELECT o_custkey AS haplo, f AS iso, count(*) FILTER (l_returnflag = f) AS n FRO
   (SELECT DISTINCT l_returnflag AS f FROM lineitem) GROUP BY ALL""")
 def haplotype_matrix(spark, sf):
     li = P.table(spark, sf, "lineitem").join(P.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    wide = li.groupBy("o_custkey").pivot("l_returnflag", ["A", "N", "R"]).count().fillna(0)
+    wide = li.groupBy("o_custkey").pivot("l_returnflag").count().fillna(0)  # a column for every flag there is
     return S.haplotype_long(wide, "o_custkey")
 
 
@@ -282,18 +282,18 @@ def both_utr_blocks(spark, sf):
 
 
 view("pair_v", """
-SELECT a.trans, a.gene, b.iso FROM (SELECT gene, min(trans) AS trans FROM mod_v GROUP BY gene) a JOIN iso_v b ON a.gene = b.gene AND b.status = 'O'""")
+SELECT a.trans, a.gene, b.iso FROM (SELECT m.gene, min(m.trans) AS trans FROM mod_v m JOIN iso_v i ON i.iso = m.trans GROUP BY m.gene, i.exon_chain) a JOIN iso_v b ON a.gene = b.gene AND b.status = 'O'""")
 
 
-def first_models(spark, sf):
-    """The first annotated transcript of each gene."""
-    rows = F.min(F.struct("trans", "strand", "cds_start", "cds_end", "exons"))
-    return P.models(spark, sf).groupBy("gene").agg(rows.alias("_m")).select("gene", "_m.*")
+def distinct_models(spark, sf):
+    """Every annotated structure of a gene: transcripts of one exon chain are one row, named by the first, so copies do not multiply the pairs."""
+    rows = F.min(F.struct("trans", "strand", "cds_start", "cds_end"))
+    return P.models(spark, sf).groupBy("gene", "exons").agg(rows.alias("_m")).select("gene", "exons", "_m.*")
 
 
 def gene_pairs(spark, sf):
-    """O isoforms against the first annotated transcript of their gene."""
-    m = first_models(spark, sf).select("gene", "trans", "strand", F.col("exons").alias("old_exons"))
+    """O isoforms against every annotated structure of their gene."""
+    m = distinct_models(spark, sf).select("gene", "trans", "strand", F.col("exons").alias("old_exons"))
     i = P.isoforms(spark, sf).filter(F.col("status") == "O").select("gene", "iso", F.col("exons").alias("new_exons"))
     return i.join(m, "gene")
 
@@ -314,7 +314,7 @@ def merged_blocks(spark, sf):
 
 
 @query("union_of_transcripts", """
-WITH u AS (SELECT p.trans, p.iso, x.s, x.e FROM pair_v p JOIN ex_v x ON x.iso = p.trans OR x.iso = p.iso),
+WITH u AS (SELECT DISTINCT p.trans, p.iso, x.s, x.e FROM pair_v p JOIN ex_v x ON x.iso = p.trans OR x.iso = p.iso),
 g AS (SELECT *, max(e) OVER (PARTITION BY trans, iso ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM u),
 h AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p THEN 1 ELSE 0 END) OVER (PARTITION BY trans, iso ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM g)
 SELECT trans, iso, string_agg(s || '-' || e, ';' ORDER BY s) AS blocks FROM (SELECT trans, iso, i, min(s) AS s, max(e) AS e FROM h GROUP BY ALL) GROUP BY ALL""")
@@ -386,7 +386,7 @@ FROM (SELECT p.trans, p.iso, q.which, q.site, m.lo, m.hi, m.cs, m.ce, m.strand,
 
 def sited(spark, sf):
     i = P.isoforms(spark, sf).filter(F.col("status") == "O").select("gene", "iso", "start", "end")
-    p = i.join(first_models(spark, sf), "gene")
+    p = i.join(distinct_models(spark, sf), "gene")
     cls = lambda s: B.site_class(s, F.col("cds_start"), F.col("cds_end"), F.col("exons"), F.col("strand"))
     return p.withColumn("a", cls(F.col("start") + 1)).withColumn("b", cls(F.col("end")))
 
