@@ -61,11 +61,16 @@ def leaf_scores(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return durable(now.filter(F.col("up").isNull())), steps
 
 
+def one_of_each(messages: DataFrame) -> DataFrame:
+    """(tree, id, parent, role, text, score): one row for each message. Of rows that repeat (tree, id) the smallest by these columns stays, nulls first; rows without an id are no messages."""
+    return messages.filter(F.col("id").isNotNull()).groupBy("tree", "id").agg(F.min(F.struct("parent", "role", "text", "score")).alias("_m")).select("tree", "id", "_m.*")
+
+
 def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
-    """The ``paths`` best root-to-leaf paths of every reply tree by mean score, as rows (tree, path, depth, id).
+    """The ``paths`` best root-to-leaf paths of every reply tree by mean score, as rows (tree, path, depth, id). ``messages`` are `one_of_each`.
 
     Ties go to the longer, then to the smaller leaf id. A message whose parent is missing from the table is a root. Messages that lie
-    on a cycle never reach a root and are in no path.
+    on a cycle never reach a root and are in no path. A null tree is a tree, a null score counts 0; an empty table gives no rows.
     """
     have = messages.select(F.col("tree").alias("_t"), F.col("id").alias("_p"))
     m = messages.join(have, messages["tree"].eqNullSafe(have["_t"]) & (messages["parent"] == have["_p"]), "left").select(
@@ -119,9 +124,12 @@ def read_loss(formatted: Column, spans: Column) -> Column:
 def chat(messages: DataFrame, paths: int = 1) -> DataFrame:
     """Format the best paths of every reply tree (tree, id, parent, role, text, score) as conversations.
 
-    Parents link messages inside a tree; ids are unique there. All other columns are ignored, whatever their names. A path becomes one
-    output row, so its size bounds what meets in one task; trees of any width are spread over their messages.
+    Parents link messages inside a tree. Rows that repeat (tree, id) are one message (`one_of_each`), so they neither multiply turns nor split a path; rows
+    without an id are left out. Null roles and texts are empty, a null tree is a tree, a null score counts 0. All other columns are ignored,
+    whatever their names. A path becomes one output row, so its size, and that of its longest text, bounds what meets in one task; trees of any
+    width are spread over their messages. An empty table gives no rows.
     """
+    messages = one_of_each(messages)
     chosen = best_paths(messages, paths)
     said = messages.select(F.col("tree").alias("_t"), F.col("id").alias("_i"), "role", "text")
     return format_paths(chosen.join(said, chosen["tree"].eqNullSafe(said["_t"]) & (chosen["id"] == said["_i"])).select("tree", "path", "depth", "role", "text"))

@@ -361,6 +361,18 @@ def test_chat(spark, tmp_path):
     assert C.chat(m, paths=2).filter("tree = 1").count() == 2 and C.chat(m.limit(0)).count() == 0
 
 
+def test_chat_rows_that_repeat_tie_or_clash(spark):
+    """One message in several rows, ties of branches, a very long text, rows without an id, and extra columns of any name."""
+    long_ = "x<|im_end|>\n" * 60_000
+    rows = [(1, 1, None, "user", "root", 0.0)] * 3 + [(1, 1, None, "user", "zz other text of this id", 0.0), (1, 2, 1, "assistant", "a", 0.5), (1, 2, 1, "assistant", "a", 0.5), (1, 3, 1, "assistant", "b", 0.5),
+            (1, None, 1, "user", "nobody", 9.0), (2, 5, None, "user", "q", None), (2, 6, 5, "assistant", long_, None), (2, 6, 5, "assistant", long_, None), (3, 1, 1, "user", "its own parent", 0.0)]
+    m = spark.createDataFrame([(*r, "p", 7, "f") for r in rows], "tree long, id long, parent long, role string, text string, score double, path string, depth int, formatted string").repartition(3)
+    out = C.chat(m, paths=5).withColumn("turns", C.read_turns(F.col("formatted"))).withColumn("loss", C.read_loss(F.col("formatted"), F.col("loss_spans")))
+    got = {(r["tree"], r["path"]): ([t["text"] for t in r["turns"]], r["n_turns"], r["loss"]) for r in out.collect()}
+    assert got == {(1, 1): (["root", "a"], 2, "a"), (1, 2): (["root", "b"], 2, "b"), (2, 1): (["q", long_], 2, long_)}
+    assert C.chat(m.limit(0)).count() == 0
+
+
 def test_line_dedup(docs, none):
     rows = [(r[0], r[1]) for r in corpus()]
     key = lambda x: x.strip(" \t\n\x0b\f\r").encode().lower().decode()
