@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from math import lgamma
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -86,17 +88,31 @@ def chi_square_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
 def hypergeometric_tail(k: pd.Series, drawn: pd.Series, good: pd.Series, total: pd.Series) -> pd.Series:
     """P(X >= k) for `drawn` draws without return from `total` items of which `good` count."""
     k, n, g, m = (c.to_numpy(np.int64) for c in (k, drawn, good, total))
-    if not len(k):
-        return pd.Series([], dtype=float)
-    lf = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, int(m.max()) + 1, dtype=float)))])  # log factorials, once per batch
-    lo, top = np.maximum(k, np.maximum(0, n + g - m)), np.minimum(n, g)
-    sizes = np.maximum(top - lo + 1, 0)
-    row = np.repeat(np.arange(len(k)), sizes)
-    i = lo[row] + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    def choose(a, b):
-        return lf[a] - lf[b] - lf[a - b]
-    terms = np.exp(choose(g[row], i) + choose((m - g)[row], n[row] - i) - choose(m, n)[row])
-    return pd.Series(np.minimum(1.0, np.bincount(row, terms, minlength=len(k))))
+    out = np.zeros(len(k))
+    least, top = np.maximum(0, n + g - m), np.minimum(n, g)
+    out[k <= least] = 1.0
+    rows = np.flatnonzero((k > least) & (k <= top))
+    if not len(rows):
+        return pd.Series(out)
+    k, n, g, m, least, top = (v[rows] for v in (k, n, g, m, least, top))
+    up = k > (n + 1) * (g + 1) / (m + 2)  # on the far side of the mode terms fall upwards, else downwards; the shorter tail is summed
+    x = np.where(up, k, k - 1)
+    lf = lambda v: np.array([lgamma(a + 1.0) for a in v.tolist()])
+    choose = lambda a, b: lf(a) - lf(b) - lf(a - b)
+    term = np.exp(choose(g, x) + choose(m - g, n - x) - choose(m, n))
+    total_ = term.copy()
+    open_ = np.flatnonzero(np.where(up, x < top, x > least))
+    while len(open_):  # each term follows from the one before; a row ends with its range, or when a term adds nothing any more
+        i, nn, gg, mm = x[open_], n[open_], g[open_], m[open_]
+        rise = (gg - i) * (nn - i) / ((i + 1.0) * (mm - gg - nn + i + 1.0))
+        fall = i * (mm - gg - nn + i) / ((gg - i + 1.0) * (nn - i + 1.0))
+        term[open_] *= np.where(up[open_], rise, fall)
+        x[open_] += np.where(up[open_], 1, -1)
+        total_[open_] += term[open_]
+        more = (term[open_] > 1e-17 * total_[open_]) & np.where(up[open_], x[open_] < top[open_], x[open_] > least[open_])
+        open_ = open_[more]
+    out[rows] = np.clip(np.where(up, total_, 1 - total_), 0, 1)
+    return pd.Series(out)
 
 
 def pooled_t(n1: Column, mean1: Column, var1: Column, n2: Column, mean2: Column, var2: Column) -> Column:

@@ -74,27 +74,56 @@ def retained_introns(isoforms: DataFrame, offset: int = OFFSET, models: DataFram
     return within_models(ev, models) if models is not None else ev
 
 
+def structures(isoforms: DataFrame) -> DataFrame:
+    """Distinct exon structures of each gene: sid (a hash of the exons), exons, n_iso, w, and ``sums``, the running hash sums before each exon and behind the last."""
+    one = isoforms.groupBy(*GENE, F.xxhash64("exons").alias("sid")).agg(
+        F.min("exons").alias("exons"), F.max("exons").alias("_x"), F.count(F.lit(1)).alias("n_iso"), F.sum("reads").alias("w"))
+    return durable(_same(one, "exons").withColumn("sums", chain_sums(F.col("exons"))))
+
+
+def _same(df: DataFrame, column: str) -> DataFrame:
+    """Fail if rows that share a hash hold different values: ``_x`` is the largest, ``column`` the smallest."""
+    return df.withColumn(column, F.when(F.col(column) == F.col("_x"), F.col(column)).otherwise(F.raise_error(F.lit("two exon chains share a hash")).cast(df.schema[column].dataType))).drop("_x")
+
+
+def chain_sums(exons: Column) -> Column:
+    """Running sums of exon hashes; the difference of two of them names the chain between, since coordinates order it. Terms of 52 bits leave room for 2,000 exons."""
+    term = lambda x: F.shiftrightunsigned(F.xxhash64(x["s"], x["e"]), 12)
+    return F.aggregate(exons, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + term(x))))
+
+
+def chain_between(rows: DataFrame, edge: str = "l", site: str = "r") -> tuple[DataFrame, DataFrame]:
+    """(donors, acceptors) of structures: right exon edges with the sum behind the exon, and left edges with the sum before it; each with its exon number."""
+    keys = [c for c in ("gene", "chrom", "strand") if c in rows.columns]
+    at = rows.select(*keys, "sid", "sums", F.posexplode("exons").alias("k", "x"), F.size("exons").alias("_n"))
+    donors = at.filter(F.col("k") < F.col("_n") - 2).select(*keys, "sid", "k", F.col("x.e").alias(edge), F.get("sums", F.col("k") + 1).alias("after"))
+    acceptors = at.filter(F.col("k") > 0).select(*keys, "sid", F.col("k").alias("j"), F.col("x.s").alias(site), F.get("sums", "k").alias("before"))
+    return donors, acceptors
+
+
 def _skips(isoforms: DataFrame, variants: DataFrame | None = None) -> DataFrame:
-    """(gene, l, r, chain) of skipped exon chains with the keeping structures' counts."""
-    donors = isoforms.select(*GENE, "reads", F.explode(let(F.col("exons"), lambda ex: F.transform(
-        ex, lambda x, i: F.struct(x["e"].alias("l"), F.slice(ex, i + 2, F.size(ex)).alias("tail"))))).alias("_d"))
-    donors = (donors.select(*GENE, "reads", "_d.l", "_d.tail").filter(F.size("tail") >= 2)
-              .groupBy(*GENE, "l", "tail").agg(F.count(F.lit(1)).alias("n_iso"), F.sum("reads").alias("w")))
+    """(gene, l, r, n_inner, chain, inner, sid) rows: structures that keep the exons between l and r, which the exact intron (l, r) of others skips.
+
+    Structures with an exon end at l meet the introns of their gene at l, and those that go on at r stay: two narrow joins on (gene, l) and
+    (gene, sid, r). The chain between is a difference of two running hash sums; exon lists are fetched for the hits alone.
+    """
     variants = exon_variants(isoforms) if variants is None else variants
     skips = variants.filter(F.col("next_s").isNotNull()).groupBy(
         *GENE, F.col("e").alias("l"), F.col("next_s").alias("r")).agg(F.sum("n_iso").alias("n_exc"), F.sum("w").alias("w_exc"))
-    tail, r = F.col("tail"), F.col("r")
-    return (donors.join(skips, [*GENE, "l"]).filter((r > tail[0]["e"]) & F.exists(tail, lambda x: x["s"] == r))
-            .withColumn("inner", F.filter(tail, lambda x: x["e"] < r)))
+    st = structures(isoforms)
+    donors, acceptors = chain_between(st)
+    hits = donors.join(skips, [*GENE, "l"]).join(acceptors, [*GENE, "sid", "r"]).filter("j > k + 1")
+    hits = hits.withColumn("n_inner", F.col("j") - F.col("k") - 1).withColumn("chain", F.col("before") - F.col("after"))
+    full = hits.join(st.select(*GENE, "sid", "exons", "n_iso", "w"), [*GENE, "sid"])
+    return full.withColumn("inner", F.slice("exons", F.col("k") + 2, F.col("n_inner"))).drop("exons", "before", "after", "j", "k")
 
 
 def skipped_exons(isoforms: DataFrame, models: DataFrame | None = None, variants: DataFrame | None = None) -> DataFrame:
     """SE: a chain of inner exons kept by some isoforms and skipped by the exact intron of others."""
-    keys = [*GENE, "l", "r", "inner"]
-    ev = _skips(isoforms, variants).groupBy(*keys).agg(F.sum("n_iso").alias("n_inc"), F.sum("w").alias("w_inc"),
-                                             F.first("n_exc").alias("n_exc"), F.first("w_exc").alias("w_exc"))
-    x = F.col("inner")
-    ev = (ev.withColumn("chain", B.chain(x)).withColumn("lo", x[0]["s"]).withColumn("hi", F.element_at(x, -1)["e"])
+    ev = _skips(isoforms, variants).groupBy(*GENE, "l", "r", "n_inner", "chain").agg(
+        F.min("inner").alias("inner"), F.max("inner").alias("_x"), F.sum("n_iso").alias("n_inc"), F.sum("w").alias("w_inc"), F.first("n_exc").alias("n_exc"), F.first("w_exc").alias("w_exc"))
+    ev, x = _same(ev, "inner"), F.col("inner")
+    ev = (ev.withColumn("chain", B.chain(x)).withColumn("lo", x[0]["s"]).withColumn("hi", F.element_at(x, -1)["e"]).drop("n_inner")
             .withColumn("event_id", F.concat(F.col("gene"), F.lit(":"), F.col("l"), F.lit("@"), "chain", F.lit("@"), F.col("r"))))
     ev = _psi(ev)
     return within_models(ev, models) if models is not None else ev
@@ -179,14 +208,13 @@ def event_members(isoforms: DataFrame, as_type: str, offset: int = OFFSET, varia
         out = inc.unionByName(exc)
         name = F.concat(F.col("lo"), F.lit("-"), F.col("hi"))
     elif as_type == "SE":
-        ev = _skips(isoforms, variants).select(*GENE, "l", "r", "inner", "tail").distinct()
-        tails = isoforms.select(*GENE, "iso", "reads", F.explode(let(F.col("exons"), lambda ex: F.transform(
-            ex, lambda x, i: F.struct(x["e"].alias("l"), F.slice(ex, i + 2, F.size(ex)).alias("tail"))))).alias("_d"))
-        tails = tails.select(*GENE, "iso", "reads", "_d.l", "_d.tail")
+        ev = durable(_skips(isoforms, variants).select(*GENE, "l", "r", "n_inner", "chain", "inner", "sid"))
         key = [*GENE, "l", "r", "inner"]
-        inc = ev.join(tails, [*GENE, "l", "tail"]).select(*key, F.lit("inc").alias("side"), "iso", "reads")
+        own = isoforms.select(*GENE, "iso", "reads", F.xxhash64("exons").alias("sid"))
+        inc = ev.join(own, [*GENE, "sid"]).select(*key, F.lit("inc").alias("side"), "iso", "reads")
         gaps = rows.filter(F.col("next_s").isNotNull()).select(*GENE, "iso", "reads", F.col("e").alias("l"), F.col("next_s").alias("r"))
-        exc = ev.select(*key).distinct().join(gaps, [*GENE, "l", "r"]).select(*key, F.lit("exc").alias("side"), "iso", "reads")
+        each = ev.groupBy(*GENE, "l", "r", "n_inner", "chain").agg(F.first("inner").alias("inner"))
+        exc = each.join(gaps, [*GENE, "l", "r"]).select(*key, F.lit("exc").alias("side"), "iso", "reads")
         out = inc.unionByName(exc)
         name = F.concat(F.col("l"), F.lit("@"), B.chain(F.col("inner")), F.lit("@"), F.col("r"))
     else:
@@ -323,24 +351,24 @@ def short_read_skips(junctions: DataFrame, models: DataFrame, reads: DataFrame)
     both = edges(models, "annotation").unionByName(edges(reads, "reads"))
     # exons in transcription order with mirrored coordinates on '-', so one rule serves both strands
     way = F.when(plus, F.col("exons")).otherwise(F.reverse(F.transform("exons", lambda x: B.block(-x["e"], -x["s"]))))
-    both = both.select("chrom", "strand", "source", "name", way.alias("ex")).distinct()
+    both = both.select("chrom", "strand", "source", "name", way.alias("exons")).distinct()
+    st = durable(both.withColumn("sid", F.monotonically_increasing_id()).withColumn("sums", chain_sums(F.col("exons"))))
+    place, one = ["chrom", "strand"], ["chrom", "strand", "sid"]
     sign = F.when(plus, 1).otherwise(-1)
     jj = j.select("chrom", "strand", (F.col("donor") * sign).alias("dn"), (F.col("acceptor") * sign).alias("ac"), "cnt")
     dd = donors.select("chrom", "strand", (F.col("donor") * sign).alias("dn"), "total")
-    at_donor = both.select("chrom", "strand", "source", "name", "ex", F.explode(let(F.col("ex"), lambda ex: F.transform(
-        ex, lambda x, i: F.struct(x["e"].alias("dn"), F.slice(ex, i + 2, F.size(ex)).alias("tail"))))).alias("_d"))
-    at_donor = at_donor.select("chrom", "strand", "source", "name", "_d.dn", "_d.tail").filter(F.size("tail") >= 2).distinct()
-    # acceptors of the donor that are exon starts of this transcript
-    hits = at_donor.join(jj, ["chrom", "strand", "dn"]).filter(F.exists("tail", lambda x: x["s"] == F.col("ac")))
-    outer = hits.withColumn("k", (F.array_position(F.transform("tail", lambda x: x["s"]), F.col("ac")) - 1).cast("int"))
-    outer = outer.filter(F.col("k") > 0).withColumn("_last", F.get("tail", F.col("k") - 1)["e"])
-    outer = outer.join(dd.select("chrom", "strand", F.col("dn").alias("_last")).distinct(), ["chrom", "strand", "_last"], "left_semi")
-    inner = hits.select("chrom", "strand", "source", "name", "dn", "tail", F.col("ac").alias("ac_in"))
-    pair = outer.join(inner, ["chrom", "strand", "source", "name", "dn", "tail"]).filter(F.col("ac_in") < F.col("ac"))
-    body = F.filter("tail", lambda x: (x["s"] >= F.col("ac_in")) & (x["e"] <= F.col("ac")))
-    ev = pair.select("chrom", "strand", "source", "name", "dn", "ac", "cnt", body.alias("body")).filter(F.size("body") > 0)
-    best = ev.groupBy("chrom", "strand", "dn", "ac", "body").agg(
+    # acceptors of a donor that are exon starts of the structure that holds the donor
+    at_donor, at_acceptor = chain_between(st, "dn", "ac")
+    ends = st.select(*one, F.posexplode("exons").alias("j", "x")).select(*one, (F.col("j") + 1).alias("j"), F.col("x.e").alias("_last"))
+    hits = durable(at_donor.join(jj, [*place, "dn"]).join(at_acceptor, [*one, "ac"]).filter("j > k"))
+    outer = hits.filter("j > k + 1").join(ends, [*one, "j"]).join(dd.select(*place, F.col("dn").alias("_last")).distinct(), [*place, "_last"], "left_semi")
+    inner = hits.select(*one, "k", F.col("ac").alias("ac_in"), F.col("j").alias("j_in"), F.col("before").alias("before_in"))
+    pair = outer.join(inner, [*one, "k"]).filter("j_in < j")
+    pair = pair.select(*one, "dn", "ac", "cnt", "j_in", (F.col("j") - F.col("j_in")).alias("n"), (F.col("before") - F.col("before_in")).alias("chain"))
+    ev = pair.join(st.select(*one, "source", "name", "exons"), one).withColumn("body", F.slice("exons", F.col("j_in") + 1, F.col("n")))
+    best = ev.groupBy(*place, "dn", "ac", "n", "chain").agg(F.min("body").alias("body"), F.max("body").alias("_x"),
         F.min(F.struct("source", F.col("name").cast("string").alias("name"))).alias("_b"), F.first("cnt").alias("skip_count"))
+    best = _same(best, "body")
     real = F.when(plus, F.col("body")).otherwise(F.reverse(F.transform("body", lambda x: B.block(-x["e"], -x["s"]))))
     res = best.join(dd, ["chrom", "strand", "dn"]).withColumn("exons", real)
     dn, ac = F.col("dn") * sign, F.col("ac") * sign

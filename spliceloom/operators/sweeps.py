@@ -8,12 +8,16 @@ and only the per-cell totals (axis length / width rows) are scanned per key.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spliceloom.session import durable
 
 CELL = 1 << 16
+CELL_VALUES = 20_000  # distinct values that a cell of a sketched axis holds
+MOST_CELLS = 10_000
 
 _FOLD = {
     "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
@@ -120,23 +124,35 @@ def with_point_island(df: DataFrame, keys: list[str], pos: str, gap: int, name:
 def bh_adjusted(df: DataFrame, p: str = "p", keys: list[str] | None = None, out: str = "p_adj") -> DataFrame:
     """Benjamini-Hochberg adjusted p values, scanned over cells of the p axis.
 
-    Equal p values are counted once with their number; the cell index grows
-    with p on a log scale below 2**-10 and on a linear scale above.
+    Equal p values are counted once with their number. The cells are cut at approximate quantiles of the distinct values, as many as hold about CELL_VALUES of
+    them, so they are even whatever the distribution; NaN and null have no adjusted value.
     """
     by = keys or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(0))
-    counts = rows.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count(F.lit(1)).alias("_n"))
-    cell = F.when(F.col(p) >= 2.0 ** -10, F.floor(F.col(p) * 1024)).otherwise(
-        F.floor(F.log2(F.greatest(F.col(p), F.lit(1e-300))) * 16))
+    counts = durable(rows.filter(F.col(p).isNotNull() & ~F.isnan(p)).groupBy(*by, p).agg(F.count(F.lit(1)).alias("_n")))
+    cell = quantile_cells(counts, p)
     up = running(counts, by, p, cell=cell, _rank=("sum", "_n")).drop("_rank_before")
     total = counts.groupBy(*by).agg(F.sum("_n").alias("_m"))
     up = up.join(total if keys else F.broadcast(total), by)  # without keys the total is one row
     raw = up.withColumn("_raw", F.col(p) * F.col("_m") / F.col("_rank")).withColumn("_neg", -F.col(p))
-    down = running(raw, by, "_neg", cell=-cell, _adj=("min", "_raw"))
+    down = running(raw.withColumn("_c", cell), by, "_neg", cell=-F.col("_c"), _adj=("min", "_raw"))
     adj = down.select(*by, p, F.least(F.col("_adj"), F.lit(1.0)).alias(out))
     return rows.join(adj, [*by, p], "left").drop("_all")
 
 
+def quantile_cells(rows: DataFrame, value: str, each: int | None = None) -> Column:
+    """Cell number of a value, non-decreasing in it, with about ``each`` rows a cell: the cuts are a sketch of the quantiles, at most MOST_CELLS numbers."""
+    n = max(1, min(MOST_CELLS, -(-rows.count() // (each or CELL_VALUES))))
+    cuts = [] if n == 1 else rows.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n)).first()[0]
+    edges = np.unique(np.array(cuts or [], float))
+
+    @F.pandas_udf("long")
+    def of(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, x.to_numpy(float), side="right"))
+
+    return of(F.col(value).cast("double"))
+
+
 def average_ranks(df: DataFrame, keys: list[str], value: str, width: float = 1.0) -> DataFrame:
     """Distinct (keys, value) with `ties`, `rank` (mean rank of the tie) in ascending order."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("ties"))

@@ -82,3 +82,37 @@ def test_annotation_limits_events(spark):
     assert E.retained_introns(isoforms(spark), models=m).count() == 1
     m = spark.createDataFrame([("G1", 400, 450)], "gene string, tx_start long, tx_end long")
     assert E.retained_introns(isoforms(spark), models=m).filter(F.col("gene") == "G1").count() == 0
+
+
+def brute_skips(rows):
+    """SE events by the rule, isoform by isoform."""
+    out = {}
+    for _, _, g, _, x in rows:
+        for _, _, g2, i, y in rows:
+            if g != g2:
+                continue
+            for (_, l), (r, _) in zip(x, x[1:]):
+                ends, starts = [e for _, e in y], [s for s, _ in y]
+                if l in ends and r in starts and starts.index(r) > ends.index(l) + 1:
+                    inner = tuple(y[ends.index(l) + 1:starts.index(r)])
+                    out.setdefault((g, l, r, inner), set()).add(i)
+    return {(g, f"{g}:{l}@{';'.join(f'{s}-{e}' for s, e in inner)}@{r}", len(v), sum(any((a[1], b[0]) == (l, r) for a, b in zip(x, x[1:])) for _, _, h, _, x in rows if h == g)) for (g, l, r, inner), v in out.items()}
+
+
+def test_skips_of_random_genes(spark):
+    import random
+    r = random.Random(11)
+    rows = []
+    for g in range(6):  # the last gene holds most isoforms and long chains
+        slots = [(100 * k, 100 * k + r.choice([40, 40, 50])) for k in range(4 if g < 5 else 14)]
+        for _ in range(8 if g < 5 else 60):
+            keep = sorted(r.sample(range(len(slots)), r.randint(2, len(slots))))
+            rows.append(("c", "+" if g % 2 else "-", f"G{g}", len(rows), [slots[k] for k in keep]))
+    iso = isoforms(spark, rows)
+    ev = E.skipped_exons(iso)
+    assert {(x["gene"], x["event_id"], x["n_inc"], x["n_exc"]) for x in ev.collect()} == brute_skips(rows)
+    mem = E.event_members(iso, "SE").groupBy("event_id", "side").agg(F.count(F.lit(1)).alias("n")).collect()
+    n = {(m["event_id"], m["side"]): m["n"] for m in mem}
+    assert all(n[e, "inc"] == i and n[e, "exc"] == x for _, e, i, x in brute_skips(rows))
+    keys = E._skips(iso)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in keys and not any("exons" in line or "tail" in line for line in keys.split("\n") if "hashpartitioning" in line)

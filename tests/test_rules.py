@@ -197,3 +197,56 @@ def test_headed_sources(spark, tmp_path):
         S.condition_sheet(sheet.drop("repeat"))
     (tmp_path / "f.txt").write_text("isoform\tisoLength\nPB.1\t5\n")
     assert S.read_features(spark, str(tmp_path / "f.txt")).columns == ["iso", "isoLength"]
+
+
+def test_tail_by_ratios_equals_exact_sums(spark):
+    from math import comb
+    r = random.Random(4)
+    rows = [(2, 4, 5, 20), (0, 3, 2, 9), (9, 3, 2, 9), (3, 9, 3, 9)]
+    for _ in range(400):
+        m = r.randint(1, 60)
+        g, n = r.randint(0, m), r.randint(0, m)
+        rows.append((r.randint(0, m), n, g, m))
+    got = spark.createDataFrame(rows, "k long, n long, g long, m long").select("k", "n", "g", "m", hypergeometric_tail("k", "n", "g", "m").alias("p")).collect()
+    for x in got:
+        want = sum(comb(x["g"], i) * comb(x["m"] - x["g"], x["n"] - i) for i in range(x["k"], min(x["n"], x["g"]) + 1) if x["n"] - i <= x["m"] - x["g"] and x["n"] >= i) / comb(x["m"], x["n"])
+        assert x["p"] == pytest.approx(want, abs=1e-12)
+
+
+def test_tail_of_large_sets_in_bounded_memory():
+    import tracemalloc
+    import numpy as np
+    import pandas as pd
+    n = 10_000
+    r = np.random.default_rng(1)
+    g, d = r.integers(50_000, 100_000, n), r.integers(50_000, 100_000, n)
+    m = np.full(n, 1_000_000)
+    k = (g * d / m + r.normal(0, 60, n)).astype(int)
+    tracemalloc.start()
+    p = hypergeometric_tail.func(pd.Series(k), pd.Series(d), pd.Series(g), pd.Series(m))
+    assert tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.stop()
+    z = (k - 0.5 - g * d / m) / np.sqrt(d * (g / m) * (1 - g / m) * (m - d) / (m - 1))
+    from math import erfc
+    normal = np.array([erfc(v / 2**0.5) / 2 for v in z])
+    assert np.abs(p.to_numpy() - normal).max() < 0.01 and p.between(0, 1).all()
+
+
+@pytest.mark.parametrize("kind", ["even", "tiny", "tied"])
+def test_adjusted_p_on_sketched_cells(spark, monkeypatch, kind):
+    import numpy as np
+    from spliceloom.operators import sweeps as W
+    monkeypatch.setattr(W, "CELL_VALUES", 50)
+    r = np.random.default_rng(2)
+    p = {"even": r.random(2000), "tiny": 10.0 ** -r.uniform(0, 250, 2000), "tied": r.choice(np.concatenate([[0.0, 1.0, 0.5] * 300, r.random(600)]), 2000)}[kind]
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(p)] + [(-1, None), (-2, float("nan"))], "id long, p double")
+    got = {x["id"]: x["p_adj"] for x in W.bh_adjusted(df).collect()}
+    order = np.argsort(-p, kind="stable")
+    rank = np.array([(p <= x).sum() for x in p])
+    want = np.empty(len(p))
+    want[order] = np.minimum(1, np.minimum.accumulate((p * len(p) / rank)[order]))
+    assert got.pop(-1) is None and got.pop(-2) is None
+    assert np.allclose([got[i] for i in range(len(p))], want, rtol=1e-12)
+    distinct = df.filter("p is not null and not isnan(p)").select("p").distinct()
+    sizes = [x["count"] for x in distinct.withColumn("c", W.quantile_cells(distinct, "p")).groupBy("c").count().collect()]
+    assert max(sizes) <= 2 * 50 + 2
