@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from spliceloom.llm.mixing import mix
 from spliceloom.llm.neardup import without_near_duplicates
 from spliceloom.llm.quality import accepted
 from spliceloom.llm.sharding import contiguous_shards
-from spliceloom.session import work_dir
+from spliceloom.session import made, release, work_dir
 
 WEIGHTS = [3, 1, 2]
 SHARDS = 8
@@ -19,7 +22,24 @@ SIMILARITY = 80  # per cent
 
 ORACLE_SQL = None  # hashes and random draws; the tests hold every stage against brute force
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[str] = []  # working tables of the stage before
+
+
+def tidy(stage: Stage) -> Stage:
+    """Delete the working tables of the stage before: its result is written when the next one starts. Tables that ``docs`` still reads stay, and so do those of the last stage."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _left, docs)
+        first = len(made)
+        out = stage(spark, docs, sf_dir)
+        _left[:] = made[first:] if stage.__name__ != STAGES[-1][1].__name__ else []
+        return out
+
+    return run
+
 
+@tidy
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept, judged row by row.
 
@@ -29,6 +49,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return accepted(docs)
 
 
+@tidy
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest doc_id, nulls last, then the first row.
 
@@ -38,6 +59,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_near_duplicates(docs, SIMILARITY)
 
 
+@tidy
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, judged row by row.
 
@@ -47,6 +69,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@tidy
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each copy that it takes, written shard by shard in its local random order.
 
@@ -58,6 +81,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return copies.repartitionByRange(shard, place).sortWithinPartitions(shard, place).select(*docs.columns)
 
 
+@tidy
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows in contiguous shards of near-equal bytes, in order of doc_id, with ``shard`` and ``slot``.
 

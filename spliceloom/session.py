@@ -54,13 +54,27 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+made: list[str] = []  # folders of `written` in this process
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage with a Parquet table in the shared folder; columns stay prunable."""
     path = work_dir(df.sparkSession, name)
+    made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, folders: list[str], reader: DataFrame | None = None) -> None:
+    """Delete folders of `written` whose readers are done; those that ``reader`` still reads stay."""
+    files = reader.inputFiles() if reader is not None and folders else []
+    for folder in folders:
+        if folder in made and not any(f"/{folder.rsplit('/', 1)[1]}/" in f for f in files):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            made.remove(folder)
+
+
 def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
     """Cut lineage with a table bucketed by ``keys`` in the shared folder: joins and groups by them read it without an exchange."""
     spark = df.sparkSession
