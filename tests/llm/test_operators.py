@@ -551,7 +551,8 @@ def test_query_equals_sql(spark, name):
 
 def test_contract_columns(spark):
     want = {"op1_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}, "op7_chat_formatting": {"conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"},
-            "op10_mixing": {"doc_id", "size", "source_size", "target", "taken"}}
+            "op10_mixing": {"doc_id", "size", "source_size", "target", "taken", "shards"}, "op11_ngram_join": {"doc_id", "n_shingles", "component_id"},
+            "op12_tokenizer_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"}, "op13_spelling_variants": {"word", "form", "root", "n", "n_near", "form_n"}}
     for name, cols in want.items():
         assert set(queries.QUERIES[name](spark, SF).columns) == cols
 
