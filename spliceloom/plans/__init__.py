@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-PARTS = ["event_queries", "structure_queries", "join_queries", "group_queries", "sequence_queries", "statistics_queries"]
+PARTS = ["event_queries", "structure_queries", "join_queries", "group_queries", "sequence_queries", "statistics_queries", "reader_queries"]
 
 
 def load() -> None:

@@ -379,16 +379,6 @@ def cigar_lengths(spark, sf):
                                           AL.aligned_length(c).alias("aligned"), AL.indel_length(c).alias("indel"))
 
 
-@query("sam_blocks", "SELECT iso AS name, strand, chrom, exon_chain FROM iso_v")
-def sam_blocks(spark, sf):
-    from spliceloom.sources.text import sam
-    a = P.alignments(spark, sf)
-    lines = sam(a.select(F.concat_ws("\t", "name", "flag", "chrom", "pos", F.lit("60"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*"),
-                                     F.concat(F.lit("MD:Z:"), "md")).alias("value")))
-    return lines.filter("cigar <> '*'").select(F.col("name").cast("long").alias("name"), AL.strand_of(F.col("flag")).alias("strand"), "chrom",
-                                               B.chain(AL.cigar_blocks(F.col("pos") - 1, F.col("cigar"))).alias("exon_chain"))
-
-
 @query("clipped_block_edges", "SELECT iso AS name, lo - reads AS first_s, hi + 5 AS last_e FROM iso_v")
 def clipped_block_edges(spark, sf):
     b = AL.blocks_with_clips(F.col("pos") - 1, F.col("cigar"))
@@ -421,11 +411,6 @@ def coverage_and_identity(spark, sf):
                                           AL.mismatch_length(m).cast("long").alias("mismatches"), AL.n_base_count(m).cast("long").alias("n_bases"))
 
 
-@query("hard_clip_consistent", "SELECT name FROM aln_v WHERE list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[MIS=X]', 1), lambda x: x::BIGINT)) > 1000")
-def hard_clip_consistent(spark, sf):
-    return P.alignments(spark, sf).filter(AL.unclipped_length(F.col("cigar")) > 1000).select("name")
-
-
 @query("flag_letters", """
 SELECT event_id, CASE WHEN f & 1 = 1 THEN 'p' ELSE '' END || CASE WHEN f & 3 = 3 THEN 'P' ELSE '' END || CASE WHEN f & 4 = 4 THEN 'u' ELSE '' END || CASE WHEN f & 8 = 8 THEN 'U' ELSE '' END
   || CASE WHEN f & 16 = 16 THEN 'r' ELSE '' END || CASE WHEN f & 32 = 32 THEN 'R' ELSE '' END || CASE WHEN f & 64 = 64 THEN '1' ELSE '' END || CASE WHEN f & 128 = 128 THEN '2' ELSE '' END

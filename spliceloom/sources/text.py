@@ -98,11 +98,36 @@ def mapping(df: DataFrame, order: str, key: int = 0, value: int = 1, key_sep: st
 
 
 def sam(df: DataFrame) -> DataFrame:
-    """SAM body lines; `line` keeps the text for tag access."""
+    """SAM body lines; `tags` maps tag names to values (the first of a name), `mapped` is false where flag bit 4 is set, `line` keeps the text."""
     part = F.split("value", "\t")
     body = df.filter(~F.col("value").startswith("@"))
-    return body.select(*[F.get(part, F.lit(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(SAM)],
-                       F.col("value").alias("line"))
+    named = F.transform(F.slice(part, len(SAM) + 1, F.greatest(F.size(part) - len(SAM), F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substr(t, F.lit(6)).alias("value")))
+    first = F.filter("_named", lambda t, i: F.array_position(F.transform("_named", lambda x: x["key"]), t["key"]) == i + 1)
+    rows = body.select(*[F.get(part, F.lit(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(SAM)], named.alias("_named"), F.col("value").alias("line"))
+    return rows.withColumn("tags", F.map_from_entries(first)).withColumn("mapped", F.col("flag").bitwiseAND(4) == 0).drop("_named")
+
+
+def sam_blocks(rows: DataFrame, tags: list[str] = (), xs: bool = False) -> DataFrame:
+    """Mapped lines of `sam` as blocks: name, chrom, start, end, mapq, strand (the XS tag where asked for and + or -), exons, and a text column for each tag, NA if absent.
+
+    The unmapped lines are the other branch of the same scan: ``rows.filter("not mapped")``.
+    """
+    from spliceloom.functions.alignment import cigar_blocks, strand_of
+    exons = cigar_blocks(F.col("pos") - 1, F.col("cigar"))
+    strand = strand_of(F.col("flag"), F.col("tags")["XS"] if xs else None)
+    out = rows.filter("mapped").select("name", "chrom", "mapq", strand.alias("strand"), exons.alias("exons"), *[F.coalesce(F.col("tags")[t], F.lit("NA")).alias(t) for t in tags])
+    return out.select("name", "chrom", F.col("exons")[0]["s"].alias("start"), F.element_at("exons", -1)["e"].alias("end"), "mapq", "strand", "exons", *tags)
+
+
+def allele_reads(rows: DataFrame) -> DataFrame:
+    """(name, allele): lines of `sam` whose read group is REF or ALT and which have one hit (NH is 1)."""
+    return rows.filter(F.col("tags")["RG"].isin("REF", "ALT") & (F.col("tags")["NH"] == "1")).select("name", F.col("tags")["RG"].alias("allele"))
+
+
+def hard_clip_consistent(rows: DataFrame) -> DataFrame:
+    """Lines of `sam` whose CIGAR, without hard clips, is as long as their sequence."""
+    from spliceloom.functions.alignment import unclipped_length
+    return rows.filter(unclipped_length(F.col("cigar")) == F.length("seq"))
 
 
 def vcf_snps(df: DataFrame) -> DataFrame:
@@ -228,25 +253,14 @@ def read_features(spark, path):
 
 
 def read_haplotypes(spark, path):
-    """Count matrix: line 1 of each file is skipped whatever it holds, line 2 is the header, column 1 the index."""
-    text = lines(spark, path)
-    first, header = (r["value"] for r in text.head(2))
-    names = header.split("\t")
-    part = F.split("value", "\t")
-    rows = text.filter((F.col("value") != first) & (F.col("value") != header) & (F.length("value") > 0))
-    wide = rows.select(part[0].alias("haplo"), *[F.get(part, F.lit(i)).try_cast("double").alias(n) for i, n in enumerate(names) if i])
-    return haplotype_long(wide, "haplo")
-
-
-def pick(df: DataFrame, wanted: list[str | int | tuple[int, int]], sep: str | None = None, out: str = "picked",
-         equals: str | None = None) -> DataFrame:
-    """Columns by name, 1-based index or index range, optionally joined and compared with a text."""
-    names: list[str] = []
-    for w in wanted:
-        if isinstance(w, tuple):
-            names += df.columns[w[0] - 1:w[1]]
-        else:
-            names.append(df.columns[w - 1] if isinstance(w, int) else w)
-    joined: Column = F.concat_ws(sep or "\t", *names)
-    kept = df if equals is None else df.filter(joined == equals)
-    return kept.select(joined.alias(out)) if sep else kept.select(*names)
+    """Count matrices as (haplo, iso, n): line 1 of each file is skipped whatever it holds, line 2 is that file's header, column 1 the index.
+
+    Lines are told apart by file and place, not by their text, and each file's columns go by its own header.
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"), "value")
+    first = text.groupBy("file").agg(F.min("at").alias("_first"))
+    header = text.join(first, "file").filter(F.col("at") > F.col("_first")).groupBy("file").agg(F.min(F.struct("at", "value")).alias("_h"))  # one row a file
+    rows = text.join(header, "file").filter((F.col("at") > F.col("_h.at")) & (F.length("value") > 0))
+    part, names = F.split("value", "\t"), F.split("_h.value", "\t")
+    cells = rows.select(part[0].alias("haplo"), F.posexplode(names).alias("i", "iso"), part.alias("_p")).filter("i > 0")
+    return cells.select("haplo", "iso", F.get("_p", F.col("i")).try_cast("double").alias("n"))
