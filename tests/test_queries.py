@@ -7,7 +7,8 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-PICKED = ["ir_events", "a3ss_events", "read_assignment", "overlap_pairs_split_hot_cells", "novel_locus_names", "splice_motifs", "tail_length_tests", "adjusted_p_values"]
+PICKED = ["ir_events", "a3ss_events", "read_assignment", "overlap_pairs_split_hot_cells", "novel_locus_names", "splice_motifs", "tail_length_tests", "adjusted_p_values",
+          "isoform_feature_table", "decided_strands", "sam_blocks", "short_read_skips", "haplotype_files", "fastq_records", "subtracted_blocks"]
 
 
 @pytest.fixture(scope="module")
