@@ -85,6 +85,22 @@ WHERE (gene, l, r) IN (SELECT gene, e, next_s FROM ex_v) UNION ALL
 SELECT as_type, gene || ':' || lo || '-' || hi, gene, side, iso, reads FROM (SELECT DISTINCT as_type, gene, lo, hi, side, iso, reads FROM altm_v)""")
 
 
+CHAIN = ["ret_v", "irm_v", "ir_v", "sem_v", "se_v", "edge_v", "altm_v", "alt_v", "event_v"]
+
+
+def event_views(prefix: str, rows: str) -> None:
+    """The event views over other exon rows (a statement with the columns of exr_v), under names with a prefix."""
+    names = re.compile(r"\b(" + "|".join([*CHAIN, "exr_v", "ex_v", "intr_v"]) + r")\b")
+    view(f"{prefix}exr_v", rows)
+    view(f"{prefix}ex_v", f"SELECT * FROM {prefix}exr_v")
+    view(f"{prefix}intr_v", f"SELECT gene, iso, chrom, strand, status, e AS a, next_s AS b, k FROM {prefix}exr_v WHERE next_s IS NOT NULL")
+    for v in CHAIN:
+        view(prefix + v, names.sub(prefix + r"\1", VIEWS[v]))
+
+
+event_views("sup_", "SELECT * FROM exr_v WHERE reads >= 2")
+
+
 @query("ir_events", f"SELECT gene, chrom, strand, lo, hi, event_id, {PSI_SQL} FROM ir_v")
 def ir_events(spark, sf):
     return tidy(E.retained_introns(P.isoforms(spark, sf)), "gene", "chrom", "strand", "lo", "hi", "event_id")
@@ -137,13 +153,9 @@ def event_text_lines(spark, sf):
     return lines.select("event_id", "n_inc", "n_exc", "part", "inc_isos", "exc_isos")
 
 
-@query("supported_isoform_events", """
-WITH keep AS (SELECT * FROM exr_v WHERE reads >= 2),
-r AS (SELECT i.gene, i.e AS lo, i.next_s AS hi, count(DISTINCT x.iso) AS n_inc FROM (SELECT DISTINCT gene, e, next_s FROM keep WHERE next_s IS NOT NULL) i
-  JOIN keep x ON x.gene = i.gene AND x.s < i.e - 5 AND x.e > i.next_s + 5 GROUP BY ALL)
-SELECT gene, lo, hi, n_inc FROM r""")
+@query("supported_isoform_events", "SELECT as_type, gene, event_id, lo, hi, n_inc FROM sup_event_v")
 def supported_isoform_events(spark, sf):
-    return E.retained_introns(E.supported(P.isoforms(spark, sf))).select("gene", "lo", "hi", "n_inc")
+    return E.all_events(E.supported(P.isoforms(spark, sf))).select("as_type", "gene", "event_id", "lo", "hi", "n_inc")
 
 
 @query("confirmed_ir", "SELECT gene, lo, hi, event_id FROM ir_v v WHERE EXISTS (SELECT 1 FROM junc_v j WHERE j.chrom = v.chrom AND j.js = v.lo AND j.je = v.hi)")

@@ -13,6 +13,7 @@ from spliceloom.operators import sweeps as W
 from spliceloom.operators import transcripts as TR
 from spliceloom.plans import proxy as P
 from spliceloom.plans.join_queries import part
+from spliceloom.plans.event_queries import event_views
 from spliceloom.plans.registry import query, view
 
 
@@ -244,14 +245,15 @@ def two_way_junction_clusters(spark, sf):
     return W.two_way_clusters(j, ["chrom", "strand"], "a", "b", 15)
 
 
-@query("novel_event_loci", f"""
-WITH c AS (SELECT iso, chrom || ':' || strand || ':Novel_' || c AS locus FROM ({NOV})), x AS (SELECT c.locus, e.* FROM ex_v e JOIN c USING (iso))
-SELECT i.locus, i.a AS lo, i.b AS hi, count(DISTINCT x.iso) AS n_inc FROM (SELECT DISTINCT locus, e AS a, next_s AS b FROM x WHERE next_s IS NOT NULL) i
-JOIN x ON x.locus = i.locus AND x.s < i.a - 5 AND x.e > i.b + 5 GROUP BY ALL""")
+event_views("loc_", f"SELECT e.* REPLACE (c.locus AS gene) FROM exr_v e JOIN (SELECT iso, chrom || ':' || strand || ':Novel_' || c AS locus FROM ({NOV})) c ON c.iso = e.iso")
+
+
+@query("novel_event_loci", "SELECT as_type, gene AS locus, event_id, lo, hi, n_inc FROM loc_event_v")
 def novel_event_loci(spark, sf):
-    from spliceloom.operators.events import retained_introns
+    """Events of all types among isoforms without a gene, inside their novel loci."""
+    from spliceloom.operators.events import all_events
     iso = W.novel_loci(part(spark, sf, "P")).drop("gene").withColumnRenamed("locus", "gene")
-    return retained_introns(iso).select(F.col("gene").alias("locus"), "lo", "hi", "n_inc")
+    return all_events(iso).select("as_type", F.col("gene").alias("locus"), "event_id", "lo", "hi", "n_inc")
 
 
 @query("ranked_isoforms", "SELECT iso, reads AS freq FROM iso_v WHERE status <> 'F'")

@@ -334,18 +334,19 @@ def best_allele_match(spark, sf):
 
 @query("isoform_chain_pairs", """
 WITH c AS (SELECT m.event_id, m.gene, side, CASE WHEN n_ex > 2 THEN chain ELSE 'monoExon' END AS chain, count(*) AS n, CAST(sum(i.reads) AS BIGINT) AS r
-  FROM (SELECT gene || ':' || lo || '-' || hi AS event_id, gene, side, iso FROM irm_v) m JOIN iso_v i USING (iso) WHERE i.reads >= 2 GROUP BY ALL)
+  FROM (SELECT as_type || ' ' || event_id AS event_id, gene, side, iso FROM member_v) m JOIN iso_v i USING (iso) WHERE i.reads >= 2 GROUP BY ALL)
 SELECT a.event_id, a.gene, a.chain AS inc_chain, a.n AS inc_n, a.r AS inc_r, b.chain AS exc_chain, b.n AS exc_n, b.r AS exc_r FROM c a JOIN c b USING (event_id) WHERE a.side = 'inc' AND b.side = 'exc'""")
 def isoform_chain_pairs(spark, sf):
-    from spliceloom.operators.events import event_members
+    from spliceloom.operators.events import all_members
     from spliceloom.operators.significance import chain_pairs
     iso = P.isoforms(spark, sf)
-    return chain_pairs(event_members(iso, "IR").drop("reads"), iso, 2)
+    members = all_members(iso).select(F.concat_ws(" ", "as_type", "event_id").alias("event_id"), "gene", "side", "iso")  # ids of two types may be alike
+    return chain_pairs(members, iso, 2)
 
 
 @query("one_chain_pair_per_event", """
 WITH c AS (SELECT m.event_id, m.gene, side, CASE WHEN n_ex > 2 THEN chain ELSE 'monoExon' END AS chain
-  FROM (SELECT gene || ':' || lo || '-' || hi AS event_id, gene, side, iso FROM irm_v) m JOIN iso_v i USING (iso) WHERE i.reads >= 2)
+  FROM (SELECT as_type || ' ' || event_id AS event_id, gene, side, iso FROM member_v) m JOIN iso_v i USING (iso) WHERE i.reads >= 2)
 SELECT event_id, gene, max(chain) FILTER (side = 'inc') AS inc_chain, max(chain) FILTER (side = 'exc') AS exc_chain FROM c GROUP BY ALL
 HAVING count(*) FILTER (side = 'inc') > 0 AND count(*) FILTER (side = 'exc') > 0""")
 def one_chain_pair_per_event(spark, sf):
