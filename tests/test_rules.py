@@ -250,3 +250,10 @@ def test_adjusted_p_on_sketched_cells(spark, monkeypatch, kind):
     distinct = df.filter("p is not null and not isnan(p)").select("p").distinct()
     sizes = [x["count"] for x in distinct.withColumn("c", W.quantile_cells(distinct, "p")).groupBy("c").count().collect()]
     assert max(sizes) <= 2 * 50 + 2
+
+
+def test_column_pick_by_index_range_and_name(spark):
+    df = spark.createDataFrame([("N", "O", 1), ("N", "F", 2), (None, "O", 3)], "a string, b string, c long")
+    assert [r[0] for r in S.pick(df, [(1, 2)], ":", equals="N:O").collect()] == ["N:O"]
+    assert sorted(r[0] for r in S.pick(df, ["c", 1], "/").collect()) == ["1/N", "2/N", "3/"]
+    assert S.pick(df, [3, "a"]).columns == ["c", "a"]
