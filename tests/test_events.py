@@ -116,3 +116,20 @@ def test_skips_of_random_genes(spark):
     assert all(n[e, "inc"] == i and n[e, "exc"] == x for _, e, i, x in brute_skips(rows))
     keys = E._skips(iso)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" in keys and not any("exons" in line or "tail" in line for line in keys.split("\n") if "hashpartitioning" in line)
+
+
+def test_event_types_share_what_they_read(spark, monkeypatch):
+    """The isoforms, their variants and the skips are written once for events and members together, and both are as for each type alone."""
+    made = []
+    keep = E.written
+    monkeypatch.setattr(E, "written", lambda df, name: made.append(name) or keep(df, name))
+    iso = isoforms(spark)
+    base = E.Shared(iso)
+    ev, mem = E.all_events(base), E.all_members(base)
+    assert sorted(made) == ["edges", "isoforms", "skips", "variants"]
+    kinds = {"IR": E.retained_introns(iso), "SE": E.skipped_exons(iso), **{t: E.alternative_sites(iso, t) for t in ("A3SS", "A5SS")}}
+    cols = ["event_id", "lo", "hi", "n_inc", "n_exc", "w_inc", "w_exc"]
+    assert sorted((r["as_type"], *[r[c] for c in cols]) for r in ev.collect()) == sorted((t, *[r[c] for c in cols]) for t, df in kinds.items() for r in df.collect())
+    cols = ["event_id", "gene", "side", "iso", "reads"]
+    want = sorted((t, *[r[c] for c in cols]) for t in kinds for r in E.event_members(iso, t).collect())
+    assert sorted((r["as_type"], *[r[c] for c in cols]) for r in mem.collect()) == want
