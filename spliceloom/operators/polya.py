@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spliceloom.functions.sequence import SIGNALS, kmers
 from spliceloom.operators.overlap import overlap_join, within_distance
@@ -209,21 +212,50 @@ def confident(positions: DataFrame, sites: DataFrame, before: int, after: int) -
     return positions.join(hit.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_semi")
 
 
+def word_counts(windows: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
+    """(side, offset, name, n): how many windows of a side have a named word at an offset; all other words of that length count under a null name.
+
+    names: words of A, C, G and T, all of one length, in upper case. Every batch is counted by itself, so the shuffle carries counts and no letters.
+    """
+    k, labels = len(next(iter(names))), sorted(set(names.values()))
+    kind = np.full(5**k, len(labels))
+    for word, name in names.items():
+        kind[int("".join(str("ACGT".index(c)) for c in word), 5)] = labels.index(name)
+    code = np.full(128, 4)
+    code[list(b"ACGT")] = range(4)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for side, texts in b.groupby("side", dropna=False)["_t"]:
+                size = np.fromiter(map(len, texts), np.int64, len(texts))
+                x = code[np.minimum(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), 127)]
+                offset = np.arange(len(x)) - np.repeat(np.cumsum(size) - size, size)
+                at = np.flatnonzero(offset <= np.repeat(size, size) - k)
+                word = sum(x[at + j] * 5 ** (k - 1 - j) for j in range(k))
+                n = np.bincount(offset[at] * (len(labels) + 1) + kind[word])
+                cell = np.flatnonzero(n)
+                column = lambda values: pd.Series(values, cell, dtype=object)
+                yield pd.DataFrame({"side": column(None if pd.isna(side) else side), "offset": cell // (len(labels) + 1),
+                                    "name": column([[*labels, None][c] for c in cell % (len(labels) + 1)]), "n": n[cell]})
+
+    rows = windows.select("side", F.upper(F.col(text)).alias("_t")).filter("_t IS NOT NULL")
+    schema = T.StructType([rows.schema["side"], T.StructField("offset", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("n", T.LongType())])
+    return rows.mapInPandas(count, schema).groupBy("side", "offset", "name").agg(F.sum("n").alias("n"))
+
+
+def with_share(cell: DataFrame, name: str) -> DataFrame:
+    total = cell.groupBy("side", "offset").agg(F.sum("n").alias("_all"))
+    return cell.withColumnRenamed("name", name).filter(F.col(name).isNotNull()).join(total, ["side", "offset"]).withColumn("share", F.col("n") / F.col("_all")).drop("_all")
+
+
 def letter_profile(windows: DataFrame, text: str = "seq") -> DataFrame:
     """Share of each base by side and offset of equally long windows."""
-    rows = windows.select("side", F.posexplode(kmers(F.upper(F.col(text)), 1)).alias("offset", "base"))
-    cell = rows.groupBy("side", "offset", "base").agg(F.count(F.lit(1)).alias("n"))
-    total = cell.groupBy("side", "offset").agg(F.sum("n").alias("_all"))
-    return cell.filter(F.col("base").isin(*"ACGT")).join(total, ["side", "offset"]).withColumn("share", F.col("n") / F.col("_all")).drop("_all")
+    return with_share(word_counts(windows, text, {b: b for b in "ACGT"}), "base")
 
 
 def signal_profile(windows: DataFrame, text: str = "seq") -> DataFrame:
     """Share of windows with each signal hexamer at an offset; signals outside the main six are summed as Other."""
-    rows = windows.select("side", F.posexplode(kmers(F.upper(F.col(text)), 6)).alias("offset", "signal"))
-    cell = rows.groupBy("side", "offset", F.when(F.col("signal").isin(MAIN_SIGNALS), F.col("signal"))
-                        .when(F.col("signal").isin(SIGNALS), "Other").alias("signal")).agg(F.count(F.lit(1)).alias("n"))
-    total = cell.groupBy("side", "offset").agg(F.sum("n").alias("_all"))
-    return cell.filter(F.col("signal").isNotNull()).join(total, ["side", "offset"]).withColumn("share", F.col("n") / F.col("_all")).drop("_all")
+    return with_share(word_counts(windows, text, {s: s if s in MAIN_SIGNALS else "Other" for s in [*SIGNALS, *MAIN_SIGNALS]}), "signal")
 
 
 def label_sites(lists: DataFrame) -> DataFrame:
