@@ -99,8 +99,9 @@ def mapping(df: DataFrame, order: str, key: int = 0, value: int = 1, key_sep: st
 
 def sam(df: DataFrame) -> DataFrame:
     """SAM body lines; `tags` maps tag names to values (the first of a name), `mapped` is false where flag bit 4 is set, `line` keeps the text."""
-    part = F.split("value", "\t")
-    body = df.filter(~F.col("value").startswith("@"))
+    # one element is exploded, so that filters on the columns stay behind the split: pushed below it, each would build and split the line again
+    cut = df.select(F.explode(F.array(F.struct("value", F.split("value", "\t").alias("f")))).alias("_l")).select("_l.*")
+    part, body = F.col("f"), cut.filter(~F.col("value").startswith("@"))
     named = F.transform(F.slice(part, len(SAM) + 1, F.greatest(F.size(part) - len(SAM), F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substr(t, F.lit(6)).alias("value")))
     first = F.filter("_named", lambda t, i: F.array_position(F.transform("_named", lambda x: x["key"]), t["key"]) == i + 1)
     rows = body.select(*[F.get(part, F.lit(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(SAM)], named.alias("_named"), F.col("value").alias("line"))
@@ -121,7 +122,8 @@ def sam_blocks(rows: DataFrame, tags: list[str] = (), xs: bool = False) -> DataF
 
 def allele_reads(rows: DataFrame) -> DataFrame:
     """(name, allele): lines of `sam` whose read group is REF or ALT and which have one hit (NH is 1)."""
-    return rows.filter(F.col("tags")["RG"].isin("REF", "ALT") & (F.col("tags")["NH"] == "1")).select("name", F.col("tags")["RG"].alias("allele"))
+    one = rows.select("name", F.explode(F.array("tags")).alias("tags"))  # the tags are made once, not again for each use
+    return one.filter(F.col("tags")["RG"].isin("REF", "ALT") & (F.col("tags")["NH"] == "1")).select("name", F.col("tags")["RG"].alias("allele"))
 
 
 def hard_clip_consistent(rows: DataFrame) -> DataFrame:
