@@ -8,6 +8,7 @@ from spliceloom.functions import blocks as B
 from spliceloom.operators import transcripts as TR
 from spliceloom.plans import proxy as P
 from spliceloom.plans.registry import query, view
+from spliceloom.session import written
 from spliceloom.sources import sinks as K
 from spliceloom.sources import text as S
 
@@ -501,7 +502,7 @@ def transcript_features(spark, sf):
 SELECT prime, trans, s AS start, e AS "end" FROM (SELECT CASE WHEN strand = '+' THEN 5 ELSE 3 END AS prime, trans, s, least(e, cs) AS e FROM mex_v WHERE s < cs
   UNION ALL SELECT CASE WHEN strand = '+' THEN 3 ELSE 5 END, trans, greatest(s, ce), e FROM mex_v WHERE e > ce)""")
 def utr_features(spark, sf):
-    m = P.models(spark, sf)
+    m = written(P.models(spark, sf), "models")  # read once for either prime
     part = lambda p: TR.features(m, "utr", p).select(F.lit(p).alias("prime"), "trans", "start", "end")
     return part(5).unionByName(part(3))
 
