@@ -480,8 +480,9 @@ def junction_consensus_moves(spark, sf):
     return A.consensus_junctions(support(spark, sf), 30)
 
 
-def support(spark, sf):
-    return A.junction_support(part(spark, sf, "P"), P.junction_table(spark, sf).filter("cnt > 3"), P.t_models(spark, sf))
+def support(spark, sf, iso=None):
+    iso = written(P.isoforms(spark, sf), "isoforms") if iso is None else iso
+    return A.junction_support(iso.filter("status = 'P'"), P.junction_table(spark, sf, iso).filter("cnt > 3"), P.t_models(spark, sf, iso))
 
 
 @query("junction_support_scores", """
@@ -494,7 +495,8 @@ def junction_support_scores(spark, sf):
 
 @query("reads_with_moved_junctions")
 def reads_with_moved_junctions(spark, sf):
-    return A.move_junctions(P.isoforms(spark, sf), A.consensus_junctions(support(spark, sf), 30)).select("iso", B.chain(F.col("exons")).alias("exon_chain"))
+    iso = written(P.isoforms(spark, sf), "isoforms")
+    return A.move_junctions(iso, A.consensus_junctions(support(spark, sf, iso), 30)).select("iso", B.chain(F.col("exons")).alias("exon_chain"))
 
 
 @query("corrected_isoforms")
