@@ -247,7 +247,8 @@ m AS (SELECT *, max(hi) OVER (PARTITION BY chrom, strand ORDER BY lo, iso ROWS B
 SELECT iso, one::VARCHAR AS locus FROM r WHERE sure UNION ALL
 SELECT iso, chrom || ':' || strand || ':' || sum(CASE WHEN p IS NULL OR lo >= p THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY lo, iso ROWS UNBOUNDED PRECEDING) FROM m""")
 def read_loci(spark, sf):
-    return A.unambiguous(A.assign_reads(long_reads(spark, sf), P.t_models(spark, sf))).select("iso", "locus")
+    iso = written(P.isoforms(spark, sf), "isoforms")
+    return A.unambiguous(A.assign_reads(iso.filter(F.col("status") != "F"), P.t_models(spark, sf, iso))).select("iso", "locus")
 
 
 @query("junction_assignment", """

@@ -54,7 +54,7 @@ def test_sam_lines_are_built_once(spark, capsys):
     assert capsys.readouterr().out.count("concat_ws(") == 1
 
 
-@pytest.mark.parametrize("name", ["reads_with_moved_junctions", "utr_features"])
+@pytest.mark.parametrize("name", ["reads_with_moved_junctions", "read_loci", "utr_features"])
 def test_isoforms_are_built_once(spark, tables, monkeypatch, name):
     load()
     calls, slots = [], P.slots
