@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import struct
 import uuid
@@ -10,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -22,6 +25,10 @@ from spliceloom.session import work_dir, written
 # Fixed values of the seekable zstandard format: magic of the skippable frames and of the table's end.
 SKIPPABLE_TABLE, SKIPPABLE_KEYS, TABLE_END = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 CHECKSUMS = 0x80
+CHUNK = 4 << 20        # bytes of text cut and looked up at once; a longer text is a chunk of its own
+REMEMBERED = 300_000   # stretches in each of the two generations that a Python worker keeps
+LONGEST = 64           # bytes of a stretch worth keeping
+AT_ONCE = 2048         # new stretches shown to the library as one text
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -87,13 +94,120 @@ def byte_bpe(path: str) -> Callable[[list[str]], list[list[int]]]:
     return lambda texts: [e.ids for e in batch(texts, add_special_tokens=False)]
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = 0, per_batch: int = 64) -> DataFrame:
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where a byte-level word always ends, whatever stands before and behind: a flag for each byte of UTF-8 text, and one for the end (false).
+
+    No word of the pattern goes on from a character that is no white space into a blank, or from an ASCII letter into an ASCII mark, and none looks back, so the
+    words of a text are those of its stretches between such places. Blanks are the ASCII ones; whatever any Unicode version took for white space ends no stretch.
+    """
+    out = np.zeros(len(data) + 1, bool)
+    kind = KINDS[data]
+    i = np.flatnonzero(kind[1:] == 1) + 1
+    p, q, r = data[i - 1], data[np.maximum(i - 2, 0)], data[np.maximum(i - 3, 0)]
+    odd = (q == 0xC2) | ((r == 0xE1) & ((q == 0x9A) | (q == 0xA0))) | ((r == 0xE2) & ((q == 0x80) | (q == 0x81))) | ((r == 0xE3) & (q == 0x80))
+    out[i] = ((p > 0x20) & (p < 0x7F)) | ((p >= 0x80) & ~odd)
+    out[1:-1] |= (kind[1:] == 2) & (kind[:-1] == 3)
+    return out
+
+
+#: 1 blank, 2 ASCII mark, 3 ASCII letter, 0 any other byte.
+KINDS = np.array([1 if chr(b) in " \t\n\r" else 0 if b < 0x21 or b > 0x7E else 3 if chr(b).isalpha() else 0 if chr(b).isdigit() else 2 for b in range(256)], np.uint8)
+
+
+class StretchEncoder:
+    """Ids of whole texts by the tokenizers library, which is shown each new stretch between two cuts once.
+
+    The worker keeps the ids of the stretches it met last. New stretches go to the library joined, where the places between them are cuts too; the bytes of the
+    ids tell them apart again. A file whose words may cross a cut has its texts encoded whole.
+    """
+
+    loaded: dict[str, StretchEncoder] = {}
+
+    def __init__(self, path: str) -> None:
+        self.encode = byte_bpe(path)
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            c = json.load(f)
+        model, pre = c["model"], c.get("pre_tokenizer") or {}
+        vocab = model["vocab"] if model.get("type") == "BPE" else {}
+        self.cut = (bool(vocab) and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
+                    and not any(c.get(k) for k in ("normalizer", "truncation", "padding")) and all(t["special"] for t in c.get("added_tokens", []))
+                    and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")) and sum(len(t) == 1 for t in vocab) >= 256)
+        if self.cut:
+            self.size = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: a byte-level entry has a letter for each
+            self.size[list(vocab.values())] = [len(t) for t in vocab]
+
+    @classmethod
+    def of(cls, path: str) -> StretchEncoder:
+        if path not in cls.loaded:
+            cls.loaded[path] = cls(path)
+        return cls.loaded[path]
+
+    def fresh(self, words: list[bytes]) -> list[bytes]:
+        """Ids of stretches by the library; those that cannot stand behind the one before them begin a text of their own."""
+        if not words:
+            return []
+        ends = np.cumsum([len(w) for w in words])
+        apart = ~cuts(np.frombuffer(b"".join(words), np.uint8))[ends]
+        edges = np.union1d(np.flatnonzero(apart) + 1, np.arange(0, len(words), AT_ONCE)).tolist()
+        got = self.encode([b"".join(words[s:e]).decode() for s, e in itertools.pairwise(edges)])
+        ids = np.fromiter(itertools.chain.from_iterable(got), "<u4")
+        upto = np.cumsum(self.size[ids])
+        last = np.searchsorted(upto, ends)
+        if not len(ids) or upto[-1] != ends[-1] or (upto[last] != ends).any():
+            raise ValueError("the ids do not give back the bytes of the text")
+        raw, at = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+        return [raw[s:e] for s, e in itertools.pairwise(at)]
+
+    def lookup(self, words: list[bytes]) -> list[bytes]:
+        out = [self.new.get(w) or self.old.get(w) for w in words]
+        empty = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(empty, self.fresh([words[i] for i in empty])):
+            out[i] = x
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        self.new.update(itertools.islice(((w, x) for w, x in zip(words, out) if len(w) <= LONGEST), REMEMBERED))
+        return out
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text as little-endian bytes, in order."""
+        if not self.cut:
+            yield from (np.array(ids, "<u4").tobytes() for ids in self.encode(texts.to_pylist()))
+            return
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        starts = offsets - offsets[0]
+        mark = cuts(data)
+        mark[starts] = True
+        edges = np.flatnonzero(mark)
+        words = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
+        ids = pa.array(self.lookup(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(edges, starts)].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        yield from (bytes(raw[s:e]) for s, e in itertools.pairwise(at))
+
+
+def portions(texts: pa.Array, size: int) -> list[tuple[int, int]]:
+    """Rows (from, to) of portions of at most ``size`` bytes; a longer text is one alone."""
+    upto = np.cumsum(np.array(pc.binary_length(texts), np.int64))
+    out, s = [], 0
+    while s < len(upto):
+        e = max(s + 1, int(np.searchsorted(upto, size + (upto[s - 1] if s else 0), "right")))
+        out.append((s, e))
+        s = e
+    return out
+
+
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = 0, portion: int = CHUNK) -> DataFrame:
     """Write the ids of every whole text, each with ``end_id`` behind, in ascending ``key`` order (nulls first).
 
     Each ordered partition writes one file under ``folder`` (by default a new one in the shared folder) and one row of
     the manifest (part, path, n_docs, n_ids), which is returned. Every attempt at a task writes a file of its own name, and only the rows
     of attempts that succeed enter the manifest, so a lost executor leaves at most a file nobody reads. Null text is
     empty; equal keys stand together in random order; an empty table gives an empty manifest. ``text`` and ``key`` alone are read.
+    About ``portion`` bytes of text are encoded at once.
     """
     spark = docs.sparkSession
     folder = folder or work_dir(spark, "tokens")
@@ -104,21 +218,21 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         out = writer = None
-        n_ids = 0
+        n_ids, behind = 0, np.array([end_id], "<u4").tobytes()
         for b in batches:
             if not b.num_rows:
                 continue
             if out is None:
-                encode, part = byte_bpe(tokenizer), b.column("part")[0].as_py()
+                encode, part = StretchEncoder.of(tokenizer), b.column("part")[0].as_py()
                 fs.create_dir(root, recursive=True)
                 path = f"{root}/part-{part:06d}-{uuid.uuid4().hex}.zst"
                 out = fs.open_output_stream(path, compression=None)
                 writer = FrameWriter(out)
-            keys = b.column("key")
-            for at in range(0, b.num_rows, per_batch):
-                for i, ids in enumerate(encode(b.column("text").slice(at, per_batch).to_pylist())):
-                    writer.add(keys[at + i].as_py(), np.array([*ids, end_id], np.uint32))
-                    n_ids += len(ids) + 1
+            keys, texts = b.column("key").to_pylist(), b.column("text")
+            for s, e in portions(texts, portion):
+                for k, ids in zip(keys[s:e], encode(texts.slice(s, e - s))):
+                    writer.add(k, np.frombuffer(ids + behind, "<u4"))
+                    n_ids += len(ids) // 4 + 1
         if out is not None:
             writer.close()
             out.close()

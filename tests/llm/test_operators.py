@@ -24,7 +24,7 @@ from spliceloom.llm.neardup import estimate, near_duplicates, registers, without
 from spliceloom.llm.quality import accepted, quality_rules
 from spliceloom.llm.repeats import without_repeats
 from spliceloom.llm.sharding import contiguous_shards
-from spliceloom.llm.tokens import FrameReader, filesystem, read_token_files, write_token_files
+from spliceloom.llm.tokens import FrameReader, StretchEncoder, byte_bpe, filesystem, portions, read_token_files, write_token_files
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, kept string, n_words string, size string, _x string"
 
@@ -348,6 +348,52 @@ def test_token_files(spark, docs, none):
     assert read_token_files(write_token_files(none, path)).count() == 0
 
 
+def test_stretches_give_the_ids_of_whole_texts(tmp_path, monkeypatch):
+    import json
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    r = random.Random(11)
+    letters = [*" \t\n\r\x0b\x0c\x1c\x1f\x00\x7f\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u3000\ufeff", *"  \n''stmrevld,.-!09aZ_²½éßяあ漢\u0301\u0660\U0001F600\U0001D7D8"]
+    texts = ["", " ", "a", "", "don't, we'll'sbar ''re", "x  y\n\n z\t", "<|endoftext|> a<|endoftext|>", "é  ", *("".join(r.choices(letters, k=r.randint(1, 40))) for _ in range(4000)), ""]
+    chars = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x10000), *range(0x10000, 0x110000, 97)]]
+    texts += ["".join(f"a{c} b{c}\n,{c}'s {c} " for c in chars[i:i + 500]) for i in range(0, len(chars), 500)]
+
+    def given(encoder: StretchEncoder, size: int) -> list[list[int]]:
+        rows = pa.array(["cut off", *texts]).slice(1)
+        return [np.frombuffer(x, "<u4").tolist() for s, e in portions(rows, size) for x in encoder(rows.slice(s, e - s))]
+
+    want = byte_bpe(path)(texts)
+    for size in (1, 3000, 1 << 22):
+        assert given(StretchEncoder(path), size) == want
+    monkeypatch.setattr("spliceloom.llm.tokens.REMEMBERED", 50)  # what is kept changes no result
+    assert given(StretchEncoder(path), 3000) == want
+    with open(path, encoding="utf-8") as f:
+        spaced = json.load(f)
+    spaced["pre_tokenizer"]["add_prefix_space"] = True  # then a stretch is no text of its own
+    other = str(tmp_path / "spaced.json")
+    with open(other, "w", encoding="utf-8") as f:
+        json.dump(spaced, f)
+    assert not StretchEncoder(other).cut and given(StretchEncoder(other), 3000) == byte_bpe(other)(texts)
+
+
+def test_the_library_is_shown_a_stretch_once():
+    import public_tokenizers
+    import pyarrow as pa
+
+    encoder = StretchEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    shown, encode = [], encoder.encode
+    encoder.encode = lambda texts: shown.extend(texts) or encode(texts)
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefgh", k=7)) for _ in range(100)]
+    text = " " + " ".join(r.choice(words) for _ in range(5000))
+    got = list(encoder(pa.array([text]))) + list(encoder(pa.array([text, text])))
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [encode([text])[0]] * 3
+    assert sum(map(len, shown)) == len(set(text.split())) * 8
+
+
 def test_chat(spark, tmp_path):
     said = C.END + C.START + "assistant ok"
     rows = [(1, 10, None, "user", "hi", 0.0), (1, 11, 10, "assistant", "low", 0.1), (1, 12, 10, "assistant", said + "<\\|", 0.9), (1, 13, 12, "user", None, 0.2), (1, 14, 11, "user", "deep", 0.0),
