@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spliceloom.session import durable, written
 
-from .common import spread
+from .common import dealt, spread
 
 LETTERS = "a-zÀ-ÿ"  # after A-Z are lower-cased: 90 letters, so at most 8,100 bigrams
 LEAST_CHARS = 5               # words of five letters have four bigrams, among them two that share no letter
@@ -141,7 +141,7 @@ def near_words(words: DataFrame) -> DataFrame:
     if not counts:
         return words.select("word", F.col("word").alias("near")).limit(0)
     index, probe = keyed(words, counts, False), keyed(words, counts, True)
-    found = probe.withColumnsRenamed({"word": "a", "last": "last_a"}).join(index.withColumnRenamed("word", "b"), "key").filter("last_a <= last AND a <> b")
+    found = probe.withColumnsRenamed({"word": "a", "last": "last_a"}).join(dealt(index.withColumnRenamed("word", "b")), "key").filter("last_a <= last AND a <> b")
     pairs = found.filter(F.levenshtein("a", "b", 1) == 1).select(F.least("a", "b").alias("word"), F.greatest("a", "b").alias("near")).distinct()
     both = F.explode(F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near"))))
     return pairs.select(both.alias("p")).select("p.word", "p.near")
@@ -152,7 +152,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = durable(forms.select("word", F.col("form").alias("root")))
     while True:
         step = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        new = durable(now.join(step, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
+        new = durable(now.join(dealt(step), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
         if new.filter("moved").isEmpty():
             return new.select("word", "root")
         now = new.select("word", "root")
@@ -166,13 +166,13 @@ def spelling_groups(words: DataFrame, ratio: int = 2) -> DataFrame:
     """
     table = written(words.select("word", "n"), "words")
     pairs = near_words(spread(table))
-    best = pairs.join(table.withColumnsRenamed({"word": "near", "n": "near_n"}), "near")
+    best = pairs.join(dealt(table.withColumnsRenamed({"word": "near", "n": "near_n"})), "near")
     best = best.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
-    rows = table.join(best, "word", "left")
+    rows = table.join(dealt(best), "word", "left")
     ok = -F.col("best.less") >= ratio * F.col("n")
     rows = written(rows.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(ok, F.col("best.near")).alias("form"), F.when(ok, -F.col("best.less")).alias("form_n")), "forms")
     lead = roots(rows.filter("form IS NOT NULL").select("word", "form"))
-    return rows.join(lead, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return rows.join(dealt(lead), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_variants(docs: DataFrame, least: int = 3, ratio: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
