@@ -204,26 +204,30 @@ def comparable(samples: DataFrame) -> DataFrame:
     return side(1).join(side(2), ["paired", "read_length"]).filter(F.col("cond1") < F.col("cond2"))
 
 
+PAIR = [f"{side}_{c}" for side in ("inc", "exc") for c in ("chain", "n", "r")]
+
+
 def chain_pairs(members: DataFrame, isoforms: DataFrame, min_reads: int = 0) -> DataFrame:
-    """Inclusion x exclusion isoform groups of an event by intron chain: event_id, gene, side chains and their isoform and read counts.
+    """Inclusion x exclusion isoform groups of an event by intron chain: the key columns of the event (all but side and iso, gene among them), side chains and their isoform and read counts.
 
     Isoforms with at most one intron share the chain monoExon; isoforms below
-    min_reads are left out; isoforms are reduced to chains before pairing.
+    min_reads are left out; isoforms are reduced to chains before pairing. Members are dealt out by event once, for the reduction and the pairing.
     """
+    keys = [c for c in members.columns if c not in ("side", "iso")]
     multi = F.size("exons") > 2
     chain = F.when(multi, let(F.col("exons"), lambda x: B.chain(B.introns(x)))).otherwise("monoExon")
     iso = isoforms.filter(F.col("reads") >= min_reads).select("gene", "iso", chain.alias("chain"), F.col("reads").alias("r"))
-    per = members.join(iso, ["gene", "iso"]).groupBy("event_id", "gene", "side", "chain").agg(
+    per = members.join(iso, ["gene", "iso"]).drop("iso").repartition(*keys).groupBy(*keys, "side", "chain").agg(
         F.count(F.lit(1)).alias("n"), F.sum("r").alias("r"))
-    side = lambda s: per.filter(F.col("side") == s).select("event_id", "gene", *[F.col(c).alias(f"{s}_{c}") for c in ("chain", "n", "r")])
-    return side("inc").join(side("exc"), ["event_id", "gene"])
+    side = lambda s: per.filter(F.col("side") == s).select(*keys, *[F.col(c).alias(f"{s}_{c}") for c in ("chain", "n", "r")])
+    return side("inc").join(side("exc"), keys).select(*keys, *PAIR)
 
 
 def one_pair(pairs: DataFrame) -> DataFrame:
-    """A single pair per (gene, event): the last by chain text."""
-    cols = [c for c in pairs.columns if c not in ("event_id", "gene")]
-    return pairs.groupBy("gene", "event_id").agg(
-        F.max_by(F.struct(*cols), F.struct("inc_chain", "exc_chain")).alias("_p")).select("gene", "event_id", "_p.*")
+    """A single pair per event: the last by chain text."""
+    keys = [c for c in pairs.columns if c not in PAIR]
+    return pairs.groupBy(*keys).agg(
+        F.max_by(F.struct(*[c for c in PAIR if c in pairs.columns]), F.struct("inc_chain", "exc_chain")).alias("_p")).select(*keys, "_p.*")
 
 
 def best_allele(haplotypes: DataFrame, alleles: DataFrame) -> DataFrame:

@@ -339,11 +339,21 @@ WITH c AS (SELECT m.event_id, m.gene, side, CASE WHEN n_ex > 2 THEN chain ELSE '
   FROM (SELECT as_type || ' ' || event_id AS event_id, gene, side, iso FROM member_v) m JOIN iso_v i USING (iso) WHERE i.reads >= 2 GROUP BY ALL)
 SELECT a.event_id, a.gene, a.chain AS inc_chain, a.n AS inc_n, a.r AS inc_r, b.chain AS exc_chain, b.n AS exc_n, b.r AS exc_r FROM c a JOIN c b USING (event_id) WHERE a.side = 'inc' AND b.side = 'exc'""")
 def isoform_chain_pairs(spark, sf):
-    from spliceloom.operators.events import Shared, all_members
+    return _event_named(_chain_pairs(spark, sf))
+
+
+def _chain_pairs(spark, sf):
+    from spliceloom.operators.events import EVENT, Shared, member_rows
     from spliceloom.operators.significance import chain_pairs
     base = Shared(P.isoforms(spark, sf))
-    iso, members = base.isoforms, all_members(base).select(F.concat_ws(" ", "as_type", "event_id").alias("event_id"), "gene", "side", "iso")  # ids of two types may be alike
-    return chain_pairs(members, iso, 2)
+    return chain_pairs(member_rows(base).select(*EVENT, "side", "iso"), base.isoforms, 2)
+
+
+def _event_named(df):
+    """The event id in place of the event's columns, with the type in front: ids of two types may be alike."""
+    from spliceloom.operators.events import EVENT, event_text
+    rest = [c for c in df.columns if c not in EVENT]
+    return df.select(F.concat_ws(" ", "as_type", event_text()).alias("event_id"), "gene", *rest)
 
 
 @query("one_chain_pair_per_event", """
@@ -353,7 +363,7 @@ SELECT event_id, gene, max(chain) FILTER (side = 'inc') AS inc_chain, max(chain)
 HAVING count(*) FILTER (side = 'inc') > 0 AND count(*) FILTER (side = 'exc') > 0""")
 def one_chain_pair_per_event(spark, sf):
     from spliceloom.operators.significance import one_pair
-    return one_pair(isoform_chain_pairs(spark, sf)).select("event_id", "gene", "inc_chain", "exc_chain")
+    return _event_named(one_pair(_chain_pairs(spark, sf))).select("event_id", "gene", "inc_chain", "exc_chain")
 
 
 @query("alignment_tags_joined", "SELECT name, o_orderpriority AS tag FROM aln_v LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = name")
