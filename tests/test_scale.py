@@ -1,8 +1,11 @@
 """Steps that must not repeat work or fill one task as the tables grow."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from spliceloom.functions import sequence as Q
 from spliceloom.operators import transcripts as TR
 from spliceloom.plans import load
 from spliceloom.plans import proxy as P
@@ -60,3 +63,34 @@ def test_isoforms_are_built_once(spark, tables, monkeypatch, name):
     calls, slots = [], P.slots
     monkeypatch.setattr(P, "slots", lambda *a: calls.append(1) or slots(*a))
     assert QUERIES[name](spark, tables).count() > 0 and len(calls) == 1
+
+
+def plain_orf(s):
+    """Codon by codon: the longest run from an ATG to a stop or the last whole codon."""
+    best = (0, 0, -1)
+    for frame in range(3):
+        start = None
+        for i in range(frame, len(s) - 2, 3):
+            codon = s[i:i + 3]
+            if start is None and codon == "ATG":
+                start = i
+            if start is not None and (codon in ("TAA", "TAG", "TGA") or i + 6 > len(s)):
+                closed = codon in ("TAA", "TAG", "TGA")
+                best = min(best, (start, i + 3, 1 if closed else -1), key=lambda o: (o[0] - o[1], o[0]))
+                start = None
+    return best
+
+
+@pytest.mark.parametrize("together", [1, 50, 1 << 20])
+def test_open_frames_of_many_texts_take_few_steps(monkeypatch, together):
+    r, step, taken = np.random.default_rng(4), Q.orfs_in, []
+    monkeypatch.setattr(Q, "TOGETHER", together)
+    monkeypatch.setattr(Q, "orfs_in", lambda x, off: taken.append(len(off) - 1) or step(x, off))
+    few = [None, "", "A", "AT", "ATG", "GATG", "ATGA", "TAA", "ATGTAAATGTAG", "ATGAAATAAATGAAATAA", "éATGé", "ATGNTAG", "atgtaa", None]
+    texts = few + ["".join(r.choice(list("ATGTGAATGACN"), r.integers(0, 60))) for _ in range(1000)]
+    got = Q.longest_orf.func(pd.Series(texts, dtype=object))
+    assert list(map(str, got.dtypes)) == ["Int32"] * 3
+    for s, o in zip(texts, got.itertuples(index=False)):
+        assert all(v is pd.NA for v in o) if s is None else tuple(o) == plain_orf(s), (s, o)
+    assert sum(taken) == len(texts) - 2 and (len(taken) == 1 or together < 1 << 20)
+    assert Q.longest_orf.func(pd.Series([], dtype=object)).empty
